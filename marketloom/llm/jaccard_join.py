@@ -71,7 +71,7 @@ def _segment_keys(u: np.ndarray, bands: Bands) -> np.ndarray:
             full = np.zeros(p, np.uint64)
             full[number] = word
             number, word = np.arange(p, dtype=np.uint64), full
-        out.append(mix(word + mix(number * ODD[51] + U(j) * ODD[52])))
+        out.append(mix(word + mix(number * ODD[51] + ODD[52:53] * U(j))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 

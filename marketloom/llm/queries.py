@@ -69,8 +69,8 @@ QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_pii, op3_chat, op4_jac
 
 _OP4 = r"""
 with recursive w as (
-  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
 s as materialized (
   select distinct doc_id, hash(case when len(w) < 4 then array_to_string(w, ' ') else array_to_string(w[i : i + 3], ' ') end) as s
   from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from w where len(w) > 0)),
