@@ -19,6 +19,8 @@ HIDDEN, EMBEDDED, TABLE_SIZE = 8, 6, 4096
 #: TRAIN_CHARS there. Scoring has no such bounds.
 PER_CLASS, TRAIN_CHARS = 1500, 20_000
 CUT = 0.7
+#: Log odds below which a term is left out.
+LEAST = 0.7
 F32 = np.float32
 
 
@@ -52,10 +54,12 @@ def _gram_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
 
 @dataclass
 class Odds:
-    """Log odds of terms by the documents of either class that hold them, shrunk towards 0; sorted by hash."""
+    """Log odds of terms by the documents of either class that hold them, shrunk towards 0; sorted by hash. Terms that
+    say little (LEAST) are left out. filled: which leading 20 bits of a hash any term has."""
 
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     values: np.ndarray = field(default_factory=lambda: np.zeros(0, F32))
+    filled: np.ndarray = field(default_factory=lambda: np.zeros(1 << 20, bool))
 
     @classmethod
     def of(cls, seen: list[np.ndarray], labels: np.ndarray) -> Odds:
@@ -67,14 +71,18 @@ class Odds:
         n, m = max(1, (labels == 1).sum()), max(1, (labels == 0).sum())
         share = (a + b) / (n + m)
         value = np.log((a + 4 * share + 0.1) / (n + 4)) - np.log((b + 4 * share + 0.1) / (m + 4))
-        keep = (a + b) > 1
-        return cls(terms[keep], np.clip(value[keep], -6, 6).astype(F32))
+        keep = ((a + b) > 1) & (np.abs(value) >= LEAST)
+        filled = np.zeros(1 << 20, bool)
+        filled[terms[keep] >> U(44)] = True
+        return cls(terms[keep], np.clip(value[keep], -6, 6).astype(F32), filled)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.terms):
-            return np.zeros(len(hashes), F32)
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        return np.where(self.terms[at] == hashes, self.values[at], F32(0))
+        out = np.zeros(len(hashes), F32)
+        some = np.flatnonzero(self.filled[hashes >> U(44)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.terms, hashes[some]), len(self.terms) - 1)
+            out[some] = np.where(self.terms[at] == hashes[some], self.values[at], F32(0))
+        return out
 
 
 def _distinct_words(data: np.ndarray, offsets: np.ndarray):
@@ -274,14 +282,21 @@ class Model:
 
 
 def _fitted_curve(top: np.ndarray, count: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression by Newton steps, with a small penalty."""
-    x = np.stack([top, np.log(np.maximum(count, 1)), np.ones(len(top))], 1)
-    w = np.array([1.0, 0.0, 0.0])
-    for _ in range(30):
+    """Penalised logistic regression by damped Newton steps on centred inputs."""
+    size = np.log(np.maximum(count, 1))
+    middle, width, mean = top.mean(), max(top.std(), 1e-6), size.mean()
+    x = np.stack([(top - middle) / width, size - mean, np.ones(len(top))], 1)
+    penalty = np.array([0.05, 1.0, 0.05])
+    loss = lambda w: (np.logaddexp(0, x @ w) - y * (x @ w)).sum() + 0.5 * (penalty * w * w).sum()
+    w = np.zeros(3)
+    for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (q - y) + np.array([0.5, 1.0, 0.01]) * (w - np.array([1.0, 0.0, 0.0]))
-        w -= np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + np.diag([0.5, 1.0, 0.01]), g)
-    return float(w[0]), float(w[1]), float(w[2])
+        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + np.diag(penalty), x.T @ (q - y) + penalty * w)
+        part = 1.0
+        while part > 1e-6 and loss(w - part * step) > loss(w):
+            part /= 2
+        w = w - part * step
+    return float(w[0] / width), float(w[1]), float(w[2] - w[0] * middle / width - w[1] * mean)
 
 
 def fit(examples: list[tuple[str, int, int]]) -> Model:
