@@ -1,0 +1,5 @@
+"""Registered queries and their oracles."""
+
+from .market import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
