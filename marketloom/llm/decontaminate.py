@@ -16,8 +16,8 @@ from .textops import PLAIN, buffers, shingles, words
 
 #: Items of an index at most, so that what is broadcast has a bound; more items are searched block of items by block.
 INDEX_ITEMS = 20_000
-#: Items whose largest impacts are kept together.
-BLOCK = 16
+#: Items whose largest impacts are kept together, and blocks that are bounded together before they are bounded one by one.
+BLOCK, SUPER = 4, 16
 K1, B = 1.2, 0.75
 #: Words of a shingle in the overlap check, and the share of shingles of question and answer that must be there.
 SHINGLE, OVERLAP = 5, 0.8
@@ -160,19 +160,26 @@ def _search(index: Index, hashes: np.ndarray, at: np.ndarray, threshold: float)
     passage, term = np.divmod(pair, len(index.terms))
     begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
     alive: dict[int, list[int]] = {}
-    for b in range(0, index.block_max.shape[1], 64):
-        bound = np.add.reduceat(index.block_max[:, b : b + 64][term], begin, axis=0)
+    number = np.cumsum(np.append(True, passage[1:] != passage[:-1])) - 1
+    for b in range(0, index.block_max.shape[1], SUPER):
+        columns = index.block_max[:, b : b + SUPER]
+        hopeful = np.add.reduceat(columns.max(1)[term], begin) >= threshold - 1e-4
+        rows = np.flatnonzero(hopeful[number])
+        if not len(rows):
+            continue
+        heads = np.flatnonzero(np.append(True, number[rows][1:] != number[rows][:-1]))
+        bound = np.add.reduceat(columns[term[rows]], heads, axis=0)
         for p, k in zip(*np.nonzero(bound >= threshold - 1e-4), strict=True):
-            alive.setdefault(int(p), []).append(b + int(k))
+            alive.setdefault(int(number[rows[heads[p]]]), []).append(b + int(k))
     last = np.append(begin[1:], len(passage))
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
     for p, blocks in alive.items():
         found = index.wand(term[begin[p] : last[p]], np.array(blocks), threshold)
         if not found:
             continue
-        number = int(passage[begin[p]])
-        r = int(np.searchsorted(first, number, "right") - 1)
-        start = at[r] + (number - first[r]) * stride
+        nth = int(passage[begin[p]])
+        r = int(np.searchsorted(first, nth, "right") - 1)
+        start = at[r] + (nth - first[r]) * stride
         own = hashes[start : min(start + 2 * stride, at[r + 1])]
         sets: dict[int, np.ndarray] = {}
         for item, score in found:
