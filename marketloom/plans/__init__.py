@@ -1,5 +1,6 @@
 """Registered queries and their oracles."""
 
+from . import more  # noqa: F401  registers its queries
 from .market import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
