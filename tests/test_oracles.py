@@ -12,7 +12,11 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def _plain(df: pd.DataFrame) -> list:
     df = df[sorted(df.columns)]
-    value = lambda v: None if v is None or v != v or v is pd.NaT else round(float(v), 5) if isinstance(v, (int, float)) or hasattr(v, "dtype") and not isinstance(v, str) else str(v)[:10]
+    def value(v):
+        if pd.isna(v):
+            return None
+        return round(float(v), 5) if isinstance(v, (int, float)) or hasattr(v, "dtype") else str(v)[:10]
+
     return sorted([tuple(map(value, r)) for r in df.itertuples(index=False)], key=str)
 
 
