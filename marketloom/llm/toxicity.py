@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ WINDOW, STEP = 32, 24
 HIDDEN, EMBEDDED, TABLE_SIZE = 8, 6, 4096
 #: Labelled documents of each class that are read for term odds, and again as many for the network; texts are read up to
 #: TRAIN_CHARS there. Scoring has no such bounds.
-PER_CLASS, TRAIN_CHARS = 1500, 20_000
+PER_CLASS, TRAIN_CHARS = 1200, 20_000
 CUT = 0.7
 #: Log odds below which a term is left out.
 LEAST = 0.7
@@ -349,7 +351,7 @@ def fit(examples: list[tuple[str, int, int]]) -> Model:
     return model
 
 
-def examples(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int, int]]:
+def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """At most PER_CLASS labelled documents of either class for either part, by hash order; none that are held out."""
     mine = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
     mine = mine.withColumn("part", _part(F.col("doc_id")).cast("int")).filter("part <> 1")
@@ -360,8 +362,7 @@ def examples(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int, int]]:
             chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.coalesce("text", F.lit("")), 1, TRAIN_CHARS).alias("text"))
     # at most 4 * PER_CLASS ids are broadcast
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", "part").collect()
-    return [(r.text, int(r.toxic), int(r.part)) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int"), "part")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -382,4 +383,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(examples(docs, labels))
+    """Fits in one task on the sample of examples(), whose size has a bound; only the model comes to the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted((r for pdf in batches for r in pdf.itertuples(index=False)), key=lambda r: (r.doc_id, r.text))
+        yield pd.DataFrame({"model": [pickle.dumps(fit([(r.text, int(r.toxic), int(r.part)) for r in rows]))]})
+
+    made = examples(docs, labels).repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(made[0]) if made else fit([])
