@@ -53,11 +53,12 @@ def fill_nulls(stored: DataFrame, raw: DataFrame, key: str, column: str, at: str
     return stored.join(newest, key, "left").withColumn(column, F.coalesce(column, "__text")).drop("__text").select(stored.columns)
 
 
-def retained(raw: DataFrame, needed: DataFrame, key: str, at: str, before: str) -> DataFrame:
-    """raw without rows older than `before`, but with the newest row of every key that needed still lacks a text for."""
+def retained(raw: DataFrame, needed: DataFrame, key: str, at: str, before: str, on: str | None = None) -> DataFrame:
+    """raw without rows whose `on` (`at` by default) is older than `before`, but with the newest row, by `at`, of every key that
+    needed still lacks a text for."""
     newest = Window.partitionBy(key).orderBy(F.desc(at))
     marked = raw.withColumn("__k", F.row_number().over(newest)).join(needed.select(key, F.lit(True).alias("__need")).distinct(), key, "left")
-    old = F.col(at) < F.lit(before).cast("timestamp")
+    old = F.col(on or at) < F.lit(before).cast("timestamp")
     return marked.filter(~old | ((F.col("__k") == 1) & F.col("__need"))).select(raw.columns)
 
 
