@@ -1,6 +1,6 @@
 """Registered queries and their oracles."""
 
-from . import ingest, more  # noqa: F401  registers its queries
+from . import ingest, more, reads  # noqa: F401  registers its queries
 from .market import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
