@@ -198,3 +198,25 @@ def seasonality(series: DataFrame, spine: DataFrame) -> DataFrame:
     )
     value = F.when(F.col("months") == 12, F.try_divide(F.col("sd"), F.col("s") / F.col("inputs_n")))
     return metric_rows(spine, out.select(*KEY, value.alias("value"), _capped(F.col("inputs_n") / 365.25, 3).alias("confidence"), "inputs_n"), "seasonality")
+
+
+def total_searches(latest: DataFrame, curated: int) -> DataFrame:
+    """Per day and geo: monthly searches, known volumes only, with coverage, adequacy and freshness as confidence."""
+    age = F.greatest(F.max(F.datediff("day", "observed_date")), F.lit(30))
+    sure = F.least(F.count("volume") / F.lit(curated), F.lit(1.0)) * F.least(F.count("volume") / F.lit(30), F.lit(1.0)) * (30 / age)
+    return latest.groupBy("day", "geo").agg(F.sum("volume").alias("value"), F.count("volume").alias("inputs_n"), F.round(sure, 6).alias("confidence"))
+
+
+def curve_momentum(curves: DataFrame, spine: DataFrame, half: int = 13) -> DataFrame:
+    """Mean of the last 13 points over that of the 13 before, less 1, on the newest curve up to the day.
+
+    curves: term, observed_date, points (array of at, value, in order); cluster_id is the term."""
+    seen = curves.join(F.broadcast(spine.select("day").distinct()), F.col("observed_date") <= F.col("day"))
+    newest = seen.groupBy("term", "day").agg(F.max_by("points", "observed_date").alias("p"))
+    pts = newest.withColumn("p", F.filter("p", lambda x: x["at"] <= F.col("day"))).withColumn("p", F.expr(f"slice(reverse(p), 1, {2 * half})"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x["value"])
+    late, early, n = total(F.slice("p", 1, half)), total(F.slice("p", half + 1, half)), F.size("p")
+    value = F.when(n == 2 * half, F.try_divide(late, F.nullif(early, F.lit(0.0))) - 1)
+    sure = F.size(F.filter("p", lambda x: x["value"] != 0)) / (2.0 * half)
+    rows = pts.select(F.col("term").alias("cluster_id"), "day", value.alias("value"), sure.alias("confidence"), n.alias("inputs_n"))
+    return metric_rows(spine, rows, "trends_momentum_13w")
