@@ -84,3 +84,10 @@ def ok_streaks(days: DataFrame) -> DataFrame:
     """Islands of consecutive days on which all is well: first, last, nights. days: day, ok."""
     good = days.filter("ok").withColumn("island", F.expr("date_sub(day, cast(row_number() over (order by day) as int))"))
     return good.groupBy("island").agg(F.min("day").alias("first"), F.max("day").alias("last"), F.count("*").alias("nights")).drop("island")
+
+
+def frame_draw(rows: DataFrame, by: str, key: str, cap: int, seed: int, least: int, strata: int) -> DataFrame:
+    """At most `cap` rows of each stratum in seeded order, with a flag `postponed` if fewer than `least` rows or `strata` strata are drawn."""
+    drawn = sample(rows, by, key, cap, seed)
+    size = drawn.agg((F.count("*") < least).alias("a"), (F.countDistinct(by) < strata).alias("b")).select((F.col("a") | F.col("b")).alias("postponed"))
+    return drawn.crossJoin(F.broadcast(size))  # one row

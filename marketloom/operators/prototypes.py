@@ -127,3 +127,10 @@ def cost_ratio(keywords: DataFrame, tier: list[str]) -> DataFrame:
     mean = lambda c: F.avg(F.when(c, F.col("bid_high")))
     one = F.col("geo").isin(tier)
     return keywords.groupBy("niche").agg(F.round(F.try_divide(mean(one), mean(~one)), 6).alias("ratio"))
+
+
+def trending_matches(titles: DataFrame, niches: DataFrame) -> DataFrame:
+    """(niche, title, shared): trending titles that share words with a niche's terms, and how many. Joined on words, never all pairs."""
+    a = titles.select("title", F.explode(tokens(F.col("title"))).alias("word"))
+    b = niches.select("niche", F.explode(tokens(F.col("term"))).alias("word")).distinct()
+    return a.join(b, "word").groupBy("niche", "title").agg(F.countDistinct("word").alias("shared"))

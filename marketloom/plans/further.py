@@ -332,3 +332,76 @@ def keyword_exports(spark, sf_dir):
     content = F.when(F.col("file") % 2 == 0, F.encode(whole, "UTF-16")).otherwise(F.encode(whole, "UTF-8"))
     names = {"keyword": "keyword", "volume": "monthly searches", "competition": "competition", "bid_high": "bid (high)"}
     return prototypes.keyword_export(files.select("file", content.alias("content")), names)
+
+
+@query("SRC_11", f"with {BASE} x as (select 1) select channel_id, cluster_id as category, first_seen as join_date from channel")
+def channel_dump(spark, sf_dir):
+    """A gzipped tab-separated dump is written and read back; counts as of the crawl are not in it."""
+    from ..sources import dumps
+
+    rows = star.channels(spark, sf_dir).select("channel_id", F.col("cluster_id").alias("category"), F.col("first_seen").alias("join_date"))
+    return dumps.channels(spark, dumps.written(rows, "csv"))
+
+
+@query("SRC_12", f"""with {BASE} {CHANNEL_SNAP} k as (select channel_id from channel where subs > 5000)
+select channel_id, observed_date as week, video_count as videos, subs from csnap where channel_id in (select channel_id from k) and subs is not null and video_count <> 3""")
+def weekly_dump(spark, sf_dir):
+    """Weekly readings of kept channels; counts come as decimals; a week that cannot be read (here where three videos were counted) drops its row."""
+    from ..sources import dumps
+
+    snap = star.channel_snapshots(spark, sf_dir).filter("subs is not null")
+    week = F.when(F.col("video_count") == 3, "?").otherwise(F.col("observed_date").cast("string"))
+    rows = snap.select("channel_id", week.alias("week"), F.concat("video_count", F.lit(".4")).alias("videos"), F.concat("subs", F.lit(".0")).alias("subs"))
+    return dumps.weekly(spark, dumps.written(rows, "csv"), star.channels(spark, sf_dir).filter("subs > 5000").select("channel_id"))
+
+
+@query("SRC_13", f"with {BASE} x as (select 1) select video_id, channel_id, published, is_short from video")
+def video_dump(spark, sf_dir):
+    from ..sources import dumps
+
+    return dumps.videos(spark, dumps.written(star.videos(spark, sf_dir).select("video_id", "channel_id", "published", "is_short"), "json"))
+
+
+@query("SAM_02", f"""with {BASE} n as (select cluster_id, video_id from video join channel using (channel_id) where relevance >= 0.55),
+k as (select *, row_number() over (partition by cluster_id order by md5('7:' || video_id), video_id) as nth from n), d as (select * from k where nth <= 15)
+select d.*, (select count(*) < 60 or count(distinct cluster_id) < 5 from d) as postponed from d""")
+def frame_draw(spark, sf_dir):
+    own = star.videos(spark, sf_dir).filter("relevance >= 0.55").join(star.channels(spark, sf_dir).select("channel_id", "cluster_id"), "channel_id")
+    return outcomes.frame_draw(own.select("cluster_id", "video_id"), "cluster_id", "video_id", 15, 7, 60, 5)
+
+
+@query("SAM_04", "select p_type, p_partkey, nth from (select p_type, p_partkey, row_number() over (partition by p_type order by md5('11:' || p_partkey), p_partkey) as nth from part) where nth <= 3")
+def pool_sample(spark, sf_dir):
+    return outcomes.sample(star.read(spark, sf_dir, "part").select("p_type", "p_partkey"), "p_type", "p_partkey", 3, 11)
+
+
+@query("LEG_08", f"""with a as (select distinct p_name as title, unnest({_TOK.format(c='p_name')}) as word from part where p_size > 25),
+b as (select distinct p_type as niche, unnest({_TOK.format(c='p_name')}) as word from part where p_size < 5) select niche, title, count(distinct word) as shared from a join b using (word) group by all""")
+def trending(spark, sf_dir):
+    part = star.read(spark, sf_dir, "part")
+    titles = part.filter("p_size > 25").select(F.col("p_name").alias("title")).distinct()
+    return prototypes.trending_matches(titles, part.filter("p_size < 5").select(F.col("p_type").alias("niche"), F.col("p_name").alias("term")).distinct())
+
+
+def _stream(spark, sf_dir, name):
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@query("STR_01", """select l_orderkey, l_linenumber, l_partkey, l_quantity from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_quantity) as k
+from (select distinct l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem)) where k = 1""")
+def first_writes(spark, sf_dir):
+    from ..streaming import jobs
+
+    rows = _stream(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.struct("l_partkey", "l_quantity").alias("at"))
+    return jobs.run(spark, jobs.first_write_wins, rows, ["l_orderkey", "l_linenumber"], "at").drop("at")
+
+
+@query("STR_02", """select date_trunc('day', ts)::date as event_day, count(*) filter (hour(ts) < 22) as on_time, count(*) filter (hour(ts) >= 22) as late from events group by 1""")
+def late_readings(spark, sf_dir):
+    """Readings arrive two hours after their event: those of the last two hours of a day are late."""
+    from ..streaming import jobs
+
+    ts = F.col("ts").cast("timestamp_ntz")
+    rows = _stream(spark, sf_dir, "events").select("event_id", F.to_date(ts).alias("event_day"), (ts + F.expr("interval 2 hours")).alias("at"))
+    return jobs.run(spark, jobs.on_time, rows, "event_day", "at").groupBy("event_day").agg(F.count_if(~F.col("late")).alias("on_time"), F.count_if("late").alias("late"))

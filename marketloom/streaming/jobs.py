@@ -44,3 +44,19 @@ def run_windowed_sums(spark: SparkSession, source: DataFrame, **how: str) -> Dat
     job = windowed_sums(source, **how).writeStream.outputMode("complete").foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(f"{folder}/out"))
     job.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out")
+
+
+def on_time(readings: DataFrame, event_day: str, at: str, path: str, checkpoint: str):
+    """Splits readings as they come: one whose event day was over when it was taken is late. Both kinds are kept, told apart by `late`."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.withColumn("late", F.to_date(at) > F.col(event_day)).write.mode("append").parquet(path)
+
+    return readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run(spark: SparkSession, job, source: DataFrame, *how) -> DataFrame:
+    """Runs a job of this module over what is there and returns what it stored."""
+    folder = _folder(spark)
+    job(source, *how, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
