@@ -8,7 +8,9 @@ from pyspark.sql.window import Window
 
 from .world import KEY, World
 
-_BY_DAY = Window.partitionBy("cluster_id").orderBy("day")
+
+def _by_day():
+    return Window.partitionBy("cluster_id").orderBy("day")
 
 
 def memberships(world: World, ballast_out: bool) -> DataFrame:
@@ -25,15 +27,15 @@ def ballast_counts(world: World) -> DataFrame:
 
 def definition_steps(counts: DataFrame, share: float) -> DataFrame:
     """Days on which ballast moved by more than `share` of the members since the stored day before."""
-    rows = counts.withColumn("was", F.lag("ballast").over(_BY_DAY))
+    rows = counts.withColumn("was", F.lag("ballast").over(_by_day()))
     return rows.filter(F.abs(F.col("ballast") - F.col("was")) > share * F.col("members")).select(*KEY, "was", "ballast", "members")
 
 
 def ballast_drift(counts: DataFrame, step: float, ramp: float, days: int, least: int) -> DataFrame:
     """Per cluster and stored day: whether ballast moved by over `step` since the day before, and by over `ramp` over the last
     `days` stored days, of which there are at least `least`."""
-    span = _BY_DAY.rowsBetween(-(days - 1), 0)
-    rows = counts.withColumns({"was": F.lag("ballast").over(_BY_DAY), "first": F.first("ballast").over(span), "held": F.count("*").over(span)})
+    span = _by_day().rowsBetween(-(days - 1), 0)
+    rows = counts.withColumns({"was": F.lag("ballast").over(_by_day()), "first": F.first("ballast").over(span), "held": F.count("*").over(span)})
     moved = lambda c, limit: F.coalesce(F.abs(F.col("ballast") - F.col(c)) > limit * F.col("members"), F.lit(False))
     return rows.select(*KEY, moved("was", step).alias("drift"), ((F.col("held") >= least) & moved("first", ramp)).alias("ramp"))
 
