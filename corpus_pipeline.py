@@ -1,38 +1,67 @@
-"""The corpus pipeline: five stages, each on all that its predecessor kept, written as Parquet between stages."""
+"""The corpus pipeline: five stages, each on all that its predecessor kept, written as Parquet between stages.
+
+Stages decide row by row: each numbers its rows once and joins its decisions back on that number, so rows with a null
+doc_id and rows that share one are judged by their own text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketloom.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
 from marketloom.llm.common import saved, table
 from marketloom.llm.queries import MIX, SHARDS
 
 
+#: The number of a row within a stage.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with ROW, written, so that every read finds the same numbers."""
+    return saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "stage-rows")
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """What operators read of numbered rows: ROW stands as doc_id."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Rows that the toxicity model rejects go, each by its own text, whatever its id."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    bad = toxicity.score(docs, model).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    rows = numbered(docs)
+    bad = toxicity.score(by_row(rows), model).filter("predicted = 1").select(F.col("doc_id").alias(ROW))
+    return rows.join(bad, ROW, "left_anti").select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of five-word shingles at a Jaccard index of 0.8 connect, the one with the smallest id stays."""
-    groups = jaccard_join.near_duplicates(docs, n=5, percent=80)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Of rows that links of five-word shingles at a Jaccard index of 0.8 connect, the one with the smallest id stays.
+
+    A null id comes after all others. Of a group's rows that share the smallest id one stays: the first by a hash of
+    their columns. Rows that share an id but link with nothing all stay, and so does a row without id.
+    """
+    rows = numbered(docs)
+    groups = jaccard_join.near_duplicates(by_row(rows), n=5, percent=80).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), ROW)
+    firsts = groups.join(rows.select(ROW, order.alias("order")), ROW).groupBy("component_id").agg(F.min("order").alias("first"))
+    return rows.join(firsts.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold the question and answer of a benchmark item go."""
-    bad = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Rows that hold the question and answer of a benchmark item go, each by its own text, whatever its id."""
+    rows = numbered(docs)
+    bad = decontaminate.contaminated(by_row(rows), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(bad, ROW, "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture reads them: a row for each epoch."""
-    times = mixing.mixture(docs, MIX).select("doc_id")
-    return docs.join(times, "doc_id").select(docs.columns)
+    """Rows as often as the mixture reads them: one for each row and epoch. Rows that share an id are chosen each for
+    itself; rows without id are read too, in the order of 'null'."""
+    rows = numbered(docs)
+    times = mixing.mixture(rows, MIX, carried=ROW).select(ROW)
+    return rows.join(times, ROW).select(docs.columns)
 
 
 def deal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,20 +82,22 @@ def domain_of(source: Column) -> Column:
     return F.concat(F.lit("d"), F.coalesce(F.try_mod(F.regexp_extract(source, r"(\d+)$", 1).try_cast("long"), F.lit(4)), F.lit(0)).cast("string"))
 
 
-def mixture(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
+def mixture(docs: DataFrame, mix: Mix, domain: Column | None = None, carried: str | None = None) -> DataFrame:
     """One row per chosen document and epoch: doc_id, domain, lang, source, epoch, n_tokens.
 
     Each leaf reads whole epochs while its budget covers them, then the start of one more: an epoch's order is
     md5(seed:epoch:doc_id), and documents are taken while their running sum fits. Null lang and source
     count as ''; a null doc_id orders as 'null'; texts without tokens are taken with their neighbours; repeated rows
-    are rows of their own (ties by n_tokens). An empty table gives no rows.
+    are rows of their own (ties by n_tokens). An empty table gives no rows. carried: a column of docs that the chosen
+    rows keep, after doc_id; it breaks further ties.
 
     The order inside a leaf is cut into about sqrt(rows) ranges of the hash. Only the range in which the budget runs
     out is sorted; for all others the range's sum decides. No leaf is held by one task.
     """
     source = F.coalesce(F.col("source"), F.lit(""))
+    own = ["doc_id", *([carried] if carried else [])]
     rows = docs.select(
-        "doc_id", (domain_of(source) if domain is None else domain).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"),
+        *own, (domain_of(source) if domain is None else domain).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"),
         tokens(F.col("text")).alias("n_tokens"),
     )
     rows = saved(rows, "mix-rows")
@@ -110,7 +112,7 @@ def mixture(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFram
     # the plan has a row per leaf; domains, languages and sources are few beside documents, and Spark chooses the join by size
     rows = rows.join(plan.drop("have", "n", "budget"), LEAF)
     full = rows.filter("whole > 0").select("*", F.explode(F.expr("sequence(0L, whole - 1)")).alias("epoch"))
-    full = full.select("doc_id", *LEAF, "epoch", "n_tokens")
+    full = full.select(*own, *LEAF, "epoch", "n_tokens")
 
     key = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.col("whole").cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     last = rows.filter("rest > 0").withColumn("key", key)
@@ -120,8 +122,8 @@ def mixture(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFram
     upto = Window.partitionBy(*LEAF).orderBy("range")
     sums = sums.withColumn("end", F.sum("sum").over(upto)).withColumn("start", F.col("end") - F.col("sum"))
     last = last.join(sums.drop("sum"), [*LEAF, "range"]).filter("start <= rest")
-    inside = last.filter("end <= rest").select("doc_id", *LEAF, F.col("whole").alias("epoch"), "n_tokens")
-    order = Window.partitionBy(*LEAF, "range").orderBy("key", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    inside = last.filter("end <= rest").select(*own, *LEAF, F.col("whole").alias("epoch"), "n_tokens")
+    order = Window.partitionBy(*LEAF, "range").orderBy("key", "n_tokens", *own[1:]).rowsBetween(Window.unboundedPreceding, 0)
     edge = last.filter("end > rest").withColumn("through", F.col("start") + F.sum("n_tokens").over(order)).filter("through <= rest")
-    edge = edge.select("doc_id", *LEAF, F.col("whole").alias("epoch"), "n_tokens")
-    return full.unionByName(inside).unionByName(edge).select("doc_id", *LEAF, F.col("epoch").cast("int").alias("epoch"), "n_tokens")
+    edge = edge.select(*own, *LEAF, F.col("whole").alias("epoch"), "n_tokens")
+    return full.unionByName(inside).unionByName(edge).select(*own, *LEAF, F.col("epoch").cast("int").alias("epoch"), "n_tokens")

@@ -1,0 +1,112 @@
+"""The pipeline against brute force, with null and repeated ids."""
+
+import hashlib
+import json
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+
+import corpus_pipeline
+from marketloom.llm import mixing, toxicity
+from marketloom.llm.queries import MIX
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+BAD = ["idiot", "moron", "trash"]
+
+
+def tables(spark, path):
+    """Rows with null, unique and repeated ids, each kind with clean, toxic, copied and contaminated texts."""
+    rng = random.Random(12)
+    say = lambda n: " ".join(f"wo{rng.randrange(900)}rd" for _ in range(n))
+
+    def toxic(n):
+        words = say(n).split()
+        for _ in range(6):
+            words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        return " ".join(words)
+
+    item = f"{say(14)}.\n{say(8)}."
+    texts = [(i, toxic(60) if i % 3 == 0 else say(60)) for i in range(300)]
+    copied = [say(80) for _ in range(8)]
+    texts += [(400, copied[0]), (None, copied[0]), (399, copied[0] + " end"), (None, copied[1]), (None, copied[1]), (500, copied[2]), (500, copied[2]), (500, say(50))]
+    texts += [(501, say(50 + i)) for i in range(5)] + [(502, toxic(50)), (502, say(50)), (502, f"{say(30)} {item} {say(30)}"), (502, say(45))]
+    texts += [(None, say(40 + i)) for i in range(12)] + [(None, toxic(50)), (None, f"{say(20)} {item} {say(20)}"), (503, copied[3]), (504, copied[3]), (503, copied[3]), (None, None), (505, "")]
+    number = lambda t: zlib.crc32((t or "").encode())
+    docs = [(i, t, ["en", "de"][number(t) % 2], f"src{number(t) // 2 % 6}" if number(t) % 11 else None, len(t or "")) for i, t in texts]
+    spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return docs, item
+
+
+def without_copies(docs):
+    sets, group = [], list(range(len(docs)))
+    for d in docs:
+        w = (d[1] or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    for i in range(len(docs)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if same and 100 * same >= 80 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    best = {}
+    for d, g in zip(docs, group, strict=True):
+        if g not in best or (d[0] is None, d[0] or 0) < (best[g][0] is None, best[g][0] or 0):
+            best[g] = d
+    return list(best.values())
+
+
+def mixed(spark, docs):
+    """Times that each row is read: whole epochs, then the start of one more in the order of md5."""
+    leaves = defaultdict(list)
+    for d in docs:
+        source = d[3] or ""
+        domain = f"d{int(source[3:]) % 4}" if source else "d0"
+        leaves[domain, d[2] or "", source].append((d, len((d[1] or "").split())))
+    have = [(*k, sum(n for _, n in v)) for k, v in leaves.items()]
+    budget = {tuple(r[c] for c in mixing.LEAF): (r.have, r.budget) for r in mixing.budgets(spark.createDataFrame(have, "domain string, lang string, source string, have long"), MIX).collect()}
+    out = Counter()
+    for leaf, rows in leaves.items():
+        whole, rest = divmod(budget[leaf][1], budget[leaf][0])
+        key = lambda x: (hashlib.md5(f"{MIX.seed}:{whole}:{'null' if x[0][0] is None else x[0][0]}".encode()).hexdigest(), x[1])  # noqa: E731, B023
+        for d, _ in rows:
+            out[d] += whole
+        for d, n in sorted(rows, key=key):
+            if n > rest:
+                break
+            rest -= n
+            out[d] += rest >= 0 and budget[leaf][1] % budget[leaf][0] > 0
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    path = str(tmp_path)
+    docs, item = tables(spark, path)
+    read = lambda name: spark.read.parquet(f"{path}/{name}.parquet")
+    scores = toxicity.train(read("documents"), read("labels")).scores(pa.array([d[1] for d in docs], pa.string()))
+    kept = [d for d, s in zip(docs, scores, strict=True) if s < toxicity.CUT]
+    assert {d[0] for d in docs if d not in kept} >= {502, None}
+    kept = without_copies(kept)
+    kept = [d for d in kept if item not in (d[1] or "")]
+    ids = Counter(d[0] for d in kept)
+    assert (ids[399], ids[400], ids[500], ids[501], ids[502], ids[503], ids[504]) == (1, 0, 2, 5, 2, 1, 0) and ids[None] >= 13
+
+    at = read("documents")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        at = stage(spark, at, path).localCheckpoint()
+    key = lambda d: json.dumps(d)
+    assert sorted(key(tuple(r)) for r in at.collect()) == sorted(map(key, kept))
+
+    want = Counter()
+    for d, n in mixed(spark, kept).items():
+        want[d[0], zlib.crc32((d[1] or "").encode())] += n
+    made = corpus_pipeline.run(spark, path).collect()
+    assert Counter((r.doc_id, r.text_crc32) for r in made) == +want
+    assert max(n for (i, _), n in want.items() if i is None) > 0 and max(want.values()) > 1
+    for shard in {r.shard for r in made}:
+        own = sorted(r.slot for r in made if r.shard == shard)
+        assert own == list(range(len(own)))
