@@ -11,7 +11,7 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,4}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
     "date": r"(?<![\w/.-])\d{4}-\d{2}-\d{2}(?![\w/-])",
-    "phone": r"(?<!\w)(?:\+1 ?)?\(?[2-9]\d{2}\)?[ .-][2-9]\d{2}[ .-]\d{4}(?!\w)",
+    "phone": r"(?<!\w)(?:\+1 ?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
     "card": r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)",
 }
 KINDS = list(PATTERNS)
@@ -60,12 +60,16 @@ def _card(key: str, m: str, back: bool) -> str:
 
 
 def _phone(key: str, m: str, back: bool) -> str:
-    """Area code and exchange keep a first digit of 2 to 9; a leading +1 stays."""
+    """Area code and exchange with a first digit of 2 to 9 keep one of these, those with 0 or 1 one of those; a leading +1 stays."""
     ten = f"right(regexp_replace({m}, '[^0-9]', ''), 10)"
-    pair = _pair(key, "phone", f"cast(substring({ten}, 1, 3) as int) - 200", f"cast(substring({ten}, 4, 7) as int) - 2000000", "800", "8000000", back)
-    made = f"concat(cast(p.l + 200 as string), cast(p.r + 2000000 as string))"
+    # least numbers of both parts' classes: 200 or 0, 2000000 or 0
+    low = f"named_struct('a', if(substring({ten}, 1, 1) >= '2', 200, 0), 'b', if(substring({ten}, 4, 1) >= '2', 2000000, 0))"
+    left, right = f"cast(substring({ten}, 1, 3) as int) - w.a", f"cast(substring({ten}, 4, 7) as int) - w.b"
+    pair = _pair(key, "phone", left, right, "if(w.a = 0, 200, 800)", "if(w.b = 0, 2000000, 8000000)", back)
+    made = "concat(lpad(cast(p.l + w.a as string), 3, '0'), lpad(cast(p.r + w.b as string), 7, '0'))"
     lead = f"length({m}) - length(regexp_replace({m}, '^[+]1 ?', ''))"
-    return f"element_at(transform(array({pair}), p -> concat(substring({m}, 1, {lead}), {_into(f'substring({m}, {lead} + 1)', made)})), 1)"
+    filled = f"concat(substring({m}, 1, {lead}), {_into(f'substring({m}, {lead} + 1)', made)})"
+    return f"element_at(transform(array({low}), w -> element_at(transform(array({pair}), p -> {filled}), 1)), 1)"
 
 
 def _ip(key: str, m: str, back: bool) -> str:
@@ -109,7 +113,7 @@ def _kind(m: str) -> str:
     return (
         f"case when contains({m}, '@') then 'email' when {m} rlike '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$' then 'ip' "
         f"when {m} rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' then 'date' "
-        f"when {m} rlike '^([+]1 ?)?[(]?[2-9][0-9]{{2}}[)]?[ .-][2-9][0-9]{{2}}[ .-][0-9]{{4}}$' then 'phone' else 'card' end"
+        f"when {m} rlike '^([+]1 ?)?[(]?[0-9]{{3}}[)]?[ .-][0-9]{{3}}[ .-][0-9]{{4}}$' then 'phone' else 'card' end"
     )
 
 

@@ -188,6 +188,19 @@ def test_pseudonyms_keep_formats_links_and_come_back(spark):
     assert back == {r.doc_id: r.text for r in docs.collect()}
 
 
+def test_phones_of_all_area_codes(spark):
+    phones = ["+1 (017) 555-7713", "+1 (199) 055-0001", "+1 (743) 155-3824", "(000) 000-0000", "+1 (743) 555-3824", "999-999-9999", "100.200.3000"]
+    docs = frame(spark, [f"call {p} now" for p in phones])
+    made = pii.pseudonymise(docs, "secret9")
+    got = {r.doc_id: r for r in made.collect()}
+    for i, old in enumerate(phones):
+        new = got[i].text[5:-4]
+        assert got[i].n_phone == 1 and new != old and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", old)
+        for part in (-10, -7):
+            assert (re.sub(r"\D", "", new)[part] >= "2") == (re.sub(r"\D", "", old)[part] >= "2")
+    assert {r.doc_id: r.text for r in pii.pseudonymise(made, "secret9", back=True).collect()} == {r.doc_id: r.text for r in docs.collect()}
+
+
 def test_secret_spans_against_re(spark):
     texts = ["token: abcdefgh password=x1 PASSWORD = 'hunter22'", "secret: token: abcdefgh", "é AKIA" + "A1" * 9 + " AKIA12", "ab" * 12 + " " + "0f" * 30 + "g", None, "api_key=\"sk/+=._-1\" apikey:123456 é"]
     got = {r.doc_id: {(s.kind, s.start, s.end) for s in r.spans} for r in secrets.scan(frame(spark, texts)).collect()}
