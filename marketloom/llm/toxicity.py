@@ -12,14 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textops import ODD, PLAIN, U, buffers, mix, pieces, prefix_hash, span_hash, word_spans
+from .textops import ODD, PLAIN, U, buffers, groups, mix, pieces, prefix_hash, span_hash, word_spans
 
 #: Words of a window and the step from one to the next.
 WINDOW, STEP = 32, 24
 HIDDEN, EMBEDDED, TABLE_SIZE = 8, 6, 4096
-#: Labelled documents of each class that are read for term odds, and again as many for the network; texts are read up to
-#: TRAIN_CHARS there. Scoring has no such bounds.
-PER_CLASS, TRAIN_CHARS = 1200, 20_000
+#: Labelled documents of each class that are read, whole, for term odds, and again as many for the network. Scoring has no
+#: such bound.
+PER_CLASS = 1200
 CUT = 0.7
 #: Log odds below which a term is left out.
 LEAST = 0.7
@@ -231,16 +231,37 @@ class Network:
                     v -= (rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)).astype(F32)
 
 
-def _windows(which: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """index (windows, WINDOW) into words, mask, row: windows of each row, STEP apart, the last one at its end."""
+def _read(data: np.ndarray, offsets: np.ndarray, inputs: Inputs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """fixed and places of the distinct words of rows, the distinct word of each word, and where each row's words begin.
+
+    Arrays of bytes are held piece by piece, so long texts cost four bytes a word and their distinct words.
+    """
+    own, fixed, places, which = [np.zeros(0, np.uint64)], [np.zeros((0, 4), F32)], [np.zeros((0, 4), np.int64)], [np.zeros(0, np.int32)]
+    length, base = np.zeros(len(offsets) - 1, np.int64), 0
+    for i, piece, edges in pieces(data, offsets):
+        hashes, starts, ends, place, at = _distinct_words(piece, edges)
+        f, p = inputs(piece, starts, ends, hashes)
+        own.append(hashes), fixed.append(f), places.append(p), which.append((place + base).astype(np.int32))
+        length[i : i + len(at) - 1] += np.diff(at)
+        base += len(hashes)
+    _, first, again = np.unique(np.concatenate(own), return_index=True, return_inverse=True)
+    which = again.astype(np.int32)[np.concatenate(which)]
+    return np.concatenate(fixed)[first], np.concatenate(places)[first], which, np.concatenate(([0], np.cumsum(length)))
+
+
+def _windows(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and row of the windows of each row, STEP apart, the last one at its end."""
     n = np.diff(at)
     count = np.where(n == 0, 0, np.maximum(1, -(-(n - WINDOW) // STEP) + 1))
     row = np.repeat(np.arange(len(n)), count)
     k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    start = np.minimum(k * STEP, np.maximum(n[row] - WINDOW, 0)) + at[:-1][row]
+    return np.minimum(k * STEP, np.maximum(n[row] - WINDOW, 0)) + at[:-1][row], row
+
+
+def _words_of(which: np.ndarray, at: np.ndarray, start: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """index (windows, WINDOW) into distinct words, and mask."""
     place = start[:, None] + np.arange(WINDOW)
-    mask = place < at[1:][row][:, None]
-    return which[np.minimum(place, max(len(which) - 1, 0))] if len(which) else place, mask, row
+    return which[np.minimum(place, len(which) - 1)], place < at[1:][row][:, None]
 
 
 @dataclass
@@ -253,23 +274,24 @@ class Model:
     empty: float
 
     def window_logits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hashes, starts, ends, which, at = _distinct_words(data, offsets)
-        index, mask, row = _windows(which, at)
-        table = self.network.projected(self.network.inputs(*self.inputs(data, starts, ends, hashes)))
+        fixed, places, which, at = _read(data, offsets, self.inputs)
+        start, row = _windows(at)
+        table = self.network.projected(self.network.inputs(fixed, places))
         out = np.zeros(len(row), F32)
-        whole = mask.all(1)
+        whole = start + WINDOW <= at[1:][row]
         for part, m in ((np.flatnonzero(whole), False), (np.flatnonzero(~whole), True)):
             for s in range(0, len(part), 4096):
                 i = part[s : s + 4096]
-                out[i] = self.network.logits(table, index[i], mask[i] if m else None)
+                index, mask = _words_of(which, at, start[i], row[i])
+                out[i] = self.network.logits(table, index, mask if m else None)
         return out, row
 
     def tops(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The largest window logit of each text and its number of windows."""
+        """The largest window logit of each text and its number of windows; windows go on across pieces of long texts."""
         data, offsets = buffers(column)
         top, count = np.full(len(offsets) - 1, -np.inf), np.zeros(len(offsets) - 1, np.int64)
-        for i, own, at in pieces(PLAIN[data], offsets):
-            logit, row = self.window_logits(own, at)
+        for i, j in groups(offsets):
+            logit, row = self.window_logits(PLAIN[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i])
             np.maximum.at(top, i + row, logit)
             count += np.bincount(i + row, minlength=len(count))
         return top, count
@@ -310,39 +332,45 @@ def fit(examples: list[tuple[str, int, int]]) -> Model:
     rng = np.random.default_rng(3)
     own = [e for e in examples if e[2] == 0] or examples
     data, offsets = buffers(pa.array([t for t, _, _ in own], pa.string()))
-    data = PLAIN[data]
-    hashes, starts, ends, which, at = _distinct_words(data, offsets)
-    held = [np.unique(which[at[k] : at[k + 1]]) for k in range(len(own))]
     labels = np.array([y for _, y, _ in own])
-    grams, owner = _gram_spans(data, starts, ends)
-    order = np.argsort(owner, kind="stable")
-    grams, count = grams[order], np.bincount(owner, minlength=len(starts))
-    begin = np.cumsum(count) - count
-    strings = [np.unique(np.concatenate([grams[begin[w] : begin[w] + count[w]] for w in h] or [grams[:0]])) for h in held]
-    inputs = Inputs(Odds.of([hashes[h] for h in held], labels), Odds.of(strings, labels))
+    held: list[list[np.ndarray]] = [[] for _ in own]
+    strings: list[list[np.ndarray]] = [[] for _ in own]
+    for i, piece, edges in pieces(PLAIN[data], offsets):
+        hashes, starts, ends, which, at = _distinct_words(piece, edges)
+        grams, owner = _gram_spans(piece, starts, ends)
+        order = np.argsort(owner, kind="stable")
+        grams, count = grams[order], np.bincount(owner, minlength=len(starts))
+        begin = np.cumsum(count) - count
+        for k in range(len(edges) - 1):
+            words = np.unique(which[at[k] : at[k + 1]])
+            held[i + k].append(hashes[words])
+            strings[i + k].append(np.unique(np.concatenate([grams[begin[w] : begin[w] + count[w]] for w in words] or [grams[:0]])))
+    once = lambda rows: [np.unique(np.concatenate(r)) for r in rows]
+    inputs = Inputs(Odds.of(once(held), labels), Odds.of(once(strings), labels))
     empty = float(labels.mean()) if len(labels) else 0.0
 
     rest = [e for e in examples if e[2] != 0] or examples
     order = rng.permutation(len(rest))
     train, check = [rest[k] for k in order[: -(-2 * len(rest) // 3)]], [rest[k] for k in order[-(-2 * len(rest) // 3) :]] or rest
     data, offsets = buffers(pa.array([t for t, _, _ in train], pa.string()))
-    data = PLAIN[data]
-    hashes, starts, ends, which, at = _distinct_words(data, offsets)
-    fixed, places = inputs(data, starts, ends, hashes)
-    index, mask, row = _windows(which, at)
+    fixed, places, which, at = _read(PLAIN[data], offsets, inputs)
+    start, row = _windows(at)
+    ranges = [slice(s, s + 4096) for s in range(0, len(row), 4096)]
+    windows = lambda i: _words_of(which, at, start[i], row[i])
     network = Network()
     if len(row):
         y = np.array([e[1] for e in train])[row]
-        rank = np.where(mask, np.maximum(fixed[:, 0], fixed[:, 1])[index], -9).max(1)
+        odds = np.maximum(fixed[:, 0], fixed[:, 1])
+        rank = np.concatenate([np.where(mask, odds[index], -9).max(1) for index, mask in map(windows, ranges)])
         for turn in range(3):
             if turn:
                 table = network.projected(network.inputs(fixed, places))
-                rank = np.concatenate([network.logits(table, index[s : s + 4096], mask[s : s + 4096]) for s in range(0, len(row), 4096)])
+                rank = np.concatenate([network.logits(table, *windows(i)) for i in ranges])
             best = np.lexsort((-rank, row))
             nth = np.arange(len(row)) - np.searchsorted(row[best], row[best])
             random = rng.random(len(row)) < 0.15
             chosen = best[(nth == 0) | ((y[best] == 0) & ((nth == 1) | random))]
-            network.train(fixed, places, index[chosen], mask[chosen], y[chosen].astype(F32), epochs=10 if turn == 0 else 6, seed=turn)
+            network.train(fixed, places, *windows(chosen), y[chosen].astype(F32), epochs=10 if turn == 0 else 6, seed=turn)
     model = Model(inputs, network, (1.0, 0.0, 0.0), empty)
     top, count = model.tops(pa.array([t for t, _, _ in check], pa.string()))
     known = count > 0
@@ -352,7 +380,7 @@ def fit(examples: list[tuple[str, int, int]]) -> Model:
 
 
 def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At most PER_CLASS labelled documents of either class for either part, by hash order; none that are held out."""
+    """At most PER_CLASS labelled documents of either class for either part, by hash order, with their whole texts; none that are held out."""
     mine = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
     mine = mine.withColumn("part", _part(F.col("doc_id")).cast("int")).filter("part <> 1")
     chosen = None
@@ -360,7 +388,7 @@ def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for part in (0, 2):
             some = mine.filter(f"toxic = {toxic} and part = {part}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS)
             chosen = some if chosen is None else chosen.unionByName(some)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.coalesce("text", F.lit("")), 1, TRAIN_CHARS).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # at most 4 * PER_CLASS ids are broadcast
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int"), "part")
 

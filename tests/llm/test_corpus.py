@@ -281,3 +281,21 @@ def test_toxicity_on_held_out_documents(spark):
     y = np.array([i % 2 for i in range(200)])
     s = model.scores(pa.array([doc(v) for v in y]))
     assert ((s >= 0.7) == (y == 1)).mean() > 0.95 and 0 <= model.scores(pa.array([None, ""])).max() <= 1
+
+
+def test_toxicity_reads_whole_texts(spark):
+    late = "fine day " * 4000 + "you idiot " * 9
+    rows = [(i, late if i % 2 else "fine day " * 4000) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int")
+    read = toxicity.examples(docs, labels).collect()
+    assert read and all(r.text == rows[r.doc_id][1] for r in read)
+    model = toxicity.train(docs, labels)
+    s = model.scores(pa.array([late, "fine day " * 4000]))
+    assert s[0] >= 0.7 > s[1]
+
+    # over 4 MB: the same windows as in one pass
+    text = " ".join(f"w{i % 9973}" for i in range(900_000)) + " you idiot" * 9
+    n = len(text.split())
+    top, count = model.tops(pa.array([text]))
+    assert len(text) > 4 << 20 and count[0] == -(-(n - toxicity.WINDOW) // toxicity.STEP) + 1
