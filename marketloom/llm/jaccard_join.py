@@ -86,6 +86,7 @@ def _sketches(n: int, percent: int):
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             ids = batch.column("doc_id")
+            known = ids.is_valid().to_pylist()  # rows without id are no partners
             for i, j, hashes, at in words(LOWER[data], offsets):
                 sizes, prints, bits, keys = [], [], [], []
                 for k in range(j - i):
@@ -98,8 +99,9 @@ def _sketches(n: int, percent: int):
                     prints.append(name)
                     odd = (np.bincount((u & U(255)).astype(np.intp), minlength=256) & 1).astype(np.uint8)
                     bits.append(np.packbits(odd).view(np.int64))
-                    keys.append(None if name in seen else _segment_keys(u, bands).view(np.int64))
-                    seen.add(name)
+                    keys.append(None if name in seen or not known[i + k] else _segment_keys(u, bands).view(np.int64))
+                    if known[i + k]:
+                        seen.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(bits), _lists(keys)], schema=schema
                 )

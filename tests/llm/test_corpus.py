@@ -93,6 +93,13 @@ def test_jaccard_against_brute_force(spark):
         assert got == {i: (len(sets[i]), root(i)) for i in range(len(texts))}
 
 
+def test_jaccard_links_a_class_whose_first_row_has_no_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text, "en", "s", "h", "s", "k"), (7, text, "en", "s", "h", "s", "k"), (3, text + " more", "en", "s", "h", "s", "k")]
+    got = {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA).coalesce(1), 5, 80).collect()}
+    assert got == {(None, 3), (7, 3), (3, 3)}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, i) for i in range(101, 140)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
