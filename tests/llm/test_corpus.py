@@ -72,25 +72,68 @@ def test_jaccard_against_brute_force(spark):
         base = [f"w{rng.randrange(400)}" for _ in range(size)]
         texts += [" ".join(_mutated(rng, base, rng.randrange(0, 1 + size // 20))) for _ in range(12)]
     for n, percent in ((4, 85), (5, 80)):
-        sets = []
-        for t in texts:
-            w = t.lower().split()
-            sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)})
-        low = list(range(len(texts)))
-
-        def root(i, low=low):
-            while low[i] != i:
-                i = low[i]
-            return i
-
-        for i in range(len(texts)):
-            for j in range(i):
-                same = len(sets[i] & sets[j])
-                if 100 * same >= percent * (len(sets[i]) + len(sets[j]) - same):
-                    a, b = root(i), root(j)
-                    low[max(a, b)] = min(a, b)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame(spark, texts), n, percent).collect()}
-        assert got == {i: (len(sets[i]), root(i)) for i in range(len(texts))}
+        assert got == _linked(texts, n, percent)
+
+
+def _linked(texts, n, percent):
+    """Number of shingles and component of each text, by comparing all pairs."""
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)})
+    low = list(range(len(texts)))
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            same = len(sets[i] & sets[j])
+            if 100 * same >= percent * (len(sets[i]) + len(sets[j]) - same):
+                a, b = root(i), root(j)
+                low[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), root(i)) for i in range(len(texts))}
+
+
+def test_jaccard_in_large_groups_around_the_threshold(spark, monkeypatch):
+    """Groups of near copies just above and just below the threshold, and groups inside a group; centred anew repeatedly."""
+    monkeypatch.setattr(jaccard_join, "LARGE", 12)
+    rng = random.Random(14)
+    base = [f"w{rng.randrange(900)}" for _ in range(160)]
+    texts = [" ".join(_mutated(rng, base, rng.randrange(0, 12))) for _ in range(300)]
+    for _ in range(6):
+        inner = _mutated(rng, base, 14)
+        texts += [" ".join(_mutated(rng, inner, rng.randrange(0, 5))) for _ in range(25)]
+    texts += [" ".join(w for w in base if rng.random() > 0.03) for _ in range(60)]
+    rng.shuffle(texts)
+    want = _linked(texts, 5, 80)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame(spark, texts), 5, 80).collect()}
+    assert got == want and 20 < len({c for _, c in want.values()}) < 400
+
+
+def test_jaccard_prefixes_meet_where_sets_link():
+    """For sets that link and are not both near their centre, a token stands in the prefixes that are compared."""
+    rng = np.random.default_rng(8)
+    pool = rng.integers(1, 1 << 62, 4000).astype(np.uint64)
+    met = 0
+    for trial in range(4000):
+        percent = int(rng.choice([80, 85]))
+        p = np.unique(rng.choice(pool[:200], int(rng.integers(20, 150))))
+        x = np.unique(np.concatenate([p[rng.random(len(p)) > rng.choice([0.05, 0.2])], rng.choice(pool, int(rng.integers(0, 40)))]))
+        z = np.unique(np.concatenate([x[rng.random(len(x)) > 0.07], rng.choice(pool, int(rng.integers(0, 9)))]))
+        common, counts = np.unique(rng.choice(pool[:300], 100), return_counts=True)
+        if not len(x) or not len(z) or 100 * len(np.intersect1d(x, z)) < percent * len(np.union1d(x, z)) or np.array_equal(x, z) or np.array_equal(x, p) or np.array_equal(z, p):
+            continue
+        (nx, sx, tx), (nz, sz, tz) = (jaccard_join._prefix(u, p, common, counts, percent) for u in (x, z))
+        if nx and nz:
+            continue
+        short = lambda t, s: set(t[:s].tolist())
+        assert (short(tx, sx) if nx or not nz else set(tx.tolist())) & (short(tz, sz) if nz or not nx else set(tz.tolist()))
+        met += 1
+    assert met > 300
 
 
 def test_jaccard_links_a_class_whose_first_row_has_no_id(spark):
