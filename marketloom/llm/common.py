@@ -1,17 +1,21 @@
-"""Shared pieces of the corpus operators: scratch tables, skew-safe joins, fixed-size key sieves."""
+"""Shared pieces of the corpus operators: scratch tables, skew-safe joins, key sieves of bounded size."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key counts as hot when it holds more than one in HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
-#: Bits of a sieve: 4 Mi bits, half a megabyte in 128 rows, whatever the input.
-SIEVE_BITS = 1 << 22
+#: Bits of a sieve: sixteen for each key, within these bounds (half a megabyte and 128 MB).
+LEAST_BITS, MOST_BITS = 1 << 22, 1 << 30
+#: Scratch tables that this process has written.
+_written: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one is set only where that is unset, as in tests."""
+    """The shared folder of spark.checkpoint.dir; a local one is set only where that is unset and Spark runs in one process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -36,7 +42,22 @@ def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables saved inside are deleted at the end, but for those that are put in the list."""
+    before, kept = len(_written), []
+    yield kept
+    for path in _written[before:]:
+        if path not in {df._scratch for df in kept}:
+            _written.remove(path)
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
@@ -53,23 +74,22 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> Dat
     return of_hot.unionByName(of_cold)
 
 
-def _position(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
-
-
 def sieve(rows: DataFrame, key: Column, keys: DataFrame, keys_col: str) -> DataFrame:
     """rows without most of those whose key isn't in keys; every row whose key is there stays.
 
-    keys become a bitmap of fixed size (128 rows of 4 kB), so what is broadcast has a bound. The caller still
-    joins with keys; this only spares that join the rows that cannot match.
+    keys (a saved table) become a bitmap of at most MOST_BITS in rows of 4 kB, so what is broadcast has a bound. The
+    caller still joins with keys; this only spares that join the rows that cannot match.
     """
-    at = keys.select(_position(F.col(keys_col)).alias("p")).distinct()
+    wanted = 16 * keys.count()
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, wanted - 1).bit_length()))
+    position = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
+    at = keys.select(position(F.col(keys_col)).alias("p")).distinct()
     bits = at.groupBy(F.bitmap_bucket_number("p").alias("__bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits")
     )
     byte = "cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int)"
     return (
-        rows.withColumns({"__bucket": F.bitmap_bucket_number(_position(key)), "__at": F.bitmap_bit_position(_position(key))})
+        rows.withColumns({"__bucket": F.bitmap_bucket_number(position(key)), "__at": F.bitmap_bit_position(position(key))})
         .join(F.broadcast(bits), "__bucket")
         .filter(F.expr(f"shiftright({byte}, cast(__at % 8 as int)) & 1 = 1"))
         .drop("__bucket", "__at", "__bits")
