@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,12 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved
 from .textops import PLAIN, buffers, shingles, words
 
-#: Items of an index at most, so that what is broadcast has a bound; more items are searched block of items by block.
-INDEX_ITEMS = 20_000
+#: Bytes of item texts in one index, so that what is broadcast has a bound (one longer item is an index of its own); more
+#: items are searched index by index, all with the statistics of all items.
+INDEX_BYTES = 8 << 20
 #: Items whose largest impacts are kept together, and blocks that are bounded together before they are bounded one by one.
 BLOCK, SUPER = 4, 16
+#: Pairs of passage and block that are bounded at once.
+BOUNDED = 1 << 21
 K1, B = 1.2, 0.75
 #: Words of a shingle in the overlap check, and the share of shingles of question and answer that must be there.
 SHINGLE, OVERLAP = 5, 0.8
@@ -46,6 +51,65 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
     return out + [np.zeros(0, np.uint64)] * (len(texts) - len(out))
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What BM25 needs of all items: their number, mean and largest number of words, and the items that hold each term."""
+
+    n_items: int
+    mean_words: float
+    longest: int
+    items_with: Mapping[int, int]
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Statistics:
+        own = [h for h in _hashes(texts) if len(h)]
+        lengths = [len(h) for h in own]
+        held = Counter(t for h in own for t in np.unique(h).tolist())
+        return cls(len(own), sum(lengths) / max(1, len(own)), max(lengths, default=0), held)
+
+
+@dataclass
+class Tops:
+    """The largest impact of each term in each block that holds it, term after term: term t has places first[t] to
+    first[t + 1] of block and top."""
+
+    first: np.ndarray
+    block: np.ndarray
+    top: np.ndarray
+
+    @classmethod
+    def of(cls, postings: list[tuple[np.ndarray, np.ndarray]], width: int) -> Tops:
+        first, blocks, tops = [0], [], []
+        for items, impacts in postings:
+            own, begin = np.unique(items // width, return_index=True)
+            blocks.append(own.astype(np.int32))
+            tops.append(np.nextafter(np.maximum.reduceat(impacts, begin).astype(np.float32), np.float32(2)))
+            first.append(first[-1] + len(own))
+        empty = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        return cls(np.array(first), np.concatenate(blocks or empty[0]), np.concatenate(tops or empty[1]))
+
+    def of_term(self, t: int) -> dict[int, float]:
+        at = slice(self.first[t], self.first[t + 1])
+        return dict(zip(self.block[at].tolist(), self.top[at].tolist(), strict=True))
+
+    def hopeful(self, passage: np.ndarray, term: np.ndarray, n_blocks: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, block) whose terms' largest impacts reach the threshold in sum. passage must be sorted."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        count = self.first[term + 1] - self.first[term]
+        through = np.cumsum(count)
+        s = 0
+        while s < len(term):
+            e = int(np.searchsorted(through, (through[s - 1] if s else 0) + BOUNDED, "right"))
+            e = int(np.searchsorted(passage, passage[min(max(e, s + 1), len(term)) - 1], "right"))  # no passage is cut
+            n, low = count[s:e], passage[s]
+            at = np.repeat(self.first[term[s:e]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            key, place = np.unique((np.repeat(passage[s:e], n) - low) * n_blocks + self.block[at], return_inverse=True)
+            held = key[np.bincount(place, self.top[at], len(key)) >= threshold - 1e-4]
+            found.append((held // n_blocks + low, held % n_blocks))
+            s = e
+        return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (passage[:0], passage[:0])
+
+
 @dataclass
 class Index:
     """Postings of items in the order of their own scores, with each block's largest impact.
@@ -57,25 +121,26 @@ class Index:
     ids: np.ndarray
     terms: np.ndarray
     postings: list[tuple[np.ndarray, np.ndarray]]
-    block_max: np.ndarray
+    blocks: Tops
+    supers: Tops
     longest: int
     #: Shingles of question and answer, and the words of a shingle: SHINGLE, or all words of a shorter part.
     parts: list[list[np.ndarray]]
     sizes: list[list[int]]
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]]) -> Index:
+    def build(cls, items: list[tuple[int, str]], every: Statistics | None = None) -> Index:
+        """The index of some items with the statistics of all; without any, of these."""
+        every = Statistics.of([t for _, t in items]) if every is None else every
         own = _hashes([t for _, t in items])
         keep = [k for k in range(len(items)) if len(own[k])]
         items, own = [items[k] for k in keep], [own[k] for k in keep]
         counted = [np.unique(h, return_counts=True) for h in own]
-        n_items, mean_words = len(items), sum(map(len, own)) / max(1, len(items))
-        every, n = np.unique(np.concatenate([c[0] for c in counted] or [np.zeros(0, np.uint64)]), return_counts=True)
-        df = dict(zip(every.tolist(), n.tolist(), strict=True))
         weights = []
         for (terms, tf), h in zip(counted, own, strict=True):
-            idf = np.array([math.log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
-            weights.append(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / mean_words)))
+            held = np.array([every.items_with[t] for t in terms.tolist()])
+            idf = np.log(1 + (every.n_items - held + 0.5) / (held + 0.5))
+            weights.append(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(h) / every.mean_words)))
         order = sorted(range(len(items)), key=lambda k: (weights[k].sum(), items[k][0]))
         items, own, counted, weights = ([x[k] for k in order] for x in (items, own, counted, weights))
         vocabulary = np.unique(np.concatenate([c[0] for c in counted] or [np.zeros(0, np.uint64)]))
@@ -84,14 +149,21 @@ class Index:
             for t, x in zip(np.searchsorted(vocabulary, terms).tolist(), (w / w.sum()).tolist(), strict=True):
                 lists[t].append((k, x))
         postings = [(np.array([k for k, _ in p], np.int32), np.array([x for _, x in p])) for p in lists]
-        block_max = np.zeros((len(vocabulary), -(-len(items) // BLOCK)), np.float32)
-        for t, (k, x) in enumerate(postings):
-            np.maximum.at(block_max[t], k // BLOCK, np.nextafter(x.astype(np.float32), np.float32(2)))
         halves = [_hashes(list(question_answer(t))) for _, t in items]
         sizes = [[min(SHINGLE, max(1, len(h))) for h in pair] for pair in halves]
         parts = [[np.unique(shingles(h, n)) for h, n in zip(pair, size, strict=True)] for pair, size in zip(halves, sizes, strict=True)]
-        longest = max([len(h) for h in own], default=0)
-        return cls(np.array([i for i, _ in items], np.int64), vocabulary, postings, block_max, longest, parts, sizes)
+        ids = np.array([i for i, _ in items], np.int64)
+        return cls(ids, vocabulary, postings, Tops.of(postings, BLOCK), Tops.of(postings, BLOCK * SUPER), every.longest, parts, sizes)
+
+    def hopeful(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, block) that may hold items over the threshold, bounded by super-blocks first."""
+        n_blocks = -(-len(self.ids) // BLOCK)
+        n_supers = -(-n_blocks // SUPER)
+        some, supers = self.supers.hopeful(passage, term, n_supers, threshold)
+        left = np.isin(passage, some)
+        passage, block = self.blocks.hopeful(passage[left], term[left], n_blocks, threshold)
+        inside = np.isin(passage * n_supers + block // SUPER, some * n_supers + supers)
+        return passage[inside], block[inside]
 
     def wand(self, terms: np.ndarray, blocks: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Items (by place) that score the threshold or more for a set of terms, in the blocks that are left.
@@ -100,14 +172,14 @@ class Index:
         threshold by their largest impacts; if its block's largest impacts can't, all cursors go on to the next block.
         """
         ends = len(self.ids)
-        open_block = np.zeros(self.block_max.shape[1] + 1, bool)
+        open_block = np.zeros(ends // BLOCK + 1, bool)
         open_block[blocks] = True
         lists = []
         for t in terms.tolist():
             items, impacts = self.postings[t]
             inside = open_block[items // BLOCK]
             if inside.any():
-                lists.append([0, items[inside].tolist(), impacts[inside].tolist(), float(impacts[inside].max()), self.block_max[t]])
+                lists.append([0, items[inside].tolist(), impacts[inside].tolist(), float(impacts[inside].max()), self.blocks.of_term(t)])
         out = []
         at = lambda x: x[1][x[0]] if x[0] < len(x[1]) else ends
         while True:
@@ -123,7 +195,7 @@ class Index:
             item = at(lists[pivot])
             here = [x for x in lists if at(x) <= item]
             block = item // BLOCK
-            if sum(float(x[4][block]) for x in here) < threshold - 1e-9:
+            if sum(x[4].get(block, 0.0) for x in here) < threshold - 1e-9:
                 onward = min([(block + 1) * BLOCK, *(at(x) for x in lists if at(x) > item)])
                 for x in here:
                     while x[0] < len(x[1]) and at(x) < onward:
@@ -159,18 +231,10 @@ def _search(index: Index, hashes: np.ndarray, at: np.ndarray, threshold: float)
     pair = np.unique(np.concatenate((passage, passage[earlier] - 1)) * len(index.terms) + np.concatenate((place[hit], place[hit][earlier])))
     passage, term = np.divmod(pair, len(index.terms))
     begin = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-    alive: dict[int, list[int]] = {}
     number = np.cumsum(np.append(True, passage[1:] != passage[:-1])) - 1
-    for b in range(0, index.block_max.shape[1], SUPER):
-        columns = index.block_max[:, b : b + SUPER]
-        hopeful = np.add.reduceat(columns.max(1)[term], begin) >= threshold - 1e-4
-        rows = np.flatnonzero(hopeful[number])
-        if not len(rows):
-            continue
-        heads = np.flatnonzero(np.append(True, number[rows][1:] != number[rows][:-1]))
-        bound = np.add.reduceat(columns[term[rows]], heads, axis=0)
-        for p, k in zip(*np.nonzero(bound >= threshold - 1e-4), strict=True):
-            alive.setdefault(int(number[rows[heads[p]]]), []).append(b + int(k))
+    alive: dict[int, list[int]] = {}
+    for p, block in zip(*(x.tolist() for x in index.hopeful(number, term, threshold)), strict=True):
+        alive.setdefault(p, []).append(block)
     last = np.append(begin[1:], len(passage))
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
     for p, blocks in alive.items():
@@ -194,6 +258,21 @@ def _search(index: Index, hashes: np.ndarray, at: np.ndarray, threshold: float)
         yield r, item, *values
 
 
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, term, n_words): a row per item with words (term null), and one per distinct word of each."""
+    for batch in batches:
+        data, offsets = buffers(batch.column("text"))
+        blocks = batch.column("block").to_pylist()
+        rows: list[tuple] = []
+        for i, j, hashes, at in words(PLAIN[data], offsets):
+            for k in range(j - i):
+                if len(own := hashes[at[k] : at[k + 1]]):
+                    rows.append((blocks[i + k], None, len(own)))
+                    rows += [(blocks[i + k], t, None) for t in np.unique(own).view(np.int64).tolist()]
+        columns = list(zip(*rows, strict=True)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["block", "term", "n_words"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: each document and each item that it holds.
 
@@ -202,16 +281,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     the passage. Null and empty texts hold nothing, and null or empty items are in none; items of equal text are found
     together; repeated documents give equal rows; a null doc_id stays null. Empty tables give no rows; columns besides
     the ids and texts are not read.
+
+    The benchmark is a bounded side: each index (INDEX_BYTES of item texts) is built on the driver and broadcast, and the
+    documents are read once per index. Scores, passages and hits are the same however items are dealt over indexes.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null and item_id is not null")
-    n_items = items.count()
-    blocks = max(1, -(-n_items // INDEX_ITEMS))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // INDEX_BYTES))
+    items = saved(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "benchmark-items")
+    terms = saved(items.mapInArrow(_terms_of, "block int, term long, n_words long"), "benchmark-terms")
+    texts = terms.filter("term is null").agg(F.count("*"), F.avg("n_words"), F.max("n_words")).first()
+    held = terms.filter("term is not null").groupBy("block", "term").agg(F.count("*").alias("n"))
+    held = saved(held.withColumn("n", F.expr("sum(n) over (partition by term)")), "benchmark-held")
     out = []
     for k in range(blocks):
-        some = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        index = spark.sparkContext.broadcast(Index.build(some))
+        some = [tuple(r) for r in items.filter(F.col("block") == k).select("item_id", "text").collect()]
+        own = held.filter(F.col("block") == k).select("term", "n").toPandas()
+        items_with = dict(zip(own.term.to_numpy(np.int64).view(np.uint64).tolist(), own.n.tolist(), strict=True))
+        every = Statistics(texts[0], texts[1] or 0.0, texts[2] or 0, items_with)
+        index = spark.sparkContext.broadcast(Index.build(some, every))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
