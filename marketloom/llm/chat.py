@@ -61,7 +61,7 @@ def _turn(role: str, text: str) -> tuple[str, int]:
 
 
 def _window_rows(batches: Iterator[pd.DataFrame], budget: int, history: int) -> Iterator[pd.DataFrame]:
-    """Rows of a conversation come together and in order; all that is held is the window being filled and its history."""
+    """Rows of a conversation come together and in order; all that is held is the window being filled and its history (no more than `history` tokens)."""
     conv = object()
     system: tuple | None = None
     new: list[tuple] = []
@@ -75,14 +75,7 @@ def _window_rows(batches: Iterator[pd.DataFrame], budget: int, history: int) ->
         nonlocal number, new, recent, held
         if not new:
             return
-        lead = [system] if number and system else []
-        kept, room = [], history
-        for turn in reversed(recent):
-            if turn[2] > room:
-                break
-            kept.append(turn)
-            room -= turn[2]
-        lead += kept[::-1]
+        lead = [*([system] if number and system else []), *recent]
         text, starts, ends = [], [], []
         at = 0
         for i, (role, body, _) in enumerate([*lead, *new]):
@@ -95,7 +88,10 @@ def _window_rows(batches: Iterator[pd.DataFrame], budget: int, history: int) ->
         out.append((conv, number, "".join(text), len(lead), starts, ends, sum(t[2] for t in (*lead, *new))))
         held += at
         number += 1
-        recent = [t for t in [*recent, *new] if t is not system][-64:]
+        turns, recent, room = [t for t in [*recent, *new] if t is not system], [], history
+        while turns and turns[-1][2] <= room:
+            room -= turns[-1][2]
+            recent.insert(0, turns.pop())
         new = []
 
     for pdf in batches:
