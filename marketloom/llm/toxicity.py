@@ -348,6 +348,9 @@ def fit(examples: list[tuple[str, int, int]]) -> Model:
     once = lambda rows: [np.unique(np.concatenate(r)) for r in rows]
     inputs = Inputs(Odds.of(once(held), labels), Odds.of(once(strings), labels))
     empty = float(labels.mean()) if len(labels) else 0.0
+    if len({e[1] for e in examples}) < 2:
+        share = sum(e[1] for e in examples) / max(1, len(examples))
+        return Model(inputs, Network(), (0.0, 0.0, 1000.0 * (share - 0.5)), share)
 
     rest = [e for e in examples if e[2] != 0] or examples
     order = rng.permutation(len(rest))
@@ -381,7 +384,8 @@ def fit(examples: list[tuple[str, int, int]]) -> Model:
 
 def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """At most PER_CLASS labelled documents of either class for either part, by hash order, with their whole texts; none that are held out."""
-    mine = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
+    mine = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter("toxic in (0, 1) and doc_id is not null")
+    mine = mine.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # labels that differ: toxic
     mine = mine.withColumn("part", _part(F.col("doc_id")).cast("int")).filter("part <> 1")
     chosen = None
     for toxic in (0, 1):
@@ -411,7 +415,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits in one task on the sample of examples(), whose size has a bound; only the model comes to the driver."""
+    """Fits in one task on the sample of examples(), whose size has a bound; only the model comes to the driver.
+
+    Of a document's labels that differ the toxic one counts. Labels of one class alone
+    teach nothing: then all texts score that class, and 0 without any labels.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = sorted((r for pdf in batches for r in pdf.itertuples(index=False)), key=lambda r: (r.doc_id, r.text))
