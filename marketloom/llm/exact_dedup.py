@@ -37,8 +37,10 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", hash_of: Callable[
     salts = shared.filter(F.col("group_size") * HOT_SHARE > total).select("h", F.expr("cast(ceil(group_size / 256) as int)").alias("salts"))
     members = sieve(hashed, F.col("h"), shared, "h")
     members = members.join(F.broadcast(salts), "h", "left").withColumn("salt", F.expr("coalesce(pmod(xxhash64(doc_id), salts), 0)"))
-    first = members.join(shared.select("h", "keep_id"), "h").filter("doc_id <=> keep_id").groupBy("h").agg(F.min("text").alias("kept_text"))
-    first = first.join(F.broadcast(salts), "h", "left").select("h", "kept_text", F.explode(F.expr("sequence(0L, cast(coalesce(salts, 1) - 1 as bigint))")).alias("salt"))
+    every_salt = F.explode(F.expr("sequence(0L, cast(coalesce(salts, 1) - 1 as bigint))")).alias("salt")
+    salted = lambda df: df.join(F.broadcast(salts), "h", "left").select(*df.columns, every_salt)
+    staying = members.join(salted(shared.select("h", "keep_id")), ["h", "salt"]).filter("doc_id <=> keep_id")
+    first = salted(staying.groupBy("h").agg(F.min("text").alias("kept_text")))
     odd = saved(members.join(first, ["h", "salt"]).filter("text <> kept_text").select("doc_id", "h", "text"), "exact-odd")
     if odd.isEmpty():
         out = join_groups(rows, groups, "h", "group_size")
