@@ -90,6 +90,10 @@ def trigrams(query: Query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
 
 
+#: Trigrams that one long holds a bit for.
+MASK = 62
+
+
 def _doc_key() -> list[Column]:
     """A row of docs: its id and what its text hashes to, so that a repeated or null id does no harm."""
     return [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("k"), F.xxhash64("text").alias("h")]
@@ -104,7 +108,8 @@ def build_index(docs: DataFrame, terms: list[str]) -> DataFrame:
 
 def _holds(query: Query, place: dict[str, int]) -> Column:
     if isinstance(query, str):
-        return F.expr(f"mask & {1 << place[query]}L <> 0")
+        word, bit = divmod(place[query], MASK)
+        return F.expr(f"masks[{word}] & {1 << bit}L <> 0")
     op = (lambda a, b: a & b) if query[0] == "and" else (lambda a, b: a | b)
     return reduce(op, [_holds(q, place) for q in query[1]])
 
@@ -112,7 +117,8 @@ def _holds(query: Query, place: dict[str, int]) -> Column:
 def candidates(index: DataFrame, rules: list[Rule], terms: list[str]) -> DataFrame:
     """(k, h, one boolean per rule): postings intersected by document, the rule's query decided on the terms they hold."""
     place = {t: i for i, t in enumerate(terms)}
-    lists = index.groupBy("k", "h").agg(F.expr("bit_or(shiftleft(1L, term))").alias("mask"))
+    masks = [F.expr(f"bit_or(if(term div {MASK} = {i}, shiftleft(1L, cast(term % {MASK} as int)), 0L))") for i in range(-(-len(terms) // MASK))]
+    lists = index.groupBy("k", "h").agg(F.array(*masks).alias("masks"))
     marks = lists.select("k", "h", *[_holds(trigram_query(r.pattern), place).alias(r.kind) for r in rules])
     return marks.filter(reduce(lambda a, b: a | b, [F.col(r.kind) for r in rules]))
 
