@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import saved
+from .common import saved, scratch_dir
 
 #: Virtual slots. The number is fixed for the life of a corpus: it bounds every table that is collected or broadcast here.
 SLOTS = 4096
@@ -18,20 +19,26 @@ MAP_SCHEMA = T.StructType(
 )
 
 
-def virtual_slot(doc_id: Column, text: Column) -> Column:
-    """The slot of a record. The text takes part so that rows with a null or repeated id still spread."""
-    return F.pmod(F.xxhash64(doc_id, F.crc32(F.coalesce(text, F.lit("")))), F.lit(SLOTS)).cast("int")
+def virtual_slot(doc_id: Column, text_crc32: Column, copy: Column) -> Column:
+    """The slot of a record. The text takes part so that rows with a null or repeated id still spread, and so does copy
+    where one id and text has many rows."""
+    return F.pmod(F.xxhash64(doc_id, text_crc32, copy), F.lit(SLOTS)).cast("int")
 
 
 def records(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes plus 1), text_crc32, virtual_slot; null text counts as empty."""
+    """doc_id, size (UTF-8 bytes plus 1), text_crc32, virtual_slot; null text counts as empty.
+
+    An id and text with more rows than a slot should hold (fewer than SLOTS of them) is dealt over slots row by row.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        virtual_slot(F.col("doc_id"), F.col("text")).alias("virtual_slot"),
-    )
+    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "shard-records")
+    total = rows.count()
+    often = rows.groupBy("doc_id", "text_crc32", "size").agg(F.count("*").alias("n")).filter(f"n > 1 and n * {SLOTS} > {total}")
+    often = often.select(F.col("doc_id").alias("i"), F.col("text_crc32").alias("c"), F.col("size").alias("s"), F.lit(True).alias("often"))
+    rows = rows.join(F.broadcast(often), F.expr("doc_id <=> i and text_crc32 = c and size = s"), "left")
+    copy = F.when(F.col("often"), F.col("row")).otherwise(F.lit(0).cast("long"))
+    return rows.select("doc_id", "size", "text_crc32", virtual_slot(F.col("doc_id"), F.col("text_crc32"), copy).alias("virtual_slot"))
 
 
 def slot_bytes(rows: DataFrame) -> dict[int, int]:
@@ -116,13 +123,26 @@ def place(rows: DataFrame, shard_map: DataFrame) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, shards: int, path: str | None = None, version: int = 0) -> DataFrame:
+def latest(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest map stored under path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    return max([int(f.getPath().getParent().getName()[1:]) for f in found], default=None)
+
+
+def shard(docs: DataFrame, shards: int, path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard, map_version, slot: one row per row of docs.
 
-    Sizes of shards are near equal. Null text has size 1; rows with equal or null ids keep their own slots; an empty
-    table gives no rows; other columns are not read. With a path the map is stored there under its version.
+    The map is stored under path (a new place in the shared folder if there is none) and rows are placed by what is read
+    from there. The first version deals all slots; where a version lies there already, the next one is that version edited
+    for today's bytes and number of shards, so few rows move. Sizes of shards are near equal. Null text has size 1; rows
+    with equal or null ids keep their own slots; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    path = path or f"{scratch_dir(spark)}/shard-map-{uuid.uuid4().hex}"
     rows = saved(records(docs), "shard-rows")
-    shard_of = first_map(slot_bytes(rows), shards)
-    return place(rows, store_map(spark, shard_of, path, version) if path else map_frame(spark, shard_of, version))
+    old, sizes = latest(spark, path), slot_bytes(rows)
+    if old is None:
+        return place(rows, store_map(spark, first_map(sizes, shards), path, 0))
+    held = {r.virtual_slot: r.shard for r in load_map(spark, path, old).collect()}
+    return place(rows, store_map(spark, edited_map(held, sizes, shards), path, old + 1))
