@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, saved, sieve
+from .common import join_groups, saved, scratch, sieve
 from .graph import components
 from .textops import LOWER, ODD, U, buffers, mix, shingles, words
 
@@ -283,6 +283,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
     A set is known by 128 bits of hashes of its shingles, a shingle by 64.
     """
+    with scratch(docs.sparkSession) as kept:
+        out = saved(_near_duplicates(docs, n, percent), "jaccard-result")
+        kept.append(out)
+    return out
+
+
+def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = saved(docs.mapInArrow(_sketches(n, percent), SKETCH), "jaccard-sketches")
