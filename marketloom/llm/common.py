@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: A key counts as hot when it holds more than one in HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
-#: Bits of a sieve: sixteen for each key, within these bounds (half a megabyte and 128 MB).
-LEAST_BITS, MOST_BITS = 1 << 22, 1 << 30
+#: Bits of a sieve: eight for each key, within these bounds (half a megabyte and 64 MB).
+LEAST_BITS, MOST_BITS = 1 << 22, 1 << 29
 #: Scratch tables that this process has written.
 _written: list[str] = []
 
@@ -80,7 +80,7 @@ def sieve(rows: DataFrame, key: Column, keys: DataFrame, keys_col: str) -> DataF
     keys (a saved table) become a bitmap of at most MOST_BITS in rows of 4 kB, so what is broadcast has a bound. The
     caller still joins with keys; this only spares that join the rows that cannot match.
     """
-    wanted = 16 * keys.count()
+    wanted = 8 * keys.count()
     size = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, wanted - 1).bit_length()))
     position = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
     at = keys.select(position(F.col(keys_col)).alias("p")).distinct()

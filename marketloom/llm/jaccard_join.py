@@ -21,10 +21,14 @@ from .common import join_groups, saved, scratch, sieve
 from .graph import components
 from .textops import LOWER, ODD, U, buffers, mix, shingles, words
 
-#: Members of a group whose differences are compared pair by pair; larger groups are centred anew.
+#: Members of a group around a centre that are compared pair by pair; larger groups are centred anew.
+SMALL = 8
+#: Members of a key of such differences that are compared pair by pair, members of a group that tell which differences are
+#: common in it, and pairs of a centre in one task.
 LARGE = 64
-#: Times that groups are centred anew; what is still large then is compared pair by pair too.
-ROUNDS = 6
+#: Times that groups are centred anew. What is still large then is compared pair by pair too, and so it is as soon as that
+#: takes no more than PAIRS comparisons of sketches for each distinct set of the whole input.
+ROUNDS, PAIRS = 6, 16
 SKETCH = "doc_id long, n_shingles long, fingerprint binary, sketch array<long>, keys array<long>"
 
 
@@ -154,8 +158,12 @@ def _set_pairs(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.R
     for batch in batches:
         for s in range(0, batch.num_rows, 512):
             part = batch.slice(s, 512)
-            two = zip(sets(part.column("a_text"), part.column("a_print")), sets(part.column("b_text"), part.column("b_print")), strict=True)
-            yield part, [None if x is None or y is None else (x, y) for x, y in two]
+            a = part.column("a").to_numpy(zero_copy_only=False)
+            new = np.append(True, a[1:] != a[:-1])  # pairs of one centre lie together
+            first = pa.array(np.flatnonzero(new))
+            own = list(sets(part.column("a_text").take(first), part.column("a_print").take(first)))
+            two = zip(np.cumsum(new) - 1, sets(part.column("b_text"), part.column("b_print")), strict=True)
+            yield part, [None if own[k] is None or y is None else (own[k], y) for k, y in two]
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame, of_a: DataFrame | None = None) -> DataFrame:
@@ -215,9 +223,10 @@ def _centred(members: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
     """(key, x, kind) for members (a: centre, b: member, size, parts) of large groups: keys of leading tokens of their
     differences from the centre. kind: 0 near, 1 short prefix, 2 the rest of the long one.
 
-    About LARGE members of each group tell which differences are common there; that decides only the order of tokens.
+    About LARGE members of a group that has more tell which differences are common there; that decides only the order of
+    tokens.
     """
-    some = members.filter(F.expr(f"pmod(xxhash64(a, b), size) < {LARGE}"))
+    some = members.filter(F.expr(f"size > {LARGE} and pmod(xxhash64(a, b), size) < {LARGE}"))
 
     def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, both in _set_pairs(batches, n):
@@ -324,7 +333,7 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
         pairs = a.join(b, key).filter("a_component < b_component").filter(condition).filter(_may_link(percent, "a", "b"))
         return pairs.select(F.least("a_x", "b_x").alias("a"), F.greatest("a_x", "b_x").alias("b")).distinct()
 
-    links = spark.createDataFrame([], "a long, b long")
+    total, links = classes.count(), spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
         stars = _verified(saved(likely(members.select("a", "b", "parts")), "jaccard-stars"), texts, n, percent)
         links = saved(links.unionByName(stars), "jaccard-links")
@@ -332,13 +341,14 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
         placed = saved(_connected(members, found, "b"), "jaccard-placed")
         several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low < high")
         apart = saved(join_groups(placed, saved(several.select("a", "rows"), "jaccard-sizes"), "a", "rows"), "jaccard-apart")
-        more, large = across(apart.filter(f"size <= {LARGE}").select("a", F.col("b").alias("x"), "component"), "a", "true"), apart.filter(f"size > {LARGE}")
-        last = turn == ROUNDS - 1
+        more, large = across(apart.filter(f"size <= {SMALL}").select("a", F.col("b").alias("x"), "component"), "a", "true"), apart.filter(f"size > {SMALL}")
         many = None
         if not large.isEmpty():
             tokens = _repeated(saved(_centred(large, texts, n, percent), "jaccard-tokens")).drop("rows")
             several = "min(if(kind = 1, component, null)) < max(if(kind = 1, component, null)) or min(kind) = 0 and max(kind) > 0 and min(component) < max(component)"
             tokens = _repeated(saved(_connected(tokens, found, "x"), "jaccard-tokens"), several)
+            left = tokens.filter(f"rows > {LARGE}").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            last = turn == ROUNDS - 1 or left <= PAIRS * total  # pairs in proportion to the input
             few = tokens if last else tokens.filter(f"rows <= {LARGE}")
             more = more.unionByName(across(few.drop("rows"), "key", "a_kind * b_kind < 2 and a_kind + b_kind > 0")).distinct()
             many = None if last else tokens.filter(f"rows > {LARGE}").select("key", "x")

@@ -309,9 +309,10 @@ def _collected(parts: DataFrame, kind: int, ranges: int) -> DataFrame:
 
 
 def _splitters(docs: DataFrame, total: int) -> np.ndarray:
-    """Order keys that cut the anchors into ranges of about PER_RANGE, from a sample of documents. They only balance."""
+    """Order keys that cut the anchors into ranges of about PER_RANGE, from documents all over the corpus: those whose
+    hashed ids fall in a share that gives about 50,000 keys, whatever its size. They only balance."""
     ranges = max(2, total // (14 * PER_RANGE) + 1)
-    every = max(1, total // (8 << 20))
+    every = max(1, total // (11 << 20))
     some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +320,7 @@ def _splitters(docs: DataFrame, total: int) -> np.ndarray:
             for _, _, found in _all_cells(batch.column("text")):
                 yield pa.RecordBatch.from_arrays([pa.array(found[3][::16].view(np.int64))], names=["key"])
 
-    keys = np.sort(np.array([r[0] for r in some.mapInArrow(run, "key long").limit(50_000).collect()], np.int64).view(np.uint64))
+    keys = np.sort(np.array([r[0] for r in some.mapInArrow(run, "key long").collect()], np.int64).view(np.uint64))
     return keys[np.linspace(0, len(keys) - 1, ranges + 1).astype(int)[1:-1]] if len(keys) else keys
 
 
