@@ -103,6 +103,8 @@ def _linked(texts, n, percent):
 def test_jaccard_in_large_groups_around_the_threshold(spark, monkeypatch):
     """Groups of near copies just above and just below the threshold, and groups inside a group; centred anew repeatedly."""
     monkeypatch.setattr(jaccard_join, "LARGE", 12)
+    monkeypatch.setattr(jaccard_join, "SMALL", 5)
+    monkeypatch.setattr(jaccard_join, "PAIRS", 0)
     rng = random.Random(14)
     base = [f"w{rng.randrange(900)}" for _ in range(160)]
     texts = [" ".join(_mutated(rng, base, rng.randrange(0, 12))) for _ in range(300)]
