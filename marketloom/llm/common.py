@@ -66,7 +66,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> Dat
     Groups with over a thousandth of all rows are fewer than a thousand, so those are broadcast; the rest are
     joined by a shuffle in which no key is large.
     """
-    total = groups.agg(F.sum(count)).first()[0] or 0
+    total, most = groups.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
+    if most * HOT_SHARE <= total:
+        return rows.join(groups, key)
     hot = groups.filter(F.col(count) * HOT_SHARE > total)
     cold = groups.filter(F.col(count) * HOT_SHARE <= total)
     of_hot = rows.join(F.broadcast(hot), key)

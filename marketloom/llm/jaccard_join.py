@@ -220,8 +220,8 @@ def _token_counts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _centred(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, x, kind) for members (a: centre, b: member, size, parts) of large groups: keys of leading tokens of their
-    differences from the centre. kind: 0 near, 1 short prefix, 2 the rest of the long one.
+    """(key, x, component, kind) for members (a: centre, b: member, size, parts, component) of large groups: keys of leading
+    tokens of their differences from the centre. kind: 0 near, 1 short prefix, 2 the rest of the long one.
 
     About LARGE members of a group that has more tell which differences are common there; that decides only the order of
     tokens.
@@ -248,10 +248,12 @@ def _centred(members: DataFrame, texts: DataFrame, n: int, percent: int) -> Data
                 near, short, tokens = _prefix(two[1], two[0], often.view(U), times, percent)
                 out.append(mix(tokens + mix(np.full(1, centre, np.int64).view(U) ^ ODD[55])).view(np.int64))
                 kinds.append(np.where(near, 0, np.where(np.arange(len(tokens)) < short, 1, 2)))
-            yield pa.RecordBatch.from_arrays([part.column("b"), _lists(out), _lists(kinds)], names=["x", "keys", "kinds"])
+            yield pa.RecordBatch.from_arrays([part.column("b"), part.column("component"), _lists(out), _lists(kinds)], names=["x", "component", "keys", "kinds"])
 
-    made = _with_texts(members.select("a", "b", "parts"), texts, common).mapInArrow(keys, "x long, keys array<long>, kinds array<long>")
-    return made.select("x", F.explode(F.arrays_zip("keys", "kinds")).alias("k")).select(F.col("k.keys").alias("key"), "x", F.col("k.kinds").alias("kind"))
+    made = _with_texts(members.select("a", "b", "parts", "component"), texts, common)
+    made = made.mapInArrow(keys, "x long, component long, keys array<long>, kinds array<long>")
+    made = made.select("x", "component", F.explode(F.arrays_zip("keys", "kinds")).alias("k"))
+    return made.select(F.col("k.keys").alias("key"), "x", "component", F.col("k.kinds").alias("kind"))
 
 
 def _centres(rows: DataFrame) -> DataFrame:
@@ -261,7 +263,7 @@ def _centres(rows: DataFrame) -> DataFrame:
     rows = saved(join_groups(rows, sizes, "key", "size"), "jaccard-rows")
     weight = rows.groupBy("x").agg(F.sum("size").alias("weight"))
     weighed = rows.join(weight, "x")
-    top = weighed.groupBy("key").agg(F.expr("max(struct(weight, -x as x))").alias("top"), F.count("*").alias("size"))
+    top = weighed.groupBy("key").agg(F.expr("max(struct(weight, -x as x))").alias("top"), F.first("size").alias("size"))
     top = saved(top.select("key", (-F.col("top.x")).alias("a"), "size"), "jaccard-centres")
     members = join_groups(rows.select("key", "x"), top, "key", "size").select("a", F.col("x").alias("b")).filter("a <> b")
     members = saved(members.distinct(), "jaccard-members")
@@ -274,7 +276,7 @@ def _connected(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
     return rows.join(found.withColumnRenamed("node", column), column, "left").withColumn("component", F.coalesce("component", column))
 
 
-def _repeated(rows: DataFrame, condition: str = "rows > 1") -> DataFrame:
+def _repeated(rows: DataFrame, condition: str) -> DataFrame:
     """rows with the number of rows that their key has, of keys that meet the condition."""
     sizes = saved(rows.groupBy("key").agg(F.count("*").alias("rows"), F.expr(condition).alias("__held")).filter("__held").drop("__held"), "jaccard-sizes")
     return saved(join_groups(rows, sizes, "key", "rows"), "jaccard-tokens")
@@ -336,7 +338,7 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
     total, links = classes.count(), spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
         stars = _verified(saved(likely(members.select("a", "b", "parts")), "jaccard-stars"), texts, n, percent)
-        links = saved(links.unionByName(stars), "jaccard-links")
+        links = links.unionByName(saved(stars, "jaccard-links"))
         found = saved(components(links), "jaccard-found")
         placed = saved(_connected(members, found, "b"), "jaccard-placed")
         several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low < high")
@@ -344,20 +346,21 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
         more, large = across(apart.filter(f"size <= {SMALL}").select("a", F.col("b").alias("x"), "component"), "a", "true"), apart.filter(f"size > {SMALL}")
         many = None
         if not large.isEmpty():
-            tokens = _repeated(saved(_centred(large, texts, n, percent), "jaccard-tokens")).drop("rows")
             several = "min(if(kind = 1, component, null)) < max(if(kind = 1, component, null)) or min(kind) = 0 and max(kind) > 0 and min(component) < max(component)"
-            tokens = _repeated(saved(_connected(tokens, found, "x"), "jaccard-tokens"), several)
+            tokens = _repeated(saved(_centred(large, texts, n, percent), "jaccard-tokens"), several)
             left = tokens.filter(f"rows > {LARGE}").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
             last = turn == ROUNDS - 1 or left <= PAIRS * total  # pairs in proportion to the input
             few = tokens if last else tokens.filter(f"rows <= {LARGE}")
             more = more.unionByName(across(few.drop("rows"), "key", "a_kind * b_kind < 2 and a_kind + b_kind > 0")).distinct()
             many = None if last else tokens.filter(f"rows > {LARGE}").select("key", "x")
         more = saved(more.withColumn("parts", F.lit(1).cast("long")), "jaccard-pairs")
-        links = saved(links.unionByName(_verified(more, texts, n, percent)), "jaccard-links")
+        new = saved(_verified(more, texts, n, percent), "jaccard-links")
+        links = links.unionByName(new)
         if many is None or many.isEmpty():
             break
         members = _centres(many)
-    found = saved(components(links), "jaccard-found")
+    if not new.isEmpty():
+        found = saved(components(links), "jaccard-found")
 
     of_class = saved(_connected(classes.select("c", "fingerprint", "first", "members"), found, "c"), "jaccard-components")
     lowest = of_class.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("size"))
