@@ -33,7 +33,7 @@ def insert_ignore(stored: DataFrame, new: DataFrame, key: list[str], order: list
 
 
 def append(df: DataFrame, path: str, kind: str, mode: str = "append") -> None:
-    """Writes; an append-only table takes nothing but appends."""
+    """Writes without looking at keys; an append-only table takes nothing but appends."""
     if kind in APPEND_ONLY and mode != "append":
         raise ValueError(f"{kind} is append-only")
     df.write.mode(mode).parquet(path)
@@ -68,7 +68,15 @@ def stamp(df: DataFrame, **values: object) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: rows and a sha256 over the sorted hashes of 4096 groups of rows, so no task reads all of them."""
+    """One row: rows and sha256, a hash of the sums of four numbers that each row's sha256 gives, whatever the order of rows.
+    Sums are combined before the shuffle, so it takes constant memory."""
     line = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
-    groups = df.select(line.alias("h")).groupBy(F.substring("h", 1, 3).alias("g")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("s"), F.count("*").alias("n"))
-    return groups.agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("g", "s"))), ""), 256).alias("sha256"))
+    part = lambda i: F.sum(F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    sums = df.select(line.alias("h")).agg(F.count("*").alias("rows"), *[part(i).alias(f"s{i}") for i in range(4)])
+    return sums.select("rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *[f"s{i}" for i in range(4)]), 256).alias("sha256"))
+
+
+def write_artefact(df: DataFrame, path: str) -> DataFrame:
+    """Writes df where nothing may lie yet (an existing path is refused) and returns the fingerprint of what was written."""
+    df.write.mode("errorifexists").parquet(path)
+    return fingerprint(df.sparkSession.read.schema(df.schema).parquet(path))

@@ -45,8 +45,8 @@ class World:
     channel: DataFrame
     video: DataFrame
     snapshot: DataFrame
-    ballast_decided: int = 3
-    cohort_videos: int = 3
+    ballast_decided: int = 10
+    cohort_videos: int = 5
     small_subs: int = 10_000
     upload_days: int = 28
 

@@ -126,7 +126,29 @@ def storage(spark, sf_dir):
     return star.read(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
 
 
-query("SNK_10")(lambda spark, sf_dir: tables.fingerprint(star.read(spark, sf_dir, "orders")))
+@query("SNK_03", "select o_orderkey, o_orderdate from orders union all select o_orderkey, o_orderdate from orders where o_orderkey % 2 = 0")
+def appended(spark, sf_dir):
+    """Two batches that overlap: both are appended as they are."""
+    path, orders = jobs.folder(spark), star.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    tables.append(orders, path, "raw_records")
+    tables.append(orders.filter("o_orderkey % 2 = 0"), path, "raw_records")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query("SNK_05", "select count(*) as n, sum(o_orderkey)::bigint as total, true as refused from orders")
+def guarded(spark, sf_dir):
+    """An overwrite of an append-only table is refused and leaves what is stored."""
+    path, orders = jobs.folder(spark), star.read(spark, sf_dir, "orders").select("o_orderkey")
+    tables.append(orders, path, "discoveries")
+    try:
+        tables.append(orders.filter("o_orderkey < 0"), path, "discoveries", mode="overwrite")
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.read.schema(orders.schema).parquet(path).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total"), F.lit(refused).alias("refused"))
+
+
+query("SNK_10")(lambda spark, sf_dir: tables.write_artefact(star.read(spark, sf_dir, "orders"), jobs.folder(spark)))
 
 # outcomes, cohorts
 

@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from ..operators.tables import first_writes
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
+def folder(spark: SparkSession) -> str:
+    """A new place in the shared folder; a local one only where none is set and Spark runs in one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="stream-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -34,16 +39,18 @@ def first_write_wins(readings: DataFrame, key: list[str], at: str, path: str, ch
 
 
 def windowed_sums(readings: DataFrame, at: str, key: str, value: str, length: str, slide: str, late: str) -> DataFrame:
-    """Sums over sliding windows; readings later than the watermark are left out once their windows are closed."""
+    """Sums over sliding windows; a reading is left out if its window had ended by the watermark with which
+    the batch before began (Spark lets one batch pass before a new watermark counts for late rows)."""
     return readings.withWatermark(at, late).groupBy(F.window(at, length, slide).alias("w"), key).agg(F.sum(value).alias("total"), F.count("*").alias("n"))
 
 
 def run_windowed_sums(spark: SparkSession, source: DataFrame, **how: str) -> DataFrame:
-    """Runs the job over what is there and returns all its windows."""
-    folder = _folder(spark)
-    job = windowed_sums(source, **how).writeStream.outputMode("complete").foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(f"{folder}/out"))
-    job.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    """Runs the job over what is there and returns its windows as last updated. State ends with the watermark."""
+    place, key = folder(spark), how["key"]
+    job = windowed_sums(source, **how).writeStream.outputMode("update").foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(f"{place}/out"))
+    job.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    updates = spark.read.parquet(f"{place}/out").groupBy("w", key)
+    return updates.agg(F.max_by("total", "batch").alias("total"), F.max_by("n", "batch").alias("n"))
 
 
 def on_time(readings: DataFrame, event_day: str, at: str, path: str, checkpoint: str):
@@ -57,6 +64,6 @@ def on_time(readings: DataFrame, event_day: str, at: str, path: str, checkpoint:
 
 def run(spark: SparkSession, job, source: DataFrame, *how) -> DataFrame:
     """Runs a job of this module over what is there and returns what it stored."""
-    folder = _folder(spark)
-    job(source, *how, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    place = folder(spark)
+    job(source, *how, f"{place}/out", f"{place}/state").awaitTermination()
+    return spark.read.parquet(f"{place}/out")

@@ -3,11 +3,14 @@
 import datetime as dt
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from marketloom.operators import metrics, outcomes, scoring, stats, tables
 from marketloom.operators.relevance import axis_scores, lexicon_weights
 from marketloom.operators.world import World, running_max, spine
+from marketloom.streaming import jobs
 
 DAY = dt.date(2026, 8, 27)
 
@@ -112,10 +115,27 @@ def _world(spark, future):
                 video.append((100 + v, c, DAY + dt.timedelta(days=1 + i), False, True, 0.8, True))
     video = spark.createDataFrame(video, "video_id long, channel_id long, published date, is_short boolean, midroll boolean, relevance double, by_date boolean")
     snap = spark.createDataFrame(snap, "video_id long, observed_date date, source int, views long")
-    return World(spine(channel, [DAY.isoformat()]), channel, video, snap)
+    return World(spine(channel, [DAY.isoformat()]), channel, video, snap, ballast_decided=3, cohort_videos=3)
 
 
 def test_no_metric_sees_the_future(spark):
     every = [metrics.uploads_per_week, metrics.median_views, metrics.trimmed_mean_views, metrics.on_niche_share, metrics.format_mix, metrics.top10_concentration, metrics.breakthrough_rate, metrics.views_per_sub, metrics.winner_age_years, metrics.midroll_share]
     for m in every:
         assert m(_world(spark, False)).collect() == m(_world(spark, True)).collect(), m.__name__
+
+
+def test_windowed_sums_leave_out_late_readings(spark, tmp_path):
+    for i, rows in enumerate([[("2024-01-10 12:00:00", 1.0)], [("2024-02-20 12:00:00", 2.0)], [("2024-02-20 12:30:00", 16.0)], [("2024-01-11 12:00:00", 4.0), ("2024-02-20 13:00:00", 8.0)]]):
+        made = spark.createDataFrame([(t, "k", v) for t, v in rows], "ts string, key string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+        made.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/batch={i}")
+    stream = spark.readStream.schema("ts timestamp, key string, value double, batch int").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    out = jobs.run_windowed_sums(spark, stream, at="ts", key="key", value="value", length="1 day", slide="1 day", late="2 days").collect()
+    assert {(r.w.start.day, r.total, r.n) for r in out} == {(10, 1.0, 1), (20, 26.0, 3)}
+
+
+def test_artefacts_are_not_overwritten(spark, tmp_path):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    first = tables.write_artefact(df, f"{tmp_path}/a").first()
+    assert first == tables.fingerprint(df.repartition(5)).first() and first != tables.fingerprint(df.filter("id > 0")).first()
+    with pytest.raises(Exception, match="exist"):
+        tables.write_artefact(df.filter("id > 0"), f"{tmp_path}/a")
