@@ -347,6 +347,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     texts as given. Matches never cross documents. Null text counts as empty; texts under LENGTH bytes lose nothing; a row
     without doc_id takes no part and keeps all; rows repeated with one doc_id and text give equal rows. An empty table
     gives no rows; columns besides doc_id and text aren't read.
+
+    doc_id should tell texts apart: of rows with one doc_id and different texts, each loses the spans found in any of them.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spans = saved(repeated_spans(docs), "repeats-spans")
