@@ -103,8 +103,12 @@ class Tops:
             e = int(np.searchsorted(passage, passage[min(max(e, s + 1), len(term)) - 1], "right"))  # no passage is cut
             n, low = count[s:e], passage[s]
             at = np.repeat(self.first[term[s:e]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            key, place = np.unique((np.repeat(passage[s:e], n) - low) * n_blocks + self.block[at], return_inverse=True)
-            held = key[np.bincount(place, self.top[at], len(key)) >= threshold - 1e-4]
+            key, span = (np.repeat(passage[s:e], n) - low) * n_blocks + self.block[at], (passage[e - 1] - low + 1) * n_blocks
+            if span <= 4 * BOUNDED:
+                held = np.flatnonzero(np.bincount(key, self.top[at], span) >= threshold - 1e-4)
+            else:
+                key, place = np.unique(key, return_inverse=True)
+                held = key[np.bincount(place, self.top[at], len(key)) >= threshold - 1e-4]
             found.append((held // n_blocks + low, held % n_blocks))
             s = e
         return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (passage[:0], passage[:0])
@@ -160,9 +164,12 @@ class Index:
         n_blocks = -(-len(self.ids) // BLOCK)
         n_supers = -(-n_blocks // SUPER)
         some, supers = self.supers.hopeful(passage, term, n_supers, threshold)
-        left = np.isin(passage, some)
+        count = int(passage[-1]) + 1 if len(passage) else 0
+        hope = np.zeros((count, n_supers), bool)
+        hope[some, supers] = True
+        left = hope.any(1)[passage]
         passage, block = self.blocks.hopeful(passage[left], term[left], n_blocks, threshold)
-        inside = np.isin(passage * n_supers + block // SUPER, some * n_supers + supers)
+        inside = hope[passage, block // SUPER]
         return passage[inside], block[inside]
 
     def wand(self, terms: np.ndarray, blocks: np.ndarray, threshold: float) -> list[tuple[int, float]]:
