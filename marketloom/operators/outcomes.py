@@ -55,12 +55,23 @@ def sample(rows: DataFrame, by: str, key: str, n: int, seed: int) -> DataFrame:
     return rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= n)
 
 
-def velocity(snapshot: DataFrame) -> DataFrame:
-    """Per video: first and last reading, their days apart and views a day between them."""
-    out = snapshot.filter("views is not null").groupBy("video_id", "observed_date").agg(F.max("views").alias("views")).groupBy("video_id").agg(
-        F.min_by("views", "observed_date").alias("first_views"), F.max_by("views", "observed_date").alias("last_views"), F.datediff(F.max("observed_date"), F.min("observed_date")).alias("days")
-    )
-    return out.withColumn("per_day", F.round(F.try_divide(F.col("last_views") - F.col("first_views"), F.nullif("days", F.lit(0))), 6))
+def velocity(snapshot: DataFrame, video: DataFrame) -> DataFrame:
+    """Per video: first and last reading, their days apart, views a day between them, since publication, over the last day
+    (NULL without a reading of the day before the last), and the last day's rate over that between first and last."""
+    daily = snapshot.filter("views is not null").groupBy("video_id", "observed_date").agg(F.max("views").alias("views"))
+    order = Window.partitionBy("video_id").orderBy("observed_date")
+    daily = daily.withColumn("gained", F.when(F.datediff("observed_date", F.lag("observed_date").over(order)) == 1, F.col("views") - F.lag("views").over(order)))
+    out = daily.groupBy("video_id").agg(
+        F.min_by("views", "observed_date").alias("first_views"), F.max_by("views", "observed_date").alias("last_views"), F.datediff(F.max("observed_date"), F.min("observed_date")).alias("days"),
+        F.max("observed_date").alias("__last"), F.max_by(F.struct("gained"), "observed_date").alias("__g"),
+    ).join(video.select("video_id", "published"), "video_id", "left")
+    rate = F.try_divide(F.col("last_views") - F.col("first_views"), F.nullif("days", F.lit(0)))
+    age = F.datediff("__last", "published")
+    gained = F.col("__g.gained").cast("double")
+    return out.select(
+        "video_id", "first_views", "last_views", "days", F.round(rate, 6).alias("per_day"), F.round(F.when(age > 0, F.col("last_views") / F.nullif(age, F.lit(0))), 6).alias("lifetime"),
+        gained.alias("last_day"), F.round(F.when((gained != 0) & (rate > 0), gained / F.nullif(rate, F.lit(0.0))), 6).alias("acceleration"),
+    )
 
 
 def channel_baseline(video: DataFrame, views: DataFrame, low: int, high: int) -> DataFrame:

@@ -95,3 +95,15 @@ def answered(turns: DataFrame) -> DataFrame:
     """Threads with a question, those with an answer, and the share without one."""
     per = turns.groupBy("conv_id").agg(F.count_if(F.col("role") == "user").alias("asked"), F.count_if(F.col("role") == "assistant").alias("answers")).filter("asked > 0")
     return per.agg(F.count("*").alias("threads"), F.count_if(F.col("answers") > 0).alias("answered"), F.round(F.avg((F.col("answers") == 0).cast("int")), 6).alias("unanswered_rate"))
+
+
+def drilldown(shapes: dict[str, DataFrame], rows: int = 200) -> DataFrame:
+    """What a metric was made of: metric, cluster_id, day, input_id, value, place: the largest inputs of each cluster and day.
+
+    shapes: metric -> (cluster_id, day, input_id, value). The cap is the feature: a page shows so many."""
+    order = Window.partitionBy("metric", "cluster_id", "day").orderBy(F.desc("value"), "input_id")
+    every = [df.select(F.lit(name).alias("metric"), "cluster_id", "day", F.col("input_id").cast("string").alias("input_id"), F.col("value").cast("double").alias("value")) for name, df in shapes.items()]
+    out = every[0]
+    for df in every[1:]:
+        out = out.unionByName(df)
+    return out.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)

@@ -39,46 +39,62 @@ def partial_spearman(panel: DataFrame, by: list[str], x: str = "x", y: str = "y"
 
 
 def relabelled(spark: SparkSession, units: DataFrame, draws: int, seed: int, block: str | None = None) -> DataFrame:
-    """(draw, unit, partner[, block]): in every draw a permutation of the units (within blocks), by hash order."""
+    """(draw, unit, partner[, block]): in every draw a permutation of the units (within blocks), by the order of md5("seed:draw:unit")."""
     by = [block] if block else []
     n = units.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("unit")))
     drawn = units.crossJoin(F.broadcast(spark.range(draws).withColumnRenamed("id", "draw")))  # draws are a parameter
-    order = Window.partitionBy("draw", *by).orderBy(F.xxhash64(F.lit(seed), "draw", "unit"), "unit")
+    order = Window.partitionBy("draw", *by).orderBy(F.md5(F.concat_ws(":", F.lit(seed), "draw", "unit")), "unit")
     drawn = drawn.withColumn("place", F.row_number().over(order)).withColumnRenamed("unit", "partner")
     return n.join(drawn, [*by, "place"]).drop("place")
 
 
-def permutation_test(panel: DataFrame, draws: int = 1000, seed: int = 1, block: str | None = None) -> DataFrame:
-    """One row: dates, rho (mean of the dates' Spearman rho), draws, p = (extreme + 1) / (draws + 1), two-sided.
+def moved(panel: DataFrame, draws: int, seed: int, block: str | None = None) -> DataFrame:
+    """panel once a draw, with y of each unit's partner on the same date; score, block and controls stay with the unit.
 
-    panel: date, unit, x, y[, block]. A draw moves each unit's outcomes to its partner at all dates; dates on which the
-    partner has none drop the pair, and ranks are taken anew.
-    """
-    spark = panel.sparkSession
-    by = ["date", *([block] if block else [])]
-    rho = spearman(panel, by).filter("rho is not null")
-    real = rho.agg(F.avg("rho").alias("rho"), F.count("*").alias("dates"))
-    units = panel.select("unit", *([block] if block else [])).distinct()
-    moved = panel.select(*by, "unit", "x").join(relabelled(spark, units, draws, seed, block), ["unit", *([block] if block else [])])
-    moved = moved.join(panel.select(*by, F.col("unit").alias("partner"), "y"), [*by, "partner"])
-    null = spearman(moved, ["draw", *by]).groupBy("draw").agg(F.avg("rho").alias("null_rho"))
-    out = null.crossJoin(F.broadcast(real)).groupBy("rho", "dates").agg(F.count_if(F.abs("null_rho") >= F.abs("rho") - 1e-9).alias("extreme"), F.count("*").alias("draws"))
-    return out.select("dates", F.round("rho", 6).alias("rho"), "draws", ((F.col("extreme") + 1) / (F.col("draws") + 1)).alias("p"))
-
-
-def bootstrap(panel: DataFrame, draws: int = 500, seed: int = 2, level: float = 0.95) -> DataFrame:
+    A draw moves outcomes alike on all dates; on dates on which the partner has no row the pair is dropped."""
+    by = [block] if block else []
+    partners = relabelled(panel.sparkSession, panel.select("unit", *by).distinct(), draws, seed, block)
+    return panel.drop("y").join(partners, ["unit", *by]).join(panel.select("date", F.col("unit").alias("partner"), "y"), ["date", "partner"]).drop("partner")
+
+
+def _tested(real: DataFrame, null: DataFrame) -> DataFrame:
+    """One row: dates, rho (mean over dates), draws that have a value, two-sided p = (extreme + 1) / (draws + 1). real: date, rho; null: draw, date, rho."""
+    mean = real.filter("rho is not null").agg(F.avg("rho").alias("rho"), F.count("*").alias("dates"))
+    null = null.filter("rho is not null").groupBy("draw").agg(F.avg("rho").alias("null_rho"))
+    out = null.crossJoin(F.broadcast(mean)).groupBy("rho", "dates").agg(F.count_if(F.abs("null_rho") >= F.abs("rho") - 1e-9).alias("extreme"), F.count("*").alias("draws"))
+    return out.select("dates", F.round("rho", 6).alias("rho"), "draws", F.round((F.col("extreme") + 1) / (F.col("draws") + 1), 6).alias("p"))
+
+
+def permutation_test(panel: DataFrame, draws: int = 10_000, seed: int = 1) -> DataFrame:
+    """Test of the dates' mean Spearman rho; ranks are taken anew in every draw. panel: date, unit, x, y."""
+    return _tested(spearman(panel, ["date"]), spearman(moved(panel, draws, seed), ["draw", "date"]))
+
+
+def partial_test(panel: DataFrame, draws: int = 10_000, seed: int = 1, z: str = "z") -> DataFrame:
+    """The same with z held fixed: outcomes move, score and control stay."""
+    return _tested(partial_spearman(panel, ["date"], z=z), partial_spearman(moved(panel, draws, seed), ["draw", "date"], z=z))
+
+
+def stratified_test(panel: DataFrame, controls: list[str], draws: int = 10_000, seed: int = 1) -> DataFrame:
+    """Test of the mean over dates of stratified_partial: outcomes move within blocks."""
+    return _tested(stratified_partial(panel, controls), stratified_partial(moved(panel, draws, seed, "block"), controls, ["draw", "date"]))
+
+
+def bootstrap(panel: DataFrame, draws: int = 10_000, seed: int = 2, level: float = 0.95) -> DataFrame:
     """One row: low, high, draws: percentile interval of the mean rho over resamples of units, the same at all dates."""
     spark = panel.sparkSession
     units = panel.select("unit").distinct().withColumn("place", F.row_number().over(Window.orderBy("unit")) - 1)
     n = units.count()
     picks = units.select(F.col("place").alias("slot")).crossJoin(F.broadcast(spark.range(draws).withColumnRenamed("id", "draw")))
-    picks = picks.withColumn("place", F.pmod(F.xxhash64(F.lit(seed), "draw", "slot"), F.lit(n))).join(F.broadcast(units), "place")
+    number = F.conv(F.left(F.md5(F.concat_ws(":", F.lit(seed), "draw", "slot")), F.lit(8)), 16, 10).cast("long")
+    picks = picks.withColumn("place", (number % F.lit(n)).cast("int")).join(F.broadcast(units), "place")
     means = spearman(picks.join(panel, "unit"), ["draw", "date"]).groupBy("draw").agg(F.avg("rho").alias("rho")).filter("rho is not null")
     order = Window.orderBy("rho")
     placed = means.withColumns({"nth": F.row_number().over(order) - 1, "n": F.count("*").over(Window.partitionBy())})
     tail = (1 - level) / 2
     low, high = F.floor(F.col("n") * tail), F.least(F.floor(F.col("n") * (1 - tail)), F.col("n") - 1)
-    return placed.agg(F.max(F.when(F.col("nth") == low, F.col("rho"))).alias("low"), F.max(F.when(F.col("nth") == high, F.col("rho"))).alias("high"), F.count("*").alias("draws"))
+    nth = lambda k: F.round(F.max(F.when(F.col("nth") == k, F.col("rho"))), 6)
+    return placed.agg(nth(low).alias("low"), nth(high).alias("high"), F.count("*").alias("draws"))
 
 
 def power(panel: DataFrame, step: int = 7, horizon: int = 180) -> DataFrame:
@@ -120,15 +136,29 @@ def residuals(panel: DataFrame, by: list[str], y: str, controls: list[str]) -> D
     return fitted.withColumn("residual", F.when(~F.isnan(value), value)).drop(*[f"b_{n}" for n in names])
 
 
-def stratified_partial(panel: DataFrame, controls: list[str]) -> DataFrame:
-    """Per date: Spearman within blocks, x and y taken free of the controls' ranks; NULL below five rows."""
-    by = ["date", "block"]
+def stratified_partial(panel: DataFrame, controls: list[str], dates: list[str] | None = None) -> DataFrame:
+    """Per date (or the given keys): Spearman of ranks taken within blocks and pooled, x and y taken free of the controls' ranks; NULL below five rows."""
+    dates = dates or ["date"]
+    by = [*dates, "block"]
     n = F.count("*").over(Window.partitionBy(*by)) + 1
     ranked = panel.dropna(subset=["x", "y", *controls])
     ranked = ranked.withColumns({f"{c}_r": average_rank(c, by) / n for c in ("x", "y", *controls)})
-    free = residuals(ranked, ["date"], "x_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ex")
-    free = residuals(free, ["date"], "y_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ey")
-    return free.groupBy("date").agg(F.count("*").alias("n"), pearson("ex", "ey").alias("rho")).select("date", "n", F.when(F.col("n") >= 5, F.round("rho", 6)).alias("rho"))
+    free = residuals(ranked, dates, "x_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ex")
+    free = residuals(free, dates, "y_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ey")
+    return free.groupBy(*dates).agg(F.count("*").alias("n"), pearson("ex", "ey").alias("rho")).select(*dates, "n", F.when(F.col("n") >= 5, F.round("rho", 6)).alias("rho"))
+
+
+def ladder(panel: DataFrame, instrument: DataFrame, primary: DataFrame, units: int, tied: float, p: float, lift: float) -> DataFrame:
+    """One row: the verdict's inputs and verdict. Steps in order: enough units a date, few outcomes of zero, an instrument that
+    tests below p, a primary that does with rho > 0, a lift of the top tenth. instrument and primary: rows of a test."""
+    zero = panel.agg(F.round(F.avg((F.col("y") == 0).cast("int")), 6).alias("tied"))
+    rows = power(panel).select("median_n").crossJoin(zero).crossJoin(top_decile_lift(panel).select("lift"))
+    rows = rows.crossJoin(instrument.select(F.col("p").alias("instrument_p"))).crossJoin(primary.select("rho", "p"))  # all of one row
+    step = (
+        F.when(F.col("median_n") < units, "underpowered").when(F.col("tied") > tied, "tied").when(F.col("instrument_p") >= p, "instrument")
+        .when((F.col("p") >= p) | (F.col("rho") <= 0), "fail: no association").when(F.col("lift") < lift, "fail: no lift").otherwise("pass")
+    )
+    return rows.withColumn("verdict", step)
 
 
 def top_decile_lift(panel: DataFrame) -> DataFrame:

@@ -359,8 +359,6 @@ m as (select date, count(*) as n, {_CORR.format(a='a', b='b')} as xy, {_CORR.for
 select date, n, round(case when (1 - xz * xz) * (1 - yz * yz) > 1e-12 then (xy - xz * yz) / sqrt((1 - xz * xz) * (1 - yz * yz)) end, 6) as rho from m""")(
     lambda spark, sf_dir: stats.partial_spearman(panel(spark, sf_dir), ["date"])
 )
-query("STA_05")(lambda spark, sf_dir: stats.permutation_test(panel(spark, sf_dir), draws=200))
-query("STA_07")(lambda spark, sf_dir: stats.bootstrap(panel(spark, sf_dir), draws=200))
 query("STA_08", f"""{_PANEL} c as (select date, count(*) as n from p where x is not null and y is not null group by 1),
 d as (select count(*) as dates, (list_sort(list(n)))[count(*) // 2 + 1] as median_n from c)
 select dates, median_n, round(2 / sqrt(nullif(median_n - 1, 0)), 6) as detectable_rho, 1 + (dates - 1) // 26 as independent_windows from d""")(
@@ -375,8 +373,6 @@ query("STA_10", f"""{_PANEL} f as (select date, regr_slope(y, z) as s, regr_inte
 select date, unit, round(y - i - s * z, 4) as residual from p join f using (date) where s is not null""")(
     lambda spark, sf_dir: stats.residuals(panel(spark, sf_dir), ["date"], "y", ["z"]).filter("residual is not null").select("date", "unit", F.round("residual", 4).alias("residual"))
 )
-query("STA_11")(lambda spark, sf_dir: stats.stratified_partial(panel(spark, sf_dir), ["z"]))
-query("STA_12")(lambda spark, sf_dir: stats.permutation_test(panel(spark, sf_dir), draws=100, block="block"))
 query("STA_13", f"""{_PANEL} t as (select *, row_number() over (partition by date, block order by x desc, unit) as k, count(*) over (partition by date, block) as n, y - avg(y) over (partition by date, block) as r from p)
 select round(exp(avg(r)), 6) as lift, count(*) as n from t where k <= ceil(n / 10.0)""")(lambda spark, sf_dir: stats.top_decile_lift(panel(spark, sf_dir)))
 query("STA_14", f"{_PANEL} q as (select 1) select date, round(avg((y = 0)::int), 6) as tied from p group by date")(

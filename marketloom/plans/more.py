@@ -186,10 +186,13 @@ def baseline(spark, sf_dir):
 
 
 @query("LEG_02", f"""with {BASE} d as (select video_id, observed_date, max(views) as views from snap where views is not null group by all),
-v as (select video_id, min_by(views, observed_date) as first_views, max_by(views, observed_date) as last_views, date_diff('day', min(observed_date), max(observed_date)) as days from d group by all)
-select *, round((last_views - first_views) / nullif(days, 0)::double, 6) as per_day from v""")
+v as (select video_id, arg_min(views, observed_date) as first_views, arg_max(views, observed_date) as last_views, date_diff('day', min(observed_date), max(observed_date)) as days, max(observed_date) as last from d group by all),
+g as (select v.*, (last_views - first_views) / nullif(days, 0)::double as rate, date_diff('day', published, last) as age, (last_views - d.views)::double as last_day
+  from v left join video using (video_id) left join d on d.video_id = v.video_id and d.observed_date = v.last - 1)
+select video_id, first_views, last_views, days, round(rate, 6) as per_day, case when age > 0 then round(last_views / age::double, 6) end as lifetime, last_day,
+  case when last_day <> 0 and rate > 0 then round(last_day / rate, 6) end as acceleration from g""")
 def velocity(spark, sf_dir):
-    return outcomes.velocity(star.video_snapshots(spark, sf_dir))
+    return outcomes.velocity(star.video_snapshots(spark, sf_dir), star.videos(spark, sf_dir))
 
 
 @query("LEG_03", f"""{PRE} e as (select channel_id, day, video_id, views, median(views) over (partition by channel_id, day) as md, count(*) over (partition by channel_id, day) as n from elig)

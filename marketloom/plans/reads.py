@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import metrics, reads
+from ..operators import metrics, reads, scoring
 from ..operators.world import KEY
 from ..sources import star
-from .market import _PANEL, BASE, DAYS, ORACLES, PRE, REPLAY, panel, query, world
+from .market import _PANEL, BASE, DAYS, ORACLES, PRE, REPLAY, features, panel, query, world
 
 # watch lists and clusters
 
@@ -58,10 +58,18 @@ def decision_dates(spark, sf_dir):
 _REPLAYED = ", ".join(f"(date '{d}')" for d in REPLAY)
 
 
-@query("BTE_04", ORACLES["SUP_02"].replace(", ".join(f"(date '{d}')" for d in DAYS), _REPLAYED))
+_ON_REPLAY = lambda sql: sql.replace(", ".join(f"(date '{d}')" for d in DAYS), _REPLAYED)
+
+
+@query("BTE_04", _ON_REPLAY(ORACLES["SCO_02"]))
 def replayed(spark, sf_dir):
-    """A metric on every replay date: the metric functions as they are, on a spine of many days, in one job."""
-    return metrics.median_views(world(spark, sf_dir, REPLAY))
+    """The metrics on every replay date: the same functions as in a daily build, on a spine of many days, in one job."""
+    return features(world(spark, sf_dir, REPLAY))
+
+
+@query("BTE_04_cards", _ON_REPLAY(ORACLES["SCO_03"]))
+def replayed_cards(spark, sf_dir):
+    return scoring.scorecards(features(world(spark, sf_dir, REPLAY)), ["uploads_per_week", "median_views"], "top10_concentration", "views_per_sub")
 
 
 @query("BTE_06", f"{_PANEL} q as (select date, unit, x as score, y as outcome, count(*) over (partition by date) as n from p where x is not null and y > 0) select * from q where n >= 3")
@@ -121,6 +129,28 @@ def niche_view(spark, sf_dir):
     return reads.latest_day(gated(spark, sf_dir))
 
 
+_KEYWORDS = ORACLES["POP_19"].split(" kw as (", 1)[1].rsplit("select day, keyword", 1)[0].rstrip()
+
+
+@query("QRY_07", f"""{PRE} kw as ({_KEYWORDS}, i as (
+  select 'median_views' as metric, cluster_id, day, video_id::varchar as input_id, views::double as value from en union all
+  select 'on_niche_share', cluster_id, day, video_id::varchar, relevance::double from nv union all
+  select 'geo_concentration', cluster_id, day, channel_id::varchar, subs::double from mc union all
+  select 'top10_concentration', cluster_id, day, video_id::varchar, views::double from top union all
+  select 'total_monthly_searches', geo, day, keyword, volume::double from r where k = 1 union all
+  select 'weekly_views', term, day, observed_date::varchar, value from series, days where observed_date <= day - 2 and observed_date > day - 30),
+p as (select *, row_number() over (partition by metric, cluster_id, day order by value desc nulls last, input_id) as place from i) select * from p where place <= 200""")
+def drilldown(spark, sf_dir):
+    w = world(spark, sf_dir)
+    of = lambda df, key, value: df.select(*KEY, F.col(key).alias("input_id"), F.col(value).alias("value"))
+    keywords = metrics.latest_keywords(star.keyword_metrics(spark, sf_dir), w.spine.select("day").distinct()).withColumnRenamed("geo", "cluster_id")
+    points = star.demand_snapshots(spark, sf_dir).withColumnRenamed("term", "cluster_id").join(w.days, F.datediff("day", "observed_date").between(2, 29))
+    return reads.drilldown({
+        "median_views": of(w.eligible_niche, "video_id", "views"), "on_niche_share": of(w.niche_videos, "video_id", "relevance"), "geo_concentration": of(w.member_channels, "channel_id", "subs"),
+        "top10_concentration": of(w.top, "video_id", "views"), "total_monthly_searches": of(keywords, "keyword", "volume"), "weekly_views": of(points, "observed_date", "value"),
+    })
+
+
 # monitoring
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import relevance
 from ..operators.tables import first_writes
 
 
@@ -67,3 +71,86 @@ def run(spark: SparkSession, job, source: DataFrame, *how) -> DataFrame:
     place = folder(spark)
     job(source, *how, f"{place}/out", f"{place}/state").awaitTermination()
     return spark.read.parquet(f"{place}/out")
+
+
+def stored(stream: DataFrame, path: str, checkpoint: str, change=lambda batch: batch):
+    """Writes each batch, changed, into a folder of its own number, so that a batch that is run again replaces itself."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        change(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def circuit_breaker(polls: DataFrame, limit: int, path: str, checkpoint: str):
+    """polls (channel_id, poll_id, at, ok) with fail_count after each poll and whether the channel's circuit is open.
+
+    State is one count a channel; a success resets it. Polls of a batch are taken in order of at and poll_id."""
+
+    def count(key, frames, state: GroupState):
+        rows = pd.concat(list(frames)).sort_values(["at", "poll_id"])
+        fails, out = state.getOption[0] if state.exists else 0, []
+        for ok in rows["ok"]:
+            fails = 0 if ok else fails + 1
+            out.append(fails)
+        state.update((fails,))
+        yield pd.DataFrame({"channel_id": key[0], "poll_id": rows["poll_id"].to_numpy(), "fail_count": out, "open": [n >= limit for n in out]})
+
+    counted = polls.groupBy("channel_id").applyInPandasWithState(count, "channel_id long, poll_id long, fail_count int, open boolean", "fails int", "append", GroupStateTimeout.NoTimeout)
+    return stored(counted, path, checkpoint)
+
+
+def cooled_alerts(fires: DataFrame, days: int, path: str, checkpoint: str):
+    """Of the days on which a rule fires (cluster_id, rule, day), those that alert: one silences the `days` after it.
+
+    State is the last alert of a cluster and rule; a day before it that comes late is silenced too."""
+
+    def alert(key, frames, state: GroupState):
+        last, out = (state.getOption[0] if state.exists else None), []
+        for day in sorted(set(pd.concat(list(frames))["day"])):
+            if last is None or (day - last).days >= days:
+                last = day
+                out.append(day)
+        state.update((last,))
+        yield pd.DataFrame({"cluster_id": [key[0]] * len(out), "rule": [key[1]] * len(out), "day": out})
+
+    kept = fires.groupBy("cluster_id", "rule").applyInPandasWithState(alert, "cluster_id string, rule string, day date", "last date", "append", GroupStateTimeout.NoTimeout)
+    return stored(kept, path, checkpoint)
+
+
+def velocities(readings: DataFrame, path: str, checkpoint: str):
+    """Per video and batch: views a day between the first reading and the last, over the last day, and their ratio.
+
+    readings: video_id, observed_date, views. State holds the first reading, the last and the one of the day before the last;
+    of one date the largest counts. A reading that comes after a later one can move the first only, or stand for the day before."""
+
+    def rate(key, frames, state: GroupState):
+        days = {}
+        if state.exists:
+            kept = state.getOption
+            days = {d: v for d, v in zip(kept[::2], kept[1::2]) if d is not None}
+        for frame in frames:
+            for day, views in zip(frame["observed_date"], frame["views"]):
+                days[day] = max(int(views), days.get(day, int(views)))
+        first, last = min(days), max(days)
+        before = last - datetime.timedelta(days=1)
+        state.update((first, days[first], last, days[last], before if before in days else None, days.get(before)))
+        span = (last - first).days
+        per_day = (days[last] - days[first]) / span if span else None
+        newest = float(days[last] - days[before]) if before in days else None
+        speed = newest / per_day if newest and per_day and per_day > 0 else None
+        yield pd.DataFrame({"video_id": [key[0]], "observed_date": [last], "per_day": [per_day], "last_day": [newest], "acceleration": [speed]})
+
+    rated = readings.groupBy("video_id").applyInPandasWithState(
+        rate, "video_id long, observed_date date, per_day double, last_day double, acceleration double", "d0 date, v0 long, d1 date, v1 long, d2 date, v2 long", "update", GroupStateTimeout.NoTimeout
+    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return rated.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def scored_titles(items: DataFrame, weights: DataFrame, axes: tuple[str, str], path: str, checkpoint: str):
+    """Relevance of incoming items against a static lexicon, one batch at a time."""
+    return stored(items, path, checkpoint, lambda batch: relevance.relevance(relevance.axis_scores(batch, weights), axes))

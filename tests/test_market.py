@@ -139,3 +139,48 @@ def test_artefacts_are_not_overwritten(spark, tmp_path):
     assert first == tables.fingerprint(df.repartition(5)).first() and first != tables.fingerprint(df.filter("id > 0")).first()
     with pytest.raises(Exception, match="exist"):
         tables.write_artefact(df.filter("id > 0"), f"{tmp_path}/a")
+
+
+def _batches(spark, path, schema, batches):
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/in/part={i}")
+    return spark.readStream.schema(f"{schema}, part int").option("maxFilesPerTrigger", 1).parquet(f"{path}/in").drop("part")
+
+
+def test_breaker_counts_across_batches(spark, tmp_path):
+    at = lambda i: dt.datetime(2026, 1, 1) + dt.timedelta(hours=i)
+    polls = [[(1, 10, at(0), False), (1, 11, at(1), False)], [(1, 12, at(2), False), (2, 13, at(2), False), (1, 14, at(3), True)], [(1, 15, at(4), False)]]
+    stream = _batches(spark, tmp_path, "channel_id long, poll_id long, at timestamp, ok boolean", polls)
+    got = {r.poll_id: (r.fail_count, r.open) for r in jobs.run(spark, jobs.circuit_breaker, stream, 3).collect()}
+    assert got == {10: (1, False), 11: (2, False), 12: (3, True), 13: (1, False), 14: (0, False), 15: (1, False)}
+
+
+def test_cooldown_holds_across_batches(spark, tmp_path):
+    day = lambda i: DAY + dt.timedelta(days=i)
+    stream = _batches(spark, tmp_path, "cluster_id string, rule string, day date", [[("a", "r", day(10)), ("a", "r", day(0))], [("a", "r", day(27)), ("b", "r", day(27)), ("a", "r", day(28))], [("a", "r", day(5))]])
+    got = sorted((r.cluster_id, r.day) for r in jobs.run(spark, jobs.cooled_alerts, stream, 28).collect())
+    assert got == [("a", day(0)), ("a", day(28)), ("b", day(27))]
+
+
+def test_velocity_across_batches(spark, tmp_path):
+    day = lambda i: DAY + dt.timedelta(days=i)
+    stream = _batches(spark, tmp_path, "video_id long, observed_date date, views long", [[(1, day(0), 100), (1, day(9), 190)], [(1, day(10), 220), (1, day(10), 210), (2, day(3), 5)]])
+    rows = jobs.run(spark, jobs.velocities, stream)
+    got = {r.video_id: r for r in rows.groupBy("video_id").agg(F.max_by(F.struct("per_day", "last_day", "acceleration"), "batch").alias("r")).select("video_id", "r.*").collect()}
+    assert (got[1].per_day, got[1].last_day, got[1].acceleration) == (12.0, 30.0, 2.5) and got[2].per_day is None and got[2].last_day is None
+
+
+def test_zeros_are_interpolated(spark):
+    from marketloom.operators import trends
+
+    rows = [("a", DAY + dt.timedelta(days=7 * i), v) for i, v in enumerate([0.0, 4.0, 0.0, None, 10.0, 0.0])]
+    got = trends.interpolated(spark.createDataFrame(rows, "term string, observed_date date, value double")).orderBy("t").collect()
+    assert [r.v for r in got] == [4.0, 4.0, 6.0, 8.0, 10.0, 10.0]
+
+
+def test_capped_draw_gives_shortage_to_others(spark):
+    from marketloom.operators import trends
+
+    rows = [("a", 1, i) for i in range(9)] + [("b", 10 + i, 100 + i) for i in range(9)] + [("c", 30 + i, 200 + i) for i in range(9)]
+    got = trends.capped_draw(spark.createDataFrame(rows, "d string, channel long, id long"), "d", "channel", "id", 11, 2, 15, 1).groupBy("d").count().collect()
+    assert {r.d: r["count"] for r in got} == {"a": 2, "b": 5, "c": 4}
