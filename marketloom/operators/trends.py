@@ -74,7 +74,8 @@ def chosen_thresholds(rows: DataFrame, rules: dict[str, Column], splits: int = 2
     per = Window.partitionBy("split")
     nth = F.row_number().over(per.orderBy(F.md5(F.concat_ws(":", F.lit(seed), "split", "id")), "id"))
     scores = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), step.alias("step")) for name, step in score.items()]))
-    every = every.select("split", "y", (nth <= F.floor(F.count("*").over(per) / 2)).alias("fit"), scores.alias("s")).select("split", "y", "fit", "s.*")
+    every = every.withColumn("fit", nth <= F.floor(F.count("*").over(per) / 2))  # rows are placed before they are taken apart by rule
+    every = every.select("split", "y", "fit", scores.alias("s")).select("split", "y", "fit", "s.*")
     counts = every.groupBy("rule", "split", "fit", "step").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     passes = counts.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
     above = F.col("step") > F.col("i")

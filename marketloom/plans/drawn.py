@@ -56,7 +56,7 @@ query("STA_12", f"{_PANEL} {_relabelled(1, True)} real as {_partial('p', 'date',
 )
 
 
-_BY_Z = _PANEL.replace("  p as (select day", "  p0 as (select day") + " p as (select * replace (z as y) from p0),"
+_BY_Z = _PANEL.replace("\np as (select day", "\np0 as (select day") + " p as (select * replace (z as y) from p0),"
 _INSTRUMENT = f"{_BY_Z} {_relabelled(1)} real as {_spearman('p', 'date')}, nulls as {_spearman('moved', 'draw, date')}, {_TEST}"
 
 
