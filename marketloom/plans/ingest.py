@@ -58,28 +58,30 @@ def reread(spark, sf_dir):
     return payloads.video_readings(_video_payloads(spark, sf_dir))
 
 
-def _search_payloads(spark, sf_dir) -> DataFrame:
+def _search_payloads(spark, sf_dir, shown: str = "true") -> DataFrame:
+    """Search replies over all orders, or those that are shown."""
     k = F.col("o_orderkey")
-    rows = star.read(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0")
+    rows = star.read(spark, sf_dir, "orders").filter(shown)
     order = F.when(F.col("o_orderstatus") != "O", "date").otherwise("viewCount")
     item = F.struct(F.struct(_s("o_orderkey").alias("videoId")).alias("id"), F.struct(_s("o_custkey").alias("channelId")).alias("snippet"))
     return _batches(rows, F.concat_ws("|", "o_orderpriority", order, F.floor(k / 1000).cast("string")), item, "search")
 
 
-@query("SRC_03", f"select {_O}, o_orderpriority as query, case when o_orderstatus <> 'O' then 'date' else 'viewCount' end as order_by, date '2000-06-30' as observed_date from orders where o_orderkey % 3 = 0")
+@query("SRC_03", f"select {_O}, o_orderpriority as query, case when o_orderstatus <> 'O' then 'date' else 'viewCount' end as order_by, date '2000-06-30' as observed_date from orders")
 def found(spark, sf_dir):
     return payloads.discoveries(_search_payloads(spark, sf_dir))
 
 
-@query("SRC_03_stubs", "select o_orderkey::varchar as video_id, min(o_custkey::varchar) as channel_id, false as enriched from orders where o_orderkey % 3 = 0 group by 1")
+@query("SRC_03_stubs", "select o_orderkey::varchar as video_id, min(o_custkey::varchar) as channel_id, false as enriched from orders group by 1")
 def found_stubs(spark, sf_dir):
     return payloads.stubs(payloads.discoveries(_search_payloads(spark, sf_dir)))
 
 
-@query("SRC_06", "select distinct o_orderkey::varchar as video_id, true as enriched from orders where o_orderkey % 3 <> 0")
+@query("SRC_06", "select distinct o_orderkey::varchar as video_id, true as enriched from orders where o_orderstatus = 'O'")
 def gone(spark, sf_dir):
+    """All orders are asked for; replies hold none that is still open."""
     asked = star.read(spark, sf_dir, "orders").select(_s("o_orderkey").alias("video_id"))
-    return payloads.missing(asked, payloads.discoveries(_search_payloads(spark, sf_dir)))
+    return payloads.missing(asked, payloads.discoveries(_search_payloads(spark, sf_dir, "o_orderstatus <> 'O'")))
 
 
 @query("SRC_04", """select c_custkey::varchar as channel_id, c_name as title, n_name as country, date '2000-06-30' as observed_date, case when c_acctbal > 0 then floor(c_acctbal)::bigint end as subs,

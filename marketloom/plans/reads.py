@@ -204,9 +204,11 @@ def supply_signals(spark, sf_dir):
     return reads.answered(star.read(spark, sf_dir, "conversations"))
 
 
-@query("LEG_14", f"""with {BASE} s as (select cluster_id, o_orderstatus = 'F' as sponsored from orders join channel on channel_id = o_custkey where o_orderkey % 3 <> 0)
-select cluster_id, round(avg(sponsored::int), 6) as rate, count(*) as n from s group by 1""")
+@query("LEG_14", f"""with {BASE} s as (select cluster_id, case when o_orderkey % 3 <> 0 then o_orderstatus = 'F' end as sponsored from orders join channel on channel_id = o_custkey)
+select cluster_id, round(avg(sponsored::int), 6) as rate, count(sponsored) as n from s group by 1""")
 def sponsor_rate(spark, sf_dir):
-    own = star.read(spark, sf_dir, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_custkey").alias("channel_id"), (F.col("o_orderstatus") == "F").alias("sponsored"))
+    """The signal is unknown for orders whose key three divides: they are read, and a rate leaves them out as NULL."""
+    signal = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus") == "F").alias("sponsored")
+    own = star.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("channel_id"), signal)
     joined = own.join(star.channels(spark, sf_dir).select("channel_id", "cluster_id"), "channel_id")
-    return joined.groupBy("cluster_id").agg(F.round(F.avg(F.col("sponsored").cast("int")), 6).alias("rate"), F.count("*").alias("n"))
+    return joined.groupBy("cluster_id").agg(F.round(F.avg(F.col("sponsored").cast("int")), 6).alias("rate"), F.count("sponsored").alias("n"))
