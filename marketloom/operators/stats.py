@@ -32,10 +32,15 @@ def spearman(panel: DataFrame, by: list[str], x: str = "x", y: str = "y") -> Dat
 def partial_spearman(panel: DataFrame, by: list[str], x: str = "x", y: str = "y", z: str = "z") -> DataFrame:
     """by, n, rho of x and y with z held fixed; NULL where z explains one of them wholly."""
     full = panel.dropna(subset=[x, y, z]).withColumns({"__a": average_rank(x, by), "__b": average_rank(y, by), "__c": average_rank(z, by)})
-    r = full.groupBy(*by).agg(F.count("*").alias("n"), pearson("__a", "__b").alias("xy"), pearson("__a", "__c").alias("xz"), pearson("__b", "__c").alias("yz"))
+    return held_fixed(full, by, "__a", "__b", "__c").select(*by, "n", F.round("rho", 6).alias("rho"))
+
+
+def held_fixed(rows: DataFrame, by: list[str], x: str, y: str, z: str) -> DataFrame:
+    """by, n, rho: correlation of x and y with z held fixed, from three correlations; NULL where z is constant or explains one wholly."""
+    r = rows.groupBy(*by).agg(F.count("*").alias("n"), pearson(x, y).alias("xy"), pearson(x, z).alias("xz"), pearson(y, z).alias("yz"))
     rest = (1 - F.col("xz") * F.col("xz")) * (1 - F.col("yz") * F.col("yz"))
     rho = F.when(rest > 1e-12, (F.col("xy") - F.col("xz") * F.col("yz")) / F.sqrt(rest))
-    return r.select(*by, "n", F.round(rho, 6).alias("rho"))
+    return r.select(*by, "n", rho.alias("rho"))
 
 
 def relabelled(spark: SparkSession, units: DataFrame, draws: int, seed: int, block: str | None = None) -> DataFrame:
@@ -143,9 +148,12 @@ def stratified_partial(panel: DataFrame, controls: list[str], dates: list[str] |
     n = F.count("*").over(Window.partitionBy(*by)) + 1
     ranked = panel.dropna(subset=["x", "y", *controls])
     ranked = ranked.withColumns({f"{c}_r": average_rank(c, by) / n for c in ("x", "y", *controls)})
+    enough = lambda df: df.select(*dates, "n", F.when(F.col("n") >= 5, F.round("rho", 6)).alias("rho"))
+    if len(controls) == 1:  # the same value without a fit
+        return enough(held_fixed(ranked, dates, "x_r", "y_r", f"{controls[0]}_r"))
     free = residuals(ranked, dates, "x_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ex")
     free = residuals(free, dates, "y_r", [f"{c}_r" for c in controls]).withColumnRenamed("residual", "ey")
-    return free.groupBy(*dates).agg(F.count("*").alias("n"), pearson("ex", "ey").alias("rho")).select(*dates, "n", F.when(F.col("n") >= 5, F.round("rho", 6)).alias("rho"))
+    return enough(free.groupBy(*dates).agg(F.count("*").alias("n"), pearson("ex", "ey").alias("rho")))
 
 
 def ladder(panel: DataFrame, instrument: DataFrame, primary: DataFrame, units: int, tied: float, p: float, lift: float) -> DataFrame:
