@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scoring import percentile_rank
 from .world import KEY, World, metric_rows, on_niche
 
 
@@ -122,28 +123,68 @@ def midroll_share(world: World, days: int = 90) -> DataFrame:
     return metric_rows(world.spine, out.select(*KEY, F.try_divide("yes", "inputs_n").alias("value"), "confidence", "inputs_n"), "midroll_eligible_share")
 
 
-def latest_keywords(readings: DataFrame, days: DataFrame) -> DataFrame:
-    """Per day, keyword and geo the newest reading up to the day; of readings of one date the larger volume."""
-    order = Window.partitionBy("day", "keyword", "geo").orderBy(F.desc("observed_date"), F.desc("volume"), F.desc_nulls_last("bid_high"), F.desc_nulls_last("bid_low"), F.desc_nulls_last("competition"))
+def latest_keywords(readings: DataFrame, days: DataFrame, *by: str) -> DataFrame:
+    """Per day, keyword and geo (and columns `by`) the newest reading up to the day; of readings of one date the larger volume."""
+    order = Window.partitionBy(*by, "day", "keyword", "geo").orderBy(F.desc("observed_date"), F.desc("volume"), F.desc_nulls_last("bid_high"), F.desc_nulls_last("bid_low"), F.desc_nulls_last("competition"))
     seen = readings.join(F.broadcast(days), F.col("observed_date") <= F.col("day"))
     return seen.withColumn("nth", F.row_number().over(order)).filter("nth = 1").drop("nth")
 
 
+def _mid() -> Column:
+    """A keyword's price: the mean of the bids that it has."""
+    return F.when(F.col("bid_low").isNotNull() & F.col("bid_high").isNotNull(), (F.col("bid_low") + F.col("bid_high")) / 2).otherwise(F.coalesce("bid_low", "bid_high"))
+
+
 def keyword_money(latest: DataFrame, curated: int) -> DataFrame:
     """Per day and geo: total volume, share priced, mean competition, volume-weighted bid, median high bid, confidence."""
-    mid = F.when(F.col("bid_low").isNotNull() & F.col("bid_high").isNotNull(), (F.col("bid_low") + F.col("bid_high")) / 2).otherwise(F.coalesce("bid_low", "bid_high"))
-    rows = latest.withColumn("mid", mid)
+    rows = latest.withColumn("mid", _mid())
     age = F.datediff("day", "observed_date")
     out = rows.groupBy("day", "geo").agg(
         F.round(F.sum("volume"), 6).alias("volume"), F.round(F.avg(F.col("mid").isNotNull().cast("int")), 6).alias("priced_share"),
         F.round(F.avg("competition"), 6).alias("competition"),
         F.round(F.try_divide(F.sum(F.when(F.col("mid").isNotNull(), F.col("volume") * F.col("mid"))), F.sum(F.when(F.col("mid").isNotNull(), F.col("volume")))), 6).alias("vw_cpc"),
-        F.round(F.median("bid_high"), 6).alias("median_bid_high"), F.count("*").alias("n"), F.max(age).alias("age"),
+        F.round(F.median("bid_high"), 6).alias("median_bid_high"), F.count("*").alias("n"), F.min(age).alias("age"),
     )
     sure = F.least(F.col("n") / F.lit(curated), F.lit(1.0)) * _capped(F.col("n"), 30) * (30 / F.greatest("age", F.lit(30)))
     return out.withColumn("confidence", F.round(sure, 6)).drop("age")
 
 
+KEYWORD_METRICS = ["total_monthly_searches", "priced_share", "competition_index_mean", "vw_cpc", "median_bid_high"]
+
+
+def keyword_features(latest: DataFrame, curated: DataFrame, spine: DataFrame) -> DataFrame:
+    """The five keyword metrics of every cluster and day from its latest readings in one market, in one aggregate.
+
+    curated: cluster_id, curated (its number of keywords). Confidence: share of the curated keywords read, keywords used,
+    age of the newest reading. A keyword without price or volume is left out of vw_cpc on both sides."""
+    rows = latest.withColumn("mid", _mid()).withColumn("weight", F.when(F.col("mid").isNotNull() & (F.col("volume") != 0), F.col("volume")))
+    per = rows.groupBy(*KEY).agg(
+        F.count("*").alias("n"), F.min(F.datediff("day", "observed_date")).alias("age"),
+        F.sum("volume").alias("searches"), F.count("volume").alias("searched"), F.count("mid").alias("priced"),
+        F.avg("competition").alias("competition"), F.count("competition").alias("indexed"),
+        F.sum(F.col("weight") * F.col("mid")).alias("spend"), F.sum("weight").alias("weights"), F.count("weight").alias("used"),
+        F.median("bid_high").alias("high"), F.count("bid_high").alias("highs"),
+    )
+    values = [F.col("searches"), F.col("priced") / F.col("n"), F.col("competition"), F.try_divide("spend", "weights"), F.col("high")]
+    counts = ["searched", "n", "indexed", "used", "highs"]
+    each = F.array(*[F.struct(F.lit(k).alias("name"), v.cast("double").alias("value"), F.col(n).alias("inputs_n")) for k, v, n in zip(KEYWORD_METRICS, values, counts, strict=True)])
+    sure = F.least(F.col("n") / F.col("curated"), F.lit(1.0)) * (30 / F.greatest("age", F.lit(30)))
+    out = per.join(F.broadcast(curated), "cluster_id").select(*KEY, sure.alias("sure"), F.inline(each))
+    return metric_rows(spine, out.withColumn("confidence", F.col("sure") * _capped(F.col("inputs_n"), 30)), *KEYWORD_METRICS)
+
+
+def pressure_index(rows: DataFrame) -> DataFrame:
+    """Of metric rows: the mean of the ranks of median_views and uploads_per_week among the day's clusters, for clusters
+    that have both. inputs_n is the number of those clusters."""
+    names = ["median_views", "uploads_per_week"]
+    own = rows.filter(F.col("name").isin(names)).withColumn("rank", percentile_rank("value", ["day", "name"])).filter("rank is not null")
+    both = own.groupBy(*KEY).agg(F.avg("rank").alias("value"), F.min("confidence").alias("confidence"), F.count("*").alias("n")).filter("n = 2")
+    return both.select(
+        *KEY, F.lit("supply").alias("metric_group"), F.lit("pressure_index").alias("name"), F.round("value", 6).alias("value"), "confidence",
+        F.count("*").over(Window.partitionBy("day")).alias("inputs_n"), F.lit(None).cast("string").alias("reason"),
+    )
+
+
 LAG = 2
 
 
@@ -158,11 +199,11 @@ def _adequacy(points: str, total: str, length: int = 28) -> Column:
     return _capped(F.col(points), length) * _capped(F.col(total), 10_000)
 
 
-def weekly_views(series: DataFrame, spine: DataFrame) -> DataFrame:
+def weekly_views(series: DataFrame, spine: DataFrame, name: str = "weekly_views") -> DataFrame:
     """spine and rows: cluster_id is the term of the series."""
     now = _windows(series, spine.select("day").distinct()).withColumnRenamed("term", "cluster_id")
     out = now.select(*KEY, (F.col("total") / 4).alias("value"), _adequacy("points", "total").alias("confidence"), F.col("points").alias("inputs_n"))
-    return metric_rows(spine, out, "weekly_views")
+    return metric_rows(spine, out, name)
 
 
 def change(series: DataFrame, spine: DataFrame, back: int, name: str) -> DataFrame:
@@ -202,8 +243,8 @@ def seasonality(series: DataFrame, spine: DataFrame) -> DataFrame:
 
 def total_searches(latest: DataFrame, curated: int) -> DataFrame:
     """Per day and geo: monthly searches, known volumes only, with coverage, adequacy and freshness as confidence."""
-    age = F.greatest(F.max(F.datediff("day", "observed_date")), F.lit(30))
-    sure = F.least(F.count("volume") / F.lit(curated), F.lit(1.0)) * F.least(F.count("volume") / F.lit(30), F.lit(1.0)) * (30 / age)
+    age = F.greatest(F.min(F.datediff("day", "observed_date")), F.lit(30))
+    sure = F.least(F.count("*") / F.lit(curated), F.lit(1.0)) * F.least(F.count("volume") / F.lit(30), F.lit(1.0)) * (30 / age)
     return latest.groupBy("day", "geo").agg(F.sum("volume").alias("value"), F.count("volume").alias("inputs_n"), F.round(sure, 6).alias("confidence"))
 
 

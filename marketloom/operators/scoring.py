@@ -20,25 +20,30 @@ def percentile_rank(value: str, by: list[str]) -> Column:
     return F.when(F.col(value).isNotNull(), F.when(n == 1, 0.5).otherwise(F.try_divide(average_rank(value, by) - 1, n - 1)))
 
 
-def scorecards(features: DataFrame, supply: list[str], demand: str, openness: str) -> DataFrame:
-    """cluster_id, day: ranks of supply (mean of its metrics' ranks) and demand, gap, gap_confidence, openness."""
-    names = [*supply, demand, openness]
+def scorecards(features: DataFrame, supply: str, demand: str, openness: str, momentum: str, evidence: str) -> DataFrame:
+    """A card for every cluster and day with metric rows: ranks of supply and demand among the day's clusters, their gap,
+    openness as measured, and the stage. A confidence is that of the weaker side. evidence is carried, never read.
+
+    supply names the metric that is ranked, so that a replay can take another one than a daily build."""
+    names = [supply, demand, openness, momentum, evidence]
     wide = features.groupBy("cluster_id", "day").pivot("name", names).agg(F.first("value").alias("value"), F.first("confidence").alias("confidence"))
-    ranks = {f"{n}_rank": percentile_rank(f"{n}_value", ["day"]) for n in [*supply, demand]}
-    wide = wide.withColumns(ranks)
-    own = sum((F.col(f"{n}_rank") for n in supply), F.lit(0.0)) / len(supply)
-    sure = F.least(*[F.col(f"{n}_confidence") for n in [*supply, demand]])
-    wide = wide.withColumns({"supply": own, "demand": F.col(f"{demand}_rank")}).withColumn("gap", F.col("demand") - F.col("supply"))
+    wide = wide.withColumns({"supply": percentile_rank(f"{supply}_value", ["day"]), "demand": percentile_rank(f"{demand}_value", ["day"])})
+    wide = wide.withColumn("gap", F.col("demand") - F.col("supply")).withColumn("momentum", F.col(f"{momentum}_value"))
+    sure = F.least(f"{supply}_confidence", f"{demand}_confidence")
+    lacks = F.concat_ws(" and ", F.when(F.col("momentum").isNull(), "no momentum"), F.when(F.col("gap").isNull(), "no gap"))
     return wide.select(
-        "cluster_id", "day", F.round("supply", 6).alias("supply"), F.round("demand", 6).alias("demand"), F.round("gap", 6).alias("gap"),
-        F.round(F.when(F.col("gap").isNotNull(), sure), 6).alias("gap_confidence"), F.col(f"{openness}_value").alias("openness"),
+        "cluster_id", "day", F.col(f"{openness}_value").alias("openness"), F.round("supply", 6).alias("supply"), F.round("demand", 6).alias("demand"),
+        F.round("gap", 6).alias("gap"), F.when(F.col("gap").isNotNull(), sure).alias("gap_confidence"), "momentum", F.col(f"{evidence}_value").alias("evidence"),
+        stage(F.col("momentum"), F.col("gap")).alias("stage"),
+        F.when(F.col("momentum").isNotNull() & F.col("gap").isNotNull(), F.least(f"{momentum}_confidence", sure)).alias("stage_confidence"),
+        F.nullif(lacks, F.lit("")).alias("reason"),
     )
 
 
-def stage(rising: Column, gap: Column) -> Column:
-    """The state of a cluster by whether demand rises and whether supply falls short."""
+def stage(momentum: Column, gap: Column) -> Column:
+    """The state of a cluster by whether demand rises and whether supply falls short; unknown without either."""
     return (
-        F.when(rising.isNull() | gap.isNull(), "unknown").when((rising > 0) & (gap > 0), "emerging").when(rising > 0, "contested")
+        F.when(momentum.isNull() | gap.isNull(), "unknown").when((momentum > 0) & (gap > 0), "emerging").when(momentum > 0, "contested")
         .when(gap > 0, "cooling").otherwise("saturated")
     )
 

@@ -11,6 +11,18 @@ from pyspark.sql.window import Window
 
 ON_NICHE, NOISE = 0.55, 0.0
 KEY = ["cluster_id", "day"]
+#: The group of every metric.
+GROUPS = {
+    "demand": ["weekly_views", "weekly_views_event", "momentum_28d", "yoy", "volatility_365d", "seasonality", "trends_momentum_13w", "total_monthly_searches"],
+    "supply": [
+        "uploads_per_week", "median_views", "trimmed_mean_views", "on_niche_share", "geo_concentration", "format_mix", "top10_concentration",
+        "median_top_video_age", "views_per_new_video", "pressure_index",
+    ],
+    "openness": ["breakthrough_rate_cohort", "views_per_sub", "winner_age_years"],
+    "money": ["midroll_eligible_share", "priced_share", "competition_index_mean", "vw_cpc", "median_bid_high"],
+}
+#: Why a value is NULL: nothing was read by the day, or what was read does not suffice.
+NOTHING, TOO_LITTLE = "no inputs by the day", "inputs do not suffice"
 
 
 def on_niche() -> Column:
@@ -124,12 +136,26 @@ class World:
         return self.niche_videos.join(self.views, ["video_id", "day"]).withColumn("place", F.row_number().over(order)).filter("place <= 100")
 
 
-def metric_rows(spine: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """One row per cluster and day: value, confidence, inputs_n. What cannot be computed is NULL with confidence 0."""
-    out = spine.join(values, KEY, "left")
+def group_of(name: str) -> str | None:
+    return next((group for group, names in GROUPS.items() if name in names), None)
+
+
+def metric_rows(spine: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    """One row per cluster, day and name: group, value, confidence, inputs_n, reason. What cannot be computed is NULL with
+    confidence 0 and a reason. values need a column `name` if several names are given."""
+    seen = values.withColumn("__seen", F.lit(True))
+    if len(names) == 1:
+        out = spine.join(seen.drop("name"), KEY, "left").withColumn("name", F.lit(names[0]))
+    else:
+        out = spine.withColumn("name", F.explode(F.array(*map(F.lit, names)))).join(seen, [*KEY, "name"], "left")
+    group = F.lit(None).cast("string")
+    for g in GROUPS:
+        if own := [n for n in names if group_of(n) == g]:
+            group = F.when(F.col("name").isin(own), g).otherwise(group)
     known = F.col("value").isNotNull()
     return out.select(
-        *KEY, F.lit(name).alias("name"), F.round("value", 6).alias("value"),
+        *KEY, group.alias("metric_group"), "name", F.round("value", 6).alias("value"),
         F.when(known, F.round(F.coalesce("confidence", F.lit(0.0)), 6)).otherwise(F.lit(0.0)).alias("confidence"),
         F.when(known, F.coalesce("inputs_n", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("inputs_n"),
+        F.when(known, F.lit(None)).when(F.col("__seen"), TOO_LITTLE).otherwise(NOTHING).cast("string").alias("reason"),
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics, outcomes, prototypes, rules, scoring, stats, tables
-from ..operators.world import KEY, metric_rows
+from ..operators.world import KEY
 from ..sources import star
-from .market import _BREAK, _CORR, _DEMAND, _FSQL, _PANEL, _RANK, _REPLAY, BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, _breakouts, _ranks, _rows, features, panel, query, world
+from .market import _BREAK, _CORR, _DEMAND, _PANEL, _RANK, _REPLAY, BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, _breakouts, _ranks, _rows, panel, query, world
 from .more import _LEX, _SCORES, _SING, _TOK, LEXICON, _items, _relevance, _weights
 
 # relevance
@@ -138,13 +138,13 @@ def weekly_event_views(spark, sf_dir):
     from ..operators.world import spine
 
     every = star.demand_snapshots(spark, sf_dir).select(F.col("term").alias("cluster_id"))
-    return metrics.weekly_views(_event_series(spark, sf_dir), spine(every, DAYS)).withColumn("name", F.lit("weekly_views_event"))
+    return metrics.weekly_views(_event_series(spark, sf_dir), spine(every, DAYS), "weekly_views_event")
 
 
 @query("DEM_08", ORACLES["POP_19"].replace(
     "select day, keyword, geo, observed_date, volume, competition, bid_low, bid_high from r where k = 1",
     """select day, geo, sum(volume) as value, count(volume) as inputs_n,
-  round(least(count(volume) / 64.0, 1) * least(count(volume) / 30.0, 1) * (30.0 / greatest(max(day - observed_date), 30)), 6) as confidence from r where k = 1 group by all"""))
+  round(least(count(*) / 64.0, 1) * least(count(volume) / 30.0, 1) * (30.0 / greatest(min(day - observed_date), 30)), 6) as confidence from r where k = 1 group by all"""))
 def total_searches(spark, sf_dir):
     days = world(spark, sf_dir).spine.select("day").distinct()
     return metrics.total_searches(metrics.latest_keywords(star.keyword_metrics(spark, sf_dir), days), 64)
@@ -164,16 +164,13 @@ def curve_momentum(spark, sf_dir):
     return metrics.curve_momentum(curves, grid)
 
 
-@query("SUP_10", f"""with a as ({ORACLES['SUP_02']}), b as ({ORACLES['SUP_01']}), x as (select cluster_id, day, {_RANK.format(v='value')} as p, confidence, inputs_n from a),
-y as (select cluster_id, day, {_RANK.format(v='value')} as q, confidence as c, inputs_n as n from b)
-select cluster_id, day, 'pressure_index' as name, round((p + q) / 2, 6) as value, case when p + q is null then 0 else least(confidence, c) end as confidence,
-  case when p + q is null then 0 else inputs_n + n end as inputs_n from x join y using (cluster_id, day)""")
+@query("SUP_10", f"""with a as ({ORACLES['SUP_02']}), b as ({ORACLES['SUP_01']}), x as (select cluster_id, day, {_RANK.format(v='value')} as p, confidence from a),
+y as (select cluster_id, day, {_RANK.format(v='value')} as q, confidence as c from b)
+select cluster_id, day, 'supply' as metric_group, 'pressure_index' as name, round((p + q) / 2, 6) as value, least(confidence, c) as confidence,
+  count(*) over (partition by day) as inputs_n, null::varchar as reason from x join y using (cluster_id, day) where p + q is not null""")
 def pressure(spark, sf_dir):
     w = world(spark, sf_dir)
-    ranked = lambda f, p, c, n: f(w).select(*KEY, scoring.percentile_rank("value", ["day"]).alias(p), F.col("confidence").alias(c), F.col("inputs_n").alias(n))
-    both = ranked(metrics.median_views, "p", "c1", "n1").join(ranked(metrics.uploads_per_week, "q", "c2", "n2"), KEY)
-    values = both.select(*KEY, ((F.col("p") + F.col("q")) / 2).alias("value"), F.least("c1", "c2").alias("confidence"), (F.col("n1") + F.col("n2")).alias("inputs_n"))
-    return metric_rows(w.spine, values, "pressure_index")
+    return metrics.pressure_index(metrics.median_views(w).unionByName(metrics.uploads_per_week(w)))
 
 
 # rules and monitoring
@@ -196,12 +193,6 @@ def ballast_drift(spark, sf_dir):
     return rules.ballast_drift(rules.ballast_counts(world(spark, sf_dir, REPLAY)), 0.01, 0.02, 7, 3)
 
 
-@query("RUL_03", f"""with f as ({_FSQL}), l as (select *, lag(value) over o as was, lag(inputs_n) over o as had from f window o as (partition by cluster_id, name order by day))
-select cluster_id, day, name, had, inputs_n from l where was is not null and (value is null or 2 * inputs_n <= had)""")
-def evidence_collapse(spark, sf_dir):
-    return scoring.collapses(features(world(spark, sf_dir)))
-
-
 _ALERTS = f"select cluster_id, day, 'demand_breakout' as rule, case when z >= 1 then 'high' else 'info' end as severity from ({_BREAK}) where fires"
 
 

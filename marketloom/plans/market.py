@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, scoring, stats
-from ..operators.world import KEY, World, spine
+from ..operators.world import KEY, NOTHING, TOO_LITTLE, World, group_of, spine
 from ..sources import star
 
 DAYS = ["1997-06-30", "2000-06-30"]
@@ -71,11 +71,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _known(group: str, name: str, found: str) -> str:
+    return f"""{group} as metric_group, {name} as name, round(value, 6) as value,
+  case when value is null then 0.0::double else round(coalesce(confidence, 0), 6) end as confidence,
+  case when value is null then 0 else coalesce(inputs_n, 0) end::bigint as inputs_n,
+  case when value is null then case when {found} is null then '{NOTHING}' else '{TOO_LITTLE}' end end as reason"""
+
+
 def _rows(name: str) -> str:
     """A metric's rows from m (cluster_id, day, value, confidence, inputs_n)."""
-    return f"""select s.cluster_id, s.day, '{name}' as name, round(value, 6) as value,
-  case when value is null then 0.0::double else round(coalesce(confidence, 0), 6) end as confidence,
-  case when value is null then 0 else coalesce(inputs_n, 0) end::bigint as inputs_n from spine s left join m using (cluster_id, day)"""
+    known = _known(f"'{group_of(name)}'", f"'{name}'", "m.day")
+    return f"""select s.cluster_id, s.day, {known} from spine s left join m on m.cluster_id = s.cluster_id and m.day = s.day"""
 
 
 def _supply(name: str, body: str) -> str:
@@ -150,7 +156,7 @@ ORACLES["MON_02_05"] = ORACLES["POP_19"].replace(
 select day, geo, round(sum(volume), 6) as volume, round(avg((mid is not null)::int), 6) as priced_share, round(avg(competition), 6) as competition,
   round(sum(case when mid is not null then volume * mid end) / nullif(sum(case when mid is not null then volume end), 0), 6) as vw_cpc,
   round(median(bid_high), 6) as median_bid_high, count(*) as n,
-  round(least(count(*) / 64.0, 1) * least(count(*) / 30.0, 1) * (30.0 / greatest(max(day - observed_date), 30)), 6) as confidence from l group by all""",
+  round(least(count(*) / 64.0, 1) * least(count(*) / 30.0, 1) * (30.0 / greatest(min(day - observed_date), 30)), 6) as confidence from l group by all""",
 )
 
 
@@ -243,27 +249,7 @@ def seasonality(spark, sf_dir):
     return metrics.seasonality(*_series(spark, sf_dir))
 
 
-# assembly and scores
-
-
-def features(w: World) -> DataFrame:
-    every = [
-        metrics.uploads_per_week, metrics.median_views, metrics.trimmed_mean_views, metrics.on_niche_share, metrics.format_mix, metrics.top10_concentration,
-        metrics.breakthrough_rate, metrics.views_per_sub, metrics.winner_age_years, metrics.midroll_share,
-    ]
-    out = every[0](w)
-    for m in every[1:]:
-        out = out.unionByName(m(w))
-    return out
-
-
-_FEATURES = ["SUP_01", "SUP_02", "SUP_03", "SUP_04", "SUP_05", "SUP_07", "OPN_01", "OPN_02", "OPN_03", "MON_01"]
-_FSQL = " union all ".join(f"(select * from ({ORACLES[k]}))" for k in _FEATURES)
-
-
-@query("SCO_02", _FSQL)
-def all_features(spark, sf_dir):
-    return features(world(spark, sf_dir))
+# scores
 
 
 _RANK = "case when {v} is not null then case when count({v}) over (partition by day) = 1 then 0.5 else (rank() over (partition by day order by {v} nulls last) - 1 + (count({v}) over (partition by day, {v}) - 1) / 2.0) / (count({v}) over (partition by day) - 1) end end"
@@ -275,25 +261,6 @@ def percentile(spark, sf_dir):
     return rows.select(*KEY, "value", F.round(scoring.percentile_rank("value", ["day"]), 6).alias("percentile"))
 
 
-_CARDS = f"""with f as ({_FSQL}),
-w as (select cluster_id, day, max(value) filter (name = 'uploads_per_week') as u, max(value) filter (name = 'median_views') as mdv, max(value) filter (name = 'top10_concentration') as d,
-  max(value) filter (name = 'views_per_sub') as openness, least(max(confidence) filter (name = 'uploads_per_week'), max(confidence) filter (name = 'median_views'), max(confidence) filter (name = 'top10_concentration')) as sure from f group by all),
-r as (select *, ({_RANK.format(v='u')} + {_RANK.format(v='mdv')}) / 2 as supply, {_RANK.format(v='d')} as demand from w)
-select cluster_id, day, round(supply, 6) as supply, round(demand, 6) as demand, round(demand - supply, 6) as gap,
-  case when demand - supply is not null then round(sure, 6) end as gap_confidence, openness from r"""
-
-
-@query("SCO_03", _CARDS)
-def cards(spark, sf_dir):
-    return scoring.scorecards(features(world(spark, sf_dir)), ["uploads_per_week", "median_views"], "top10_concentration", "views_per_sub")
-
-
-@query("SCO_04", f"""select cluster_id, day, gap, case when openness is null or gap is null then 'unknown' when openness > 1 and gap > 0 then 'emerging' when openness > 1 then 'contested'
-  when gap > 0 then 'cooling' else 'saturated' end as stage from ({_CARDS})""")
-def stages(spark, sf_dir):
-    return cards(spark, sf_dir).select(*KEY, "gap", scoring.stage(F.col("openness") - 1, F.col("gap")).alias("stage"))
-
-
 _REPLAY = ", ".join(f"(date '{d}')" for d in REPLAY)
 _BREAK = f"""with {BASE} days as (select col0 as day from (values {_REPLAY}) t(col0)), spine as (select distinct term as cluster_id, day from series, days),
 i as (select cluster_id, day, value, (day - 2 - observed_date) as gap from series join spine on term = cluster_id where observed_date <= day - 2),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import metrics, reads, scoring
+from ..operators import metrics, reads
 from ..operators.world import KEY
 from ..sources import star
-from .market import _PANEL, BASE, DAYS, ORACLES, PRE, REPLAY, features, panel, query, world
+from .market import _PANEL, BASE, DAYS, ORACLES, PRE, panel, query, world
 
 # watch lists and clusters
 
@@ -55,23 +55,6 @@ def decision_dates(spark, sf_dir):
     return ends.select(F.explode(F.sequence("a", "b", F.expr("interval 7 days"))).alias("day"))
 
 
-_REPLAYED = ", ".join(f"(date '{d}')" for d in REPLAY)
-
-
-_ON_REPLAY = lambda sql: sql.replace(", ".join(f"(date '{d}')" for d in DAYS), _REPLAYED)
-
-
-@query("BTE_04", _ON_REPLAY(ORACLES["SCO_02"]))
-def replayed(spark, sf_dir):
-    """The metrics on every replay date: the same functions as in a daily build, on a spine of many days, in one job."""
-    return features(world(spark, sf_dir, REPLAY))
-
-
-@query("BTE_04_cards", _ON_REPLAY(ORACLES["SCO_03"]))
-def replayed_cards(spark, sf_dir):
-    return scoring.scorecards(features(world(spark, sf_dir, REPLAY)), ["uploads_per_week", "median_views"], "top10_concentration", "views_per_sub")
-
-
 @query("BTE_06", f"{_PANEL} q as (select date, unit, x as score, y as outcome, count(*) over (partition by date) as n from p where x is not null and y > 0) select * from q where n >= 3")
 def paired(spark, sf_dir):
     p = panel(spark, sf_dir).select("date", "unit", F.col("x").alias("score"), F.when(F.col("y") > 0, F.col("y")).alias("outcome"))
@@ -124,11 +107,6 @@ def gated(spark, sf_dir):
     return reads.gated(metrics.median_views(w).unionByName(metrics.format_mix(w)).select(*KEY, "name", "value"), policy)
 
 
-@query("QRY_10", f"select * from ({_GATED}) where day = date '2000-06-30'")
-def niche_view(spark, sf_dir):
-    return reads.latest_day(gated(spark, sf_dir))
-
-
 _KEYWORDS = ORACLES["POP_19"].split(" kw as (", 1)[1].rsplit("select day, keyword", 1)[0].rstrip()
 
 

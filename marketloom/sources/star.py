@@ -60,9 +60,23 @@ def demand_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def keyword_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cluster_demand(spark: SparkSession, sf_dir: str, event: bool = False) -> DataFrame:
+    """Page views of a cluster's topic (term): orders of its customers a day, or open ones only as those of its events."""
+    own = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("term"))
+    orders = read(spark, sf_dir, "orders")
+    seen = (orders.filter("o_orderstatus = 'O'") if event else orders).select("o_custkey", F.to_date("o_orderdate").alias("observed_date"))
+    return seen.join(own, "o_custkey").groupBy("term", "observed_date").agg(F.count("*").cast("double").alias("value"))
+
+
+#: The clusters that curated keywords belong to, in turn.
+CURATED = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def keyword_metrics(spark: SparkSession, sf_dir: str, clusters: bool = False) -> DataFrame:
     k = F.col("p_partkey")
+    own = [F.element_at(F.array(*map(F.lit, CURATED)), (k % len(CURATED) + 1).cast("int")).alias("cluster_id")] if clusters else []
     return read(spark, sf_dir, "part").select(
+        *own,
         F.col("p_name").alias("keyword"),
         F.substring("p_brand", -1, 1).alias("geo"),
         F.add_months(F.lit("1997-01-31").cast("date"), (k % 12).cast("int")).alias("observed_date"),

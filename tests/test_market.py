@@ -184,3 +184,34 @@ def test_capped_draw_gives_shortage_to_others(spark):
     rows = [("a", 1, i) for i in range(9)] + [("b", 10 + i, 100 + i) for i in range(9)] + [("c", 30 + i, 200 + i) for i in range(9)]
     got = trends.capped_draw(spark.createDataFrame(rows, "d string, channel long, id long"), "d", "channel", "id", 11, 2, 15, 1).groupBy("d").count().collect()
     assert {r.d: r["count"] for r in got} == {"a": 2, "b": 5, "c": 4}
+
+
+def _features(spark, rows):
+    return spark.createDataFrame([(c, DAY, n, v, s) for c, n, v, s in rows], "cluster_id string, day date, name string, value double, confidence double")
+
+
+def test_cards_and_stages(spark):
+    rows = [("a", "s", 10.0, 0.5), ("a", "d", 9.0, 0.9), ("a", "m", 0.1, 0.2), ("b", "s", 20.0, 0.5), ("b", "d", 3.0, 0.4), ("b", "m", -0.1, 1.0), ("c", "s", 30.0, 1.0), ("c", "d", None, 0.0), ("c", "m", 0.5, 1.0)]
+    got = {r.cluster_id: r for r in scoring.scorecards(_features(spark, rows), "s", "d", "o", "m", "e").collect()}
+    assert (got["a"].supply, got["a"].demand, got["a"].gap, got["a"].gap_confidence, got["a"].stage, got["a"].stage_confidence) == (0.0, 1.0, 1.0, 0.5, "emerging", 0.2)
+    assert (got["b"].gap, got["b"].stage, got["b"].reason, got["b"].openness) == (-0.5, "saturated", None, None)
+    assert (got["c"].gap, got["c"].gap_confidence, got["c"].stage, got["c"].stage_confidence, got["c"].reason) == (None, None, "unknown", None, "no gap")
+
+
+def test_pressure_needs_both_metrics(spark):
+    rows = [("a", "median_views", 1.0, 0.5), ("a", "uploads_per_week", 5.0, 0.3), ("b", "median_views", 2.0, 0.5), ("b", "uploads_per_week", 7.0, 0.9), ("c", "median_views", 3.0, 1.0), ("c", "uploads_per_week", None, 0.0)]
+    got = {r.cluster_id: (r.value, r.confidence, r.inputs_n) for r in metrics.pressure_index(_features(spark, rows)).collect()}
+    assert got == {"a": (0.0, 0.3, 2), "b": (0.75, 0.5, 2)}
+
+
+def test_keyword_metrics_of_a_cluster(spark):
+    day = DAY - dt.timedelta(days=60)
+    rows = [("a", DAY, "x", day, 100.0, 10, 1.0, 3.0), ("a", DAY, "y", DAY - dt.timedelta(days=90), 10.0, None, None, 9.0), ("a", DAY, "z", day, 0.0, 30, 50.0, None), ("a", DAY, "w", day, 1000.0, 20, None, None)]
+    latest = spark.createDataFrame(rows, "cluster_id string, day date, keyword string, observed_date date, volume double, competition int, bid_low double, bid_high double")
+    curated = spark.createDataFrame([("a", 8), ("b", 1)], "cluster_id string, curated long")
+    grid = spark.createDataFrame([("a", DAY), ("b", DAY)], "cluster_id string, day date")
+    got = {(r.cluster_id, r.name): r for r in metrics.keyword_features(latest, curated, grid).collect()}
+    values = {n: got["a", n].value for n in metrics.KEYWORD_METRICS}
+    assert values == {"total_monthly_searches": 1110.0, "priced_share": 0.75, "competition_index_mean": 20.0, "vw_cpc": round((100 * 2 + 10 * 9) / 110, 6), "median_bid_high": 6.0}
+    assert got["a", "vw_cpc"].inputs_n == 2 and got["a", "vw_cpc"].confidence == round(0.5 * 0.5 * 2 / 30, 6)  # the newest reading is 60 days old
+    assert got["b", "vw_cpc"].value is None and got["b", "vw_cpc"].reason == "no inputs by the day" and got["b", "vw_cpc"].metric_group == "money"
