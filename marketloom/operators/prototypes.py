@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,12 +29,23 @@ def term_matches(items: DataFrame, terms: DataFrame) -> DataFrame:
     return single.unionByName(begun.filter(spaced("plain").contains(spaced("term"))).select("item_id", "term")).distinct()
 
 
+def _fold() -> tuple[str, str]:
+    """Small Latin letters with marks and the plain letters that they decompose to; combining marks have no counterpart."""
+    bases = {c: unicodedata.normalize("NFKD", c) for c in map(chr, range(0xC0, 0x250)) if c.islower()}
+    marked = {c: d[0] for c, d in bases.items() if d != c and "a" <= d[0] <= "z" and all(map(unicodedata.combining, d[1:]))}
+    return "".join(marked) + "".join(map(chr, range(0x300, 0x370))), "".join(marked.values())
+
+
+FOLD = _fold()
+
+
 def gates(items: DataFrame, words: dict[str, list[str]], home: str) -> DataFrame:
-    """(item_id, reason): why a text is not scored, NULL if it is. items: item_id, title, description; words: a language's function words.
+    """(item_id, reason): why a text is not scored, NULL if it is. items: item_id, title, description; words: a language's
+    function words, without accents, as those of texts are folded.
 
     Foreign: two or more words of one language in the title and more than of the home language; or six or more in the
     description and more than twice the home language's, unless two home words make the title clear."""
-    own = lambda c: F.array_distinct(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}]+"))
+    own = lambda c: F.array_distinct(F.split(F.translate(F.lower(F.coalesce(c, F.lit(""))), *FOLD), r"[^\p{L}]+"))
     found = lambda c, lang: F.size(F.array_intersect(own(c), F.array(*map(F.lit, words[lang]))))
     others = [x for x in words if x != home]
     rows = items.select(

@@ -35,7 +35,7 @@ def matched(spark, sf_dir):
 
 
 WORDS = {lang: sorted({w for (s, _), ws in LEXICON.items() if s == lang for w in ws}) for lang in ("en", "de", "fr", "es")}
-_OWN = r"list_distinct(string_split_regex(lower(coalesce({c}, '')), '[^\p{{L}}]+'))"
+_OWN = r"list_distinct(string_split_regex(translate(lower(coalesce({c}, '')), '%s', '%s'), '[^\p{{L}}]+'))" % prototypes.FOLD
 _N = lambda c, lang: f"len(list_intersect({_OWN.format(c=c)}, {WORDS[lang]}))"
 _GREATEST = lambda c: "greatest(" + ", ".join(_N(c, x) for x in ("de", "fr", "es")) + ")"
 

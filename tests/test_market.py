@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from marketloom.operators import metrics, outcomes, scoring, stats, tables
+from marketloom.operators import metrics, outcomes, prototypes, scoring, stats, tables
 from marketloom.operators.relevance import axis_scores, lexicon_weights
 from marketloom.operators.world import World, running_max, spine
 from marketloom.streaming import jobs
@@ -215,3 +215,10 @@ def test_keyword_metrics_of_a_cluster(spark):
     assert values == {"total_monthly_searches": 1110.0, "priced_share": 0.75, "competition_index_mean": 20.0, "vw_cpc": round((100 * 2 + 10 * 9) / 110, 6), "median_bid_high": 6.0}
     assert got["a", "vw_cpc"].inputs_n == 2 and got["a", "vw_cpc"].confidence == round(0.5 * 0.5 * 2 / 30, 6)  # the newest reading is 60 days old
     assert got["b", "vw_cpc"].value is None and got["b", "vw_cpc"].reason == "no inputs by the day" and got["b", "vw_cpc"].metric_group == "money"
+
+
+def test_accents_are_folded_before_words_are_looked_up(spark):
+    rows = [(1, "La guérra ESTÁ por là", ""), (2, "u\u0308ber und fu\u0308r", ""), (3, "über and the", ""), (4, "", ""), (5, "123", "")]
+    items = spark.createDataFrame(rows, "item_id long, title string, description string")
+    got = {r.item_id: r.reason for r in prototypes.gates(items, {"en": ["the", "and"], "es": ["esta", "por"], "de": ["uber", "und", "fur"]}, "en").collect()}
+    assert got == {1: "foreign", 2: "foreign", 3: None, 4: "no title", 5: "no letters"}
