@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, jaccard_join, mixing, pii, repeats, secrets, sharding, toxicity
+from . import chat, decontaminate, exact_dedup, jaccard_join, mixing, pii, repeats, secrets, sharding, token_files, toxicity, vector_codes, whitening
 from .common import table
 
 #: The mixture of op5 and of the pipeline.
@@ -65,7 +66,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_pii, op3_chat, op4_jaccard, op5_mixing, op6_toxicity, op7_exact, op8_secrets, op9_sharding, op10_repeats)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    read = token_files.read_documents(spark, path)
+    return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_pii, op3_chat, op4_jaccard, op5_mixing, op6_toxicity, op7_exact, op8_secrets, op9_sharding, op10_repeats, op11_whitening, op12_vector_codes, op13_token_files)}
 
 _OP4 = r"""
 with recursive w as (
@@ -158,4 +173,25 @@ select h.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(removed, 0)::bigint
   sha256(unhex(coalesce(kept, h))) as kept_sha256 from h left join k using (doc_id)
 """
 
-ORACLE_SQL = {"op4_jaccard": _OP4, "op5_mixing": _OP5, "op7_exact": _OP7, "op8_secrets": _op8(), "op10_repeats": _OP10}
+
+
+def _op12() -> str:
+    """Four rounds and the last assignment, each a join of all parts with their codebook."""
+    steps = ["""k as materialized (select vec_id, label, [floor(1024 * x::double)::bigint for x in embedding] as v, row_number() over (order by vec_id nulls last, embedding) as r
+  from embeddings where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+p as materialized (select r, i as p, v[i * (len(v) // 4) + 1 : (i + 1) * (len(v) // 4)] as v from k, range(4) t(i)),
+c0 as materialized (select p, r - 1 as e, v as c from p where r <= 256)"""]
+    for n in range(5):
+        steps.append(f"""a{n} as materialized (select r, p, any_value(v) as v, min(struct_pack(d := d, e := e)) as m from (
+  select r, p.p, v, e, list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, len(v) + 1)])::bigint as d from p join c{n} c on p.p = c.p) group by r, p)""")
+        if n < 4:
+            steps.append(f"""s{n} as (select p, e, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as c from (
+  select p, m.e as e, i, sum(v[i])::hugeint as s, count(*) as n from (select p, m, v, unnest(range(1, len(v) + 1)) as i from a{n}) group by 1, 2, 3) group by 1, 2),
+c{n + 1} as materialized (select o.p, o.e, coalesce(s.c, o.c) as c from c{n} o left join s{n} s on o.p = s.p and o.e = s.e)""")
+    return f"""with {", ".join(steps)},
+x as (select r, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' order by p) as code, sum(m.d)::bigint as error from a4 group by r)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) from c4) as codebooks_sha256 from x join k using (r)"""
+
+
+ORACLE_SQL = {"op4_jaccard": _OP4, "op5_mixing": _OP5, "op7_exact": _OP7, "op8_secrets": _op8(), "op10_repeats": _OP10, "op12_vector_codes": _op12()}
