@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .scoring import percentile_rank
-from .world import KEY, World, metric_rows, on_niche
+from .world import KEY, Calendar, World, in_windows, metric_rows, on_niche, upto
 
 
 def _capped(n: Column, full: float) -> Column:
@@ -20,7 +20,7 @@ def _decided() -> Column:
 
 def _supply(world: World, values: DataFrame, name: str) -> DataFrame:
     """values: cluster, day, value, inputs_n, contributing. Confidence: sample size, share of channels, share decided."""
-    universe = world.member_channels.groupBy(*KEY).agg(F.count("*").alias("universe"))
+    universe = world.channel_counts().withColumnRenamed("total", "universe")
     joined = values.join(universe, KEY, "left").join(world.coverage, KEY, "left")
     share = F.coalesce(F.least(F.try_divide("contributing", "universe"), F.lit(1.0)), F.lit(0.0))
     return metric_rows(world.spine, joined.select(*KEY, "value", "inputs_n", (_capped(F.col("inputs_n"), 30) * share * _decided()).alias("confidence")), name)
@@ -28,12 +28,12 @@ def _supply(world: World, values: DataFrame, name: str) -> DataFrame:
 
 def uploads_per_week(world: World) -> DataFrame:
     """Sum over member channels of on-niche long-form uploads in the window over the weeks they were watched in it."""
-    start = F.date_sub("day", world.upload_days - 1)
-    recent = F.count_if(on_niche() & ~F.col("is_short") & (F.col("published") >= start))
-    per = world.member_videos.groupBy(*KEY, "channel_id").agg(recent.alias("n"), F.min("published").alias("oldest"))
+    since = world.video_spans.groupBy("cluster_id", "channel_id").agg(F.min("published").alias("oldest"))
+    per = world.recent_niche(world.upload_days).groupBy(*KEY, "channel_id").agg(F.count_if(~F.col("is_short")).alias("n")).join(since, ["cluster_id", "channel_id"])
     weeks = (F.datediff("day", F.greatest(F.date_sub("day", world.upload_days - 1), F.col("oldest"))) + 1) / 7
-    per = world.member_channels.select(*KEY, "channel_id").join(per, [*KEY, "channel_id"], "left").withColumn("rate", F.coalesce(F.col("n") / weeks, F.lit(0.0)))
-    out = per.groupBy(*KEY).agg(F.sum("rate").alias("value"), F.sum(F.coalesce("n", F.lit(0))).alias("inputs_n"), F.count_if(F.col("n") > 0).alias("contributing"))
+    per = per.groupBy(*KEY).agg(F.sum(F.col("n") / weeks).alias("rate"), F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("some"))
+    out = world.channel_counts().select(*KEY).join(per, KEY, "left")
+    out = out.select(*KEY, F.coalesce("rate", F.lit(0.0)).alias("value"), F.coalesce("n", F.lit(0)).alias("inputs_n"), F.coalesce("some", F.lit(0)).alias("contributing"))
     return _supply(world, out, "uploads_per_week")
 
 
@@ -59,14 +59,14 @@ def on_niche_share(world: World) -> DataFrame:
 
 def format_mix(world: World) -> DataFrame:
     """Shorts among on-niche uploads of the window whose format is known."""
-    recent = world.niche_videos.filter(F.col("published") >= F.date_sub("day", world.upload_days - 1))
+    recent = world.recent_niche(world.upload_days)
     out = recent.groupBy(*KEY).agg(F.count_if("is_short").alias("shorts"), F.count("is_short").alias("inputs_n"), F.countDistinct("channel_id").alias("contributing"))
     return _supply(world, out.withColumn("value", F.try_divide("shorts", "inputs_n")), "format_mix")
 
 
 def geo_concentration(world: World, country: str) -> DataFrame:
-    out = world.member_channels.groupBy(*KEY).agg(F.count_if(F.col("country") == country).alias("own"), F.count("country").alias("inputs_n"), F.count("*").alias("all"))
-    return metric_rows(world.spine, out.select(*KEY, F.try_divide("own", "inputs_n").alias("value"), (F.col("inputs_n") / F.col("all")).alias("confidence"), "inputs_n"), "geo_concentration")
+    out = world.channel_counts(own=F.col("country") == country, inputs_n=F.col("country").isNotNull())
+    return metric_rows(world.spine, out.select(*KEY, F.try_divide("own", "inputs_n").alias("value"), (F.col("inputs_n") / F.col("total")).alias("confidence"), "inputs_n"), "geo_concentration")
 
 
 def top10_concentration(world: World) -> DataFrame:
@@ -87,11 +87,14 @@ def views_per_new_video(world: World, channel_snapshot: DataFrame) -> DataFrame:
 
     channel_snapshot: channel_id, observed_date, reach, video_count.
     """
-    order = Window.partitionBy(*KEY, "channel_id").orderBy(F.desc("observed_date"))
-    seen = world.member_channels.select(*KEY, "channel_id").join(channel_snapshot, "channel_id").filter("observed_date <= day")
-    seen = seen.withColumn("nth", F.row_number().over(order)).filter("nth <= 5").groupBy(*KEY, "channel_id")
-    ends = seen.agg(*[f(c, "observed_date").alias(f"{c}_{k}") for c in ("reach", "video_count") for k, f in (("first", F.min_by), ("last", F.max_by))])
-    ends = ends.selectExpr(*KEY, "reach_last - reach_first as gained", "video_count_last - video_count_first as made").filter("made > 0 and gained >= 0")
+    order = Window.partitionBy("channel_id").orderBy("observed_date")
+    first = lambda c: F.first(c).over(order.rowsBetween(-4, 0))
+    moves = channel_snapshot.select(
+        "channel_id", F.col("observed_date").alias("from"), F.lead("observed_date").over(order).alias("to"),
+        (F.col("reach") - first("reach")).alias("gained"), (F.col("video_count") - first("video_count")).alias("made"),
+    )
+    own = world.channel_spans.select("cluster_id", "channel_id", "start", "end").join(moves, "channel_id")
+    ends = world.calendar.on(own, F.greatest("start", "from"), F.least("end", "to")).filter("made > 0 and gained >= 0")
     out = ends.groupBy(*KEY).agg(F.median(F.col("gained") / F.col("made")).alias("value"), F.count("*").alias("inputs_n"), F.count("*").alias("contributing"))
     return _supply(world, out, "views_per_new_video")
 
@@ -117,7 +120,7 @@ def winner_age_years(world: World) -> DataFrame:
 
 
 def midroll_share(world: World, days: int = 90) -> DataFrame:
-    recent = world.niche_videos.filter(F.col("published") >= F.date_sub("day", days - 1))
+    recent = world.recent_niche(days)
     out = recent.groupBy(*KEY).agg(F.count_if("midroll").alias("yes"), F.count("midroll").alias("inputs_n"))
     out = out.join(world.coverage, KEY, "left").withColumn("confidence", _capped(F.col("inputs_n"), 100) * F.coalesce(F.try_divide("decided", "total"), F.lit(0.0)))
     return metric_rows(world.spine, out.select(*KEY, F.try_divide("yes", "inputs_n").alias("value"), "confidence", "inputs_n"), "midroll_eligible_share")
@@ -125,9 +128,11 @@ def midroll_share(world: World, days: int = 90) -> DataFrame:
 
 def latest_keywords(readings: DataFrame, days: DataFrame, *by: str) -> DataFrame:
     """Per day, keyword and geo (and columns `by`) the newest reading up to the day; of readings of one date the larger volume."""
-    order = Window.partitionBy(*by, "day", "keyword", "geo").orderBy(F.desc("observed_date"), F.desc("volume"), F.desc_nulls_last("bid_high"), F.desc_nulls_last("bid_low"), F.desc_nulls_last("competition"))
-    seen = readings.join(F.broadcast(days), F.col("observed_date") <= F.col("day"))
-    return seen.withColumn("nth", F.row_number().over(order)).filter("nth = 1").drop("nth")
+    key = [*by, "keyword", "geo"]
+    order = Window.partitionBy(*key, "observed_date").orderBy(F.desc("volume"), F.desc_nulls_last("bid_high"), F.desc_nulls_last("bid_low"), F.desc_nulls_last("competition"))
+    daily = readings.withColumn("nth", F.row_number().over(order)).filter("nth = 1").drop("nth")
+    spans = daily.withColumn("until", F.lead("observed_date").over(Window.partitionBy(*key).orderBy("observed_date")))
+    return Calendar(days).on(spans, "observed_date", "until").drop("until")
 
 
 def _mid() -> Column:
@@ -188,11 +193,9 @@ def pressure_index(rows: DataFrame) -> DataFrame:
 LAG = 2
 
 
-def _windows(series: DataFrame, days: DataFrame, back: int = 0, length: int = 28) -> DataFrame:
-    """Per term and day: sum and points of the `length` days that end LAG + back days before."""
-    end = F.date_sub("day", LAG + back)
-    inside = series.filter("value is not null").join(F.broadcast(days), (F.col("observed_date") <= end) & (F.col("observed_date") > F.date_sub("day", LAG + back + length)))
-    return inside.groupBy("term", "day").agg(F.sum("value").alias("total"), F.count("*").alias("points"))
+def _windows(series: DataFrame, spine: DataFrame, *backs: int, length: int = 28) -> DataFrame:
+    """Per term, day and window w: sum and points of the `length` days that end LAG + backs[w] days before."""
+    return in_windows(series, ["term"], Calendar(spine), {w: (LAG + back, length) for w, back in enumerate(backs)})
 
 
 def _adequacy(points: str, total: str, length: int = 28) -> Column:
@@ -201,16 +204,16 @@ def _adequacy(points: str, total: str, length: int = 28) -> Column:
 
 def weekly_views(series: DataFrame, spine: DataFrame, name: str = "weekly_views") -> DataFrame:
     """spine and rows: cluster_id is the term of the series."""
-    now = _windows(series, spine.select("day").distinct()).withColumnRenamed("term", "cluster_id")
+    now = _windows(series, spine, 0).withColumnRenamed("term", "cluster_id")
     out = now.select(*KEY, (F.col("total") / 4).alias("value"), _adequacy("points", "total").alias("confidence"), F.col("points").alias("inputs_n"))
     return metric_rows(spine, out, name)
 
 
 def change(series: DataFrame, spine: DataFrame, back: int, name: str) -> DataFrame:
     """The last 28 days over the 28 that end `back` days earlier, less 1: momentum (28), year on year (365)."""
-    days = spine.select("day").distinct()
-    now, then = _windows(series, days), _windows(series, days, back).withColumnsRenamed({"total": "before", "points": "n"})
-    both = now.join(then, ["term", "day"]).withColumnRenamed("term", "cluster_id")
+    of = lambda c, w, name: F.sum(F.when(F.col("w") == w, F.col(c))).alias(name)
+    both = _windows(series, spine, 0, back).groupBy(F.col("term").alias("cluster_id"), "day")
+    both = both.agg(of("total", 0, "total"), of("points", 0, "points"), of("total", 1, "before"), of("points", 1, "n")).filter("points is not null and n is not null")
     value = F.try_divide("total", F.nullif("before", F.lit(0.0))) - 1
     sure = F.least(_adequacy("points", "total"), _adequacy("n", "before"))
     return metric_rows(spine, both.select(*KEY, value.alias("value"), sure.alias("confidence"), (F.col("points") + F.col("n")).alias("inputs_n")), name)
@@ -218,9 +221,7 @@ def change(series: DataFrame, spine: DataFrame, back: int, name: str) -> DataFra
 
 def volatility(series: DataFrame, spine: DataFrame) -> DataFrame:
     """Sample deviation of the log change of seven-point chunks of the days present in the last 365."""
-    days = F.broadcast(spine.select("day").distinct())
-    end = F.date_sub("day", LAG)
-    year = series.filter("value is not null").join(days, (F.col("observed_date") <= end) & (F.col("observed_date") > F.date_sub("day", LAG + 365)))
+    year = Calendar(spine).on(series.filter("value is not null"), F.date_add("observed_date", LAG), F.date_add("observed_date", LAG + 365))
     chunk = F.floor((F.row_number().over(Window.partitionBy("term", "day").orderBy("observed_date")) - 1) / 7)
     weeks = year.withColumn("chunk", chunk).groupBy("term", "day", "chunk").agg(F.sum("value").alias("total"), F.count("*").alias("n")).filter("n = 7")
     before = F.lag("total").over(Window.partitionBy("term", "day").orderBy("chunk"))
@@ -231,9 +232,9 @@ def volatility(series: DataFrame, spine: DataFrame) -> DataFrame:
 
 def seasonality(series: DataFrame, spine: DataFrame) -> DataFrame:
     """Sample deviation of the twelve month indices (month mean over overall mean), over all history."""
-    days = F.broadcast(spine.select("day").distinct())
-    seen = series.filter("value is not null").join(days, F.col("observed_date") <= F.date_sub("day", LAG))
-    months = seen.groupBy("term", "day", F.month("observed_date").alias("month")).agg(F.avg("value").alias("mean"), F.sum("value").alias("s"), F.count("*").alias("c"))
+    sums = upto(series.withColumn("month", F.month("observed_date")), ["term", "month"])
+    seen = Calendar(spine).on(sums, F.date_add("start", LAG), F.date_add("end", LAG))
+    months = seen.select("term", "day", (F.col("total") / F.col("points")).alias("mean"), F.col("total").alias("s"), F.col("points").alias("c"))
     out = months.groupBy(F.col("term").alias("cluster_id"), "day").agg(
         F.stddev_samp("mean").alias("sd"), F.sum("s").alias("s"), F.sum("c").alias("inputs_n"), F.count("*").alias("months")
     )
@@ -252,8 +253,9 @@ def curve_momentum(curves: DataFrame, spine: DataFrame, half: int = 13) -> DataF
     """Mean of the last 13 points over that of the 13 before, less 1, on the newest curve up to the day.
 
     curves: term, observed_date, points (array of at, value, in order); cluster_id is the term."""
-    seen = curves.join(F.broadcast(spine.select("day").distinct()), F.col("observed_date") <= F.col("day"))
-    newest = seen.groupBy("term", "day").agg(F.max_by("points", "observed_date").alias("p"))
+    daily = curves.groupBy("term", "observed_date").agg(F.max("points").alias("p"))
+    until = F.lead("observed_date").over(Window.partitionBy("term").orderBy("observed_date"))
+    newest = Calendar(spine).on(daily.withColumn("until", until), "observed_date", "until").select("term", "day", "p")
     pts = newest.withColumn("p", F.filter("p", lambda x: x["at"] <= F.col("day"))).withColumn("p", F.expr(f"slice(reverse(p), 1, {2 * half})"))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x["value"])
     late, early, n = total(F.slice("p", 1, half)), total(F.slice("p", half + 1, half)), F.size("p")

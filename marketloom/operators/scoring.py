@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .world import Calendar, in_windows
+
 
 def average_rank(value: str, by: list[str]) -> Column:
     """1-based rank; equal values share the mean of their places; NULL has none."""
@@ -52,10 +54,9 @@ def breakouts(series: DataFrame, spine: DataFrame, windows: int = 13, length: in
     """Per cluster (term) and day: the last window's sum against the mean and deviation of the windows before it.
 
     A window counts if `share` of its days have a value. fires: z is reached, with `least` windows and a spread."""
-    gap = F.datediff(F.date_sub("day", lag), "observed_date")
-    inside = series.filter("value is not null").join(F.broadcast(spine), series["term"] == spine["cluster_id"]).withColumn("gap", gap)
-    inside = inside.filter((F.col("gap") >= 0) & (F.col("gap") < length * (windows + 1))).withColumn("w", F.floor(F.col("gap") / length))
-    sums = inside.groupBy("cluster_id", "day", "w").agg(F.sum("value").alias("s"), F.count("*").alias("n"))
+    own = series.withColumnRenamed("term", "cluster_id").join(spine.select("cluster_id").distinct(), "cluster_id", "left_semi")
+    each = {w: (lag + w * length, length) for w in range(windows + 1)}
+    sums = in_windows(own, ["cluster_id"], Calendar(spine), each).withColumnsRenamed({"total": "s", "points": "n"})
     base = (F.col("w") > 0) & (F.col("n") >= share * length)
     out = sums.groupBy("cluster_id", "day").agg(
         F.sum(F.when(F.col("w") == 0, F.col("s"))).alias("recent"), F.count_if(base).alias("windows"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import metrics, scoring
-from ..operators.world import KEY
+from ..operators.world import KEY, Calendar
 from ..sources import star
 from .further import _EVENT
 from .market import _DEMAND, _RANK, DAYS, ORACLES, PRE, REPLAY, _known, query, world
@@ -29,7 +29,7 @@ PRESSURE = ["median_views", "uploads_per_week"]
 
 def _curves(series: DataFrame, days: DataFrame) -> DataFrame:
     """A cluster's curve on each day: its points so far."""
-    seen = series.join(F.broadcast(days), F.col("observed_date") <= F.col("day"))
+    seen = Calendar(days).on(series, "observed_date", None)
     return seen.groupBy("term", F.col("day").alias("observed_date")).agg(F.array_sort(F.collect_list(F.struct(F.col("observed_date").alias("at"), "value"))).alias("points"))
 
 
@@ -37,7 +37,7 @@ def features(spark, sf_dir: str, days: list[str], only: list[str] | None = None)
     """Every metric of every cluster and day, NULL ones too, and those that need all clusters: one plan. `only` names the
     metrics that are wanted; others are not planned."""
     w = world(spark, sf_dir, days)
-    at = w.spine.select("day").distinct()
+    at = w.spine
     series, events = star.cluster_demand(spark, sf_dir), star.cluster_demand(spark, sf_dir, event=True)
     words = star.keyword_metrics(spark, sf_dir, clusters=True).filter(F.col("geo") == GEO)
     curated = words.groupBy("cluster_id").agg(F.countDistinct("keyword").alias("curated"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics, scoring, stats
-from ..operators.world import KEY, NOTHING, TOO_LITTLE, World, group_of, spine
+from ..operators.world import KEY, NOTHING, TOO_LITTLE, World, group_of, running_max, spine
 from ..sources import star
 
 DAYS = ["1997-06-30", "2000-06-30"]
@@ -122,8 +122,8 @@ csnap as (select channel_id, observed_date, sum(n) over (partition by channel_id
 
 @query("POP_15", f"{PRE} {CHANNEL_SNAP} x as (select 1) select channel_id, day, max(subs) as subs from csnap, days where observed_date <= day and subs is not null group by all")
 def latest_subs(spark, sf_dir):
-    seen = star.channel_snapshots(spark, sf_dir).filter("subs is not null").join(world(spark, sf_dir).days, F.col("observed_date") <= F.col("day"))
-    return seen.groupBy("channel_id", "day").agg(F.max("subs").alias("subs"))
+    spans = running_max(star.channel_snapshots(spark, sf_dir), "channel_id", "subs")
+    return world(spark, sf_dir).calendar.on(spans, "valid_from", "valid_to").select("channel_id", "day", "subs")
 
 
 @query("POP_01", """with v as (select o_custkey as channel_id, o_orderkey as video_id, o_orderpriority as seed, o_orderstatus <> 'O' as by_date from orders),

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..streaming.jobs import folder
+
 
 def written(rows: DataFrame, kind: str) -> str:
     """Writes rows as a gzipped dump (tab-separated or JSON lines) into the shared folder and returns its path."""
-    base = rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dump-")
-    path = f"{base.rstrip('/')}/dump-{uuid.uuid4().hex}"
+    path = folder(rows.sparkSession)
     out = rows.write.option("compression", "gzip")
     out.option("sep", "\t").option("header", True).csv(path) if kind == "csv" else out.json(path)
     return path
@@ -37,3 +35,9 @@ def weekly(spark: SparkSession, path: str, kept: DataFrame) -> DataFrame:
 def videos(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema("video_id bigint, channel_id bigint, published date, is_short boolean").json(path)
     return rows.repartition(spark.sparkContext.defaultParallelism)
+
+
+def hits(spark: SparkSession, path: str) -> DataFrame:
+    """What a scan of the video dump found: a video may come once for each niche whose lexicon it meets."""
+    rows = spark.read.schema("video_id bigint, channel_id bigint, slug string, relevance double, published string").json(path)
+    return rows.repartition(spark.sparkContext.defaultParallelism).withColumn("published", F.col("published").try_cast("date"))
