@@ -123,6 +123,15 @@ def candidates(index: DataFrame, rules: list[Rule], terms: list[str]) -> DataFra
     return marks.filter(reduce(lambda a, b: a | b, [F.col(r.kind) for r in rules]))
 
 
+#: Matches whose places are added up in one go: an array that grows is copied at each step, so it has to stay short.
+MATCHES = 256
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with value computed once a row however often use names it, also inside functions of array elements."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(rule: Rule, number: int, when: Column | None = None) -> Column:
     """array<struct<start, number, end, kind>> of the rule's matches in text.
 
@@ -132,19 +141,26 @@ def _spans(rule: Rule, number: int, when: Column | None = None) -> Column:
     found = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0))
     if when is not None:
         found = F.when(when, found).otherwise(F.array().cast("array<string>"))
-    pieces = F.split("text", rule.pattern, -1)
-    steps = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("a"), found.alias("b"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>").alias("out"))
+    span = "array<struct<start:int,number:int,end:int,kind:string>>"
 
     def step(s, x):
-        begin = s["at"] + F.length(x["a"])
-        end = begin + F.length(x["b"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        held = F.length(F.regexp_extract(x["b"], rule.pattern, rule.group) if rule.group else x["b"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(held, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
-
-    none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-    return F.when(F.size(found) > 0, F.aggregate(steps, start, step, lambda s: s["out"])).otherwise(none)
+        begin = s["at"] + x["a"]
+        end = begin + x["b"]
+        own = F.struct(begin.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+        return F.struct(end.alias("at"), F.when(x["held"], F.concat(s["out"], F.array(own))).otherwise(s["out"]).alias("out"))
+
+    def placed(blocks: Column) -> Column:
+        """The spans of blocks of matches, from the running sum of their lengths."""
+        length = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x["a"] + x["b"]))
+        begin = F.aggregate(length, F.array(F.lit(0)), lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n)))
+        first = lambda at: F.struct(at.alias("at"), F.array().cast(span).alias("out"))
+        return F.flatten(F.zip_with(blocks, F.slice(begin, 1, F.size(blocks)), lambda b, at: F.aggregate(b, first(at), step, lambda s: s["out"])))
+
+    held = lambda m: F.length(F.regexp_extract(m, rule.pattern, rule.group) if rule.group else m) >= rule.least
+    sized = lambda pieces, found: F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda a, m: F.struct(F.length(a).alias("a"), F.length(m).alias("b"), held(m).alias("held")))
+    cut = lambda steps: F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / MATCHES).cast("int")), lambda i: F.slice(steps, i * MATCHES + 1, F.lit(MATCHES)))
+    spans = _once(found, lambda m: F.when(F.size(m) > 0, _once(_once(sized(F.split("text", rule.pattern, -1), m), cut), placed)))
+    return F.coalesce(spans, F.array().cast(span))
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:

@@ -458,3 +458,30 @@ def test_toxicity_reads_whole_texts(spark):
     n = len(text.split())
     top, count = model.tops(pa.array([text]))
     assert len(text) > 4 << 20 and count[0] == -(-(n - toxicity.WINDOW) // toxicity.STEP) + 1
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    """Texts that share a doc_id are not earlier than each other; each loses what an earlier id has."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcdefgh ijk") for _ in range(n))
+    a, b, c = text(170), text(90), text(120)
+    rows = [(1, a), (2, a), (2, "tiny text"), (2, b + a[:81]), (2, b + a[:81]), (3, c + b), (3, b + c), (None, a)]
+    docs = spark.createDataFrame([(i, t, None, None, "h", "s", "k") for i, t in rows], SCHEMA).repartition(3)
+    got = sorted((tuple(r) for r in repeats.without_repeats(docs).collect()), key=str)
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(1, 170, 0, 0, digest(a)), (2, 170, 170, 1, digest("")), (2, 9, 0, 0, digest("tiny text")), (2, 171, 81, 1, digest(b)), (2, 171, 81, 1, digest(b)), (3, 210, 90, 1, digest(c)), (3, 210, 90, 1, digest(c)), (None, 170, 0, 0, digest(a))]
+    assert got == sorted(want, key=str)
+
+
+def test_many_secrets_in_one_text(spark):
+    """Places of matches are added up in proportion to their number."""
+    import time
+
+    word = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    text = " ".join(word(i) if i % 3 else f"token: {word(i)[:9]}é" for i in range(32_000))
+    began = time.time()
+    got = secrets.scan(frame(spark, [text])).first().spans
+    assert time.time() - began < 60
+    hexes = [(m.start(), m.end()) for m in re.finditer(r"[0-9a-f]{24,}", text)]
+    assigned = [(m.start(), m.end()) for m in re.finditer(r"token: [A-Za-z0-9+/_.=-]+", text)]
+    assert [(s.start, s.end) for s in got if s.kind == "hex"] == hexes and [(s.start, s.end) for s in got if s.kind == "assign"] == assigned
