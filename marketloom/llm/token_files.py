@@ -18,6 +18,8 @@ import os
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ WORDS = 400_000
 #: Bytes of ids that one batch hands on.
 FLUSH = 8 << 20
 #: ASCII marks at a word's end that are split off it; neither those of contractions nor those of special tokens.
-MARKS = ".,;:!?()[]{}\"%&$*+-/=@#^_~"
+MARKS = b".,;:!?()[]{}\"%&$*+-/=@#^_~"
 
 PARTS_SQL = "part long, ids string, docs string, n_docs long, n_null long, n_tokens long, lengths binary"
 INDEX_SQL = "part long, ids string, docs string, offsets string, n_docs long, n_null long, n_tokens long, first_doc long, first_token long, width int"
@@ -65,36 +67,42 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
-        """Forgets all words; place 0 is the end of a document."""
+        """Forgets all words."""
         self.place.clear()
-        self.cores: dict[str, bytes] = {}
-        self.flat = bytearray(self._bytes([] if self.end is None else [self.end]))
-        self.ends = [0, len(self.flat)]
+        self.cores: dict[bytes, bytes] = {}
+        self.flat, self.ends = bytearray(), np.zeros(1, np.int64)
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """Ids of words and marks that are not known yet."""
-        letters = [w for w in words if w.isalpha()] if self.closes.any() else []
-        for s in range(0, len(letters), 256):
-            some = letters[s : s + 256]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            last = np.flatnonzero(self.closes[ids])
-            if len(last) == len(some) and last[-1] == len(ids) - 1:
-                begin = np.append(0, last[:-1] + 1)
-                self.cores.update((w, ids[i : j + 1].tobytes()) for w, i, j in zip(some, begin, last, strict=True))
-        rest = [w for w in words if w not in self.cores]
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+        texts = list(map(bytes.decode, words))
+        letters = list(map(str.isalpha, texts)) if self.closes.any() else [False] * len(texts)
+        plain, said = list(compress(words, letters)), list(compress(texts, letters))
+        rest = list(compress(words, map(not_, letters)))
+        for s in range(0, len(plain), 512):
+            some = plain[s : s + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(said[s : s + 512]), add_special_tokens=False).ids, self.dtype)
+            last = np.flatnonzero(self.closes[ids]) + 1
+            if len(last) == len(some) and last[-1] == len(ids):
+                flat, cut = ids.tobytes(), [0, *(last * ids.itemsize).tolist()]
+                self.cores.update(zip(some, map(flat.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
+            else:
+                rest += some
+        for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
             self.cores[w] = self._bytes(e.ids)
 
     def remember(self, words: set[bytes]) -> None:
-        new = [(w, *_marks_off(w.decode())) for w in words.difference(self.place)]
-        self._learn(list({c for _, core, marks in new for c in (core, marks) if c and c not in self.cores}))
-        for word, core, marks in new:
-            self.flat += self.cores[core] + (self.cores[marks] if marks else b"")
-            self.place[word] = len(self.ends) - 1
-            self.ends.append(len(self.flat))
+        new = list(words.difference(self.place))
+        cores = list(map(_without_marks, new))
+        marks = [w[len(c) :] for w, c in zip(new, cores, strict=True)]
+        self._learn(list({*cores, *marks, b""}.difference(self.cores)))
+        known = self.cores.__getitem__
+        ids = [a + b for a, b in zip(map(known, cores), map(known, marks), strict=True)]
+        self.place.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new)), strict=True))
+        self.flat += b"".join(ids)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)), dtype=np.int64))
 
     def documents(self, column: pa.Array) -> Iterator[tuple[int, bytes]]:
         """(row, ids) of whole texts with the end id behind each; null counts as empty. A long text comes in pieces."""
@@ -105,15 +113,15 @@ class Encoder:
             words = [raw[s:e].split() for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             if len(self.place) > WORDS:
                 self.reset()
-            self.remember(set().union(*words))
-            ends = np.array(self.ends)
+            self.remember(set(chain.from_iterable(words)))
             flat = np.frombuffer(bytes(self.flat), self.dtype)
-            begin, size = ends[:-1] // self.dtype.itemsize, np.diff(ends) // self.dtype.itemsize
-            index = np.array([self.place[w] for ws in words for w in ws], np.int64)
-            length = size[index]
+            ends = self.ends // self.dtype.itemsize
+            upto = np.append(0, np.cumsum(list(map(len, words))))
+            index = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, upto[-1])
+            length = np.diff(ends)[index]
             before = np.append(0, np.cumsum(length))
-            ids = flat[np.repeat(begin[index] - before[:-1], length) + np.arange(before[-1])]
-            cut = before[np.append(0, np.cumsum([len(ws) for ws in words]))].tolist()
+            ids = flat[np.repeat(ends[:-1][index] - before[:-1], length) + np.arange(before[-1])]
+            cut = before[upto].tolist()
             for k in range(len(words)):
                 if first + k != row:
                     yield row, self._closed(held)
@@ -126,10 +134,13 @@ class Encoder:
         return b"".join(held) + (b"" if self.end is None else self._bytes([self.end]))
 
 
-def _marks_off(word: str) -> tuple[str, str]:
-    """A word and the marks behind its last letter or digit, where that one also ends in a letter or digit in lower case."""
+def _without_marks(word: bytes) -> bytes:
+    """A word without the marks behind its last letter or digit, where that one also ends in a letter or digit in lower case."""
     core = word.rstrip(MARKS)
-    return (core, word[len(core) :]) if core and core[-1].lower()[-1].isalnum() else (word, "")
+    if len(core) == len(word) or core[-1:].isalnum():
+        return core
+    last = core.decode()[-1:].lower()[-1:]
+    return core if last.isalnum() else word
 
 
 _encoders: dict[tuple[str, int | None], Encoder] = {}
