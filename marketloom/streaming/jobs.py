@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..operators import relevance
 from ..operators.tables import first_writes
@@ -42,6 +44,40 @@ def first_write_wins(readings: DataFrame, key: list[str], at: str, path: str, ch
     return readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def open_days(spark: SparkSession, path: str, schema, day: str, batch: DataFrame) -> DataFrame | None:
+    """What a store partitioned by day holds of the days that a batch has; other partitions aren't listed for reading. None
+    if nothing is stored yet."""
+    days = [r[0] for r in batch.select(day).distinct().collect()]  # the days still open to writes
+    try:
+        return spark.read.schema(schema).parquet(path).filter(F.col(day).isin(days))
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+
+
+def daily_first_writes(readings: DataFrame, key: list[str], day: str, at: str, late: str, path: str, checkpoint: str):
+    """Appends readings whose key, day included, is new to a store partitioned by day.
+
+    A copy that is sent again within the watermark is dropped by the stream's own state, which ends with the watermark. Of
+    different readings of a key in one batch the first by `at` is taken; across batches, restarts and lost checkpoints the
+    stored one stays, and for that only the days that the batch holds are read. A batch that is run again adds nothing.
+    Readings more than `late` behind the newest one are refused, as their day is closed."""
+    spark, columns = readings.sparkSession, readings.columns
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.persist()
+        new = first_writes(batch, key, [at, *[c for c in columns if c not in (*key, at)]])
+        stored = open_days(spark, path, batch.schema, day, batch)
+        if stored is not None:
+            new = new.join(stored.select(*key), key, "left_anti").select(columns)
+        new.write.mode("append").partitionBy(day).parquet(path)
+        batch.unpersist()
+
+    once = readings.withWatermark(at, late).dropDuplicatesWithinWatermark(columns)
+    return once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def windowed_sums(readings: DataFrame, at: str, key: str, value: str, length: str, slide: str, late: str) -> DataFrame:
     """Sums over sliding windows; a reading is left out if its window had ended by the watermark with which
     the batch before began (Spark lets one batch pass before a new watermark counts for late rows)."""
@@ -58,12 +94,9 @@ def run_windowed_sums(spark: SparkSession, source: DataFrame, **how: str) -> Dat
 
 
 def on_time(readings: DataFrame, event_day: str, at: str, path: str, checkpoint: str):
-    """Splits readings as they come: one whose event day was over when it was taken is late. Both kinds are kept, told apart by `late`."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        batch.withColumn("late", F.to_date(at) > F.col(event_day)).write.mode("append").parquet(path)
-
-    return readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Splits readings as they come: one whose event day was over when it was taken is late. Both kinds are kept, told apart
+    by `late`; a batch that is run again replaces itself."""
+    return stored(readings, path, checkpoint, lambda batch: batch.withColumn("late", F.to_date(at) > F.col(event_day)))
 
 
 def run(spark: SparkSession, job, source: DataFrame, *how) -> DataFrame:
@@ -82,67 +115,136 @@ def stored(stream: DataFrame, path: str, checkpoint: str, change=lambda batch: b
     return stream.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def circuit_breaker(polls: DataFrame, limit: int, path: str, checkpoint: str):
-    """polls (channel_id, poll_id, at, ok) with fail_count after each poll and whether the channel's circuit is open.
+#: Where state lives on the executors' disks, in column families with timers.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _stateful(groups, processor: StatefulProcessor, schema: str) -> DataFrame:
+    groups._df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return groups.transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
+class Forgetting(StatefulProcessor):
+    """One value a key that is cleared once the watermark has passed the key's newest row by `keep`, so silent keys cost
+    nothing. When that happens depends on batches; what is put out must not, so a subclass tells by event time what is past.
 
-    State is one count a channel; a success resets it. Polls of a batch are taken in order of at and poll_id."""
+    A subclass gives the state's schema and `step(last, rows)`: the rows of a batch in order, to a new value, the time from
+    which it counts, and what is put out."""
 
-    def count(key, frames, state: GroupState):
-        rows = pd.concat(list(frames)).sort_values(["at", "poll_id"])
-        fails, out = state.getOption[0] if state.exists else 0, []
-        for ok in rows["ok"]:
-            fails = 0 if ok else fails + 1
+    state: str
+
+    def __init__(self, keep: datetime.timedelta, *order: str) -> None:
+        self.keep, self.order = keep, list(order)
+
+    def init(self, handle) -> None:
+        self.handle, self.value = handle, handle.getValueState("value", self.state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self.value.get() if self.value.exists() else None
+        value, since, out = self.step(key, last, pd.concat(list(rows)).sort_values(self.order))
+        self.value.update(value)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        until = pd.Timestamp(since).tz_localize(None) + self.keep
+        self.handle.registerTimer(max(int(until.timestamp() * 1000), timerValues.getCurrentWatermarkInMs() + 1))
+        if len(out):
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.value.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class Breaker(Forgetting):
+    state = "fails int, seen long"
+
+    def __init__(self, limit: int, keep: datetime.timedelta) -> None:
+        super().__init__(keep, "at", "poll_id")
+        self.limit = limit
+
+    def step(self, key, last, rows):
+        (fails, seen), out = last or (0, None), []
+        keep = int(self.keep.total_seconds() * 1_000_000)
+        for at, ok in zip(rows["at"].astype("datetime64[us]").astype("int64"), rows["ok"], strict=True):
+            fails = 0 if ok else 1 if seen is not None and at - seen > keep else fails + 1
+            seen = at
             out.append(fails)
-        state.update((fails,))
-        yield pd.DataFrame({"channel_id": key[0], "poll_id": rows["poll_id"].to_numpy(), "fail_count": out, "open": [n >= limit for n in out]})
+        counted = pd.DataFrame({"channel_id": key[0], "poll_id": rows["poll_id"].to_numpy(), "fail_count": out, "open": [n >= self.limit for n in out]})
+        return (fails, int(seen)), rows["at"].max(), counted
+
+
+def circuit_breaker(polls: DataFrame, limit: int, path: str, checkpoint: str, keep: int = 365, late: str = "30 days"):
+    """polls (channel_id, poll_id, at, ok) with fail_count after each poll and whether the channel's circuit is open.
 
-    counted = polls.groupBy("channel_id").applyInPandasWithState(count, "channel_id long, poll_id long, fail_count int, open boolean", "fails int", "append", GroupStateTimeout.NoTimeout)
+    State is one count a channel; a success resets it, and so does a silence of `keep` days. Polls of a batch are taken in
+    order of at and poll_id; one that is over `late` behind the newest is left out."""
+    groups = polls.withWatermark("at", late).groupBy("channel_id")
+    counted = _stateful(groups, Breaker(limit, datetime.timedelta(keep)), "channel_id long, poll_id long, fail_count int, open boolean")
     return stored(counted, path, checkpoint)
 
 
-def cooled_alerts(fires: DataFrame, days: int, path: str, checkpoint: str):
-    """Of the days on which a rule fires (cluster_id, rule, day), those that alert: one silences the `days` after it.
+class Cooldown(Forgetting):
+    state = "last date"
 
-    State is the last alert of a cluster and rule; a day before it that comes late is silenced too."""
+    def __init__(self, days: int) -> None:
+        super().__init__(datetime.timedelta(days), "day")
+        self.days = days
 
-    def alert(key, frames, state: GroupState):
-        last, out = (state.getOption[0] if state.exists else None), []
-        for day in sorted(set(pd.concat(list(frames))["day"])):
-            if last is None or (day - last).days >= days:
+    def step(self, key, last, rows):
+        last, out = last[0] if last else None, []
+        for day in sorted(set(rows["day"])):
+            if last is None or (day - last).days >= self.days:
                 last = day
                 out.append(day)
-        state.update((last,))
-        yield pd.DataFrame({"cluster_id": [key[0]] * len(out), "rule": [key[1]] * len(out), "day": out})
+        return (last,), last, pd.DataFrame({"cluster_id": [key[0]] * len(out), "rule": [key[1]] * len(out), "day": out})
+
+
+def cooled_alerts(fires: DataFrame, days: int, path: str, checkpoint: str, late: str = "30 days"):
+    """Of the days on which a rule fires (cluster_id, rule, day), those that alert: one silences the `days` after it.
 
-    kept = fires.groupBy("cluster_id", "rule").applyInPandasWithState(alert, "cluster_id string, rule string, day date", "last date", "append", GroupStateTimeout.NoTimeout)
-    return stored(kept, path, checkpoint)
+    State is the last alert of a cluster and rule, and goes when its silence is over. A day before it that comes late is
+    silenced too; one over `late` behind the newest is left out."""
+    timed = fires.withColumn("at", F.col("day").cast("timestamp")).withWatermark("at", late).groupBy("cluster_id", "rule")
+    return stored(_stateful(timed, Cooldown(days), "cluster_id string, rule string, day date"), path, checkpoint)
 
 
-def velocities(readings: DataFrame, path: str, checkpoint: str):
+def velocities(readings: DataFrame, path: str, checkpoint: str, keep: int = 3650, late: str = "3650 days"):
     """Per video and batch: views a day between the first reading and the last, over the last day, and their ratio.
 
     readings: video_id, observed_date, views. State holds the first reading, the last and the one of the day before the last;
-    of one date the largest counts. A reading that comes after a later one can move the first only, or stand for the day before."""
+    of one date the largest counts. A reading that comes after a later one can move the first only, or stand for the day before.
+    A video that was silent for more than `keep` days begins anew, and its state goes meanwhile; a reading over `late` behind the
+    newest is left out."""
 
     def rate(key, frames, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         days = {}
+        rows = pd.concat(list(frames))
         if state.exists:
             kept = state.getOption
-            days = {d: v for d, v in zip(kept[::2], kept[1::2]) if d is not None}
-        for frame in frames:
-            for day, views in zip(frame["observed_date"], frame["views"]):
-                days[day] = max(int(views), days.get(day, int(views)))
+            if (min(rows["observed_date"]) - kept[2]).days <= keep:
+                days = {d: v for d, v in zip(kept[::2], kept[1::2]) if d is not None}
+        for day, views in zip(rows["observed_date"], rows["views"], strict=True):
+            days[day] = max(int(views), days.get(day, int(views)))
         first, last = min(days), max(days)
         before = last - datetime.timedelta(days=1)
         state.update((first, days[first], last, days[last], before if before in days else None, days.get(before)))
+        until = datetime.datetime.combine(last, datetime.time(), datetime.UTC) + datetime.timedelta(keep)
+        state.setTimeoutTimestamp(max(int(until.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
         span = (last - first).days
         per_day = (days[last] - days[first]) / span if span else None
         newest = float(days[last] - days[before]) if before in days else None
         speed = newest / per_day if newest and per_day and per_day > 0 else None
         yield pd.DataFrame({"video_id": [key[0]], "observed_date": [last], "per_day": [per_day], "last_day": [newest], "acceleration": [speed]})
 
-    rated = readings.groupBy("video_id").applyInPandasWithState(
-        rate, "video_id long, observed_date date, per_day double, last_day double, acceleration double", "d0 date, v0 long, d1 date, v1 long, d2 date, v2 long", "update", GroupStateTimeout.NoTimeout
+    timed = readings.withColumn("at", F.col("observed_date").cast("timestamp")).withWatermark("at", late)
+    rated = timed.groupBy("video_id").applyInPandasWithState(
+        rate, "video_id long, observed_date date, per_day double, last_day double, acceleration double", "d0 date, v0 long, d1 date, v1 long, d2 date, v2 long", "update", GroupStateTimeout.EventTimeTimeout
     )
 
     def write(batch: DataFrame, number: int) -> None:
