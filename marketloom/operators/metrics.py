@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .scoring import percentile_rank
-from .world import KEY, Calendar, World, in_windows, metric_rows, on_niche, upto
+from .world import CHANNEL, KEY, Calendar, World, in_windows, metric_rows, on_niche, swept, upto
 
 
 def _capped(n: Column, full: float) -> Column:
@@ -263,3 +263,50 @@ def curve_momentum(curves: DataFrame, spine: DataFrame, half: int = 13) -> DataF
     sure = F.size(F.filter("p", lambda x: x["value"] != 0)) / (2.0 * half)
     rows = pts.select(F.col("term").alias("cluster_id"), "day", value.alias("value"), sure.alias("confidence"), n.alias("inputs_n"))
     return metric_rows(spine, rows, "trends_momentum_13w")
+
+
+def _facts(rows: DataFrame, name: str, **fields: str) -> DataFrame:
+    """Columns of rows as facts of a metric: cluster_id, day, name, field, label, value."""
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(None).cast("string").alias("label"), F.col(c).cast("double").alias("value")) for f, c in fields.items()])
+    return rows.select(*KEY, F.lit(name).alias("name"), F.inline(each)).filter("value is not null")
+
+
+def details(world: World, series: DataFrame, countries: int = 5) -> DataFrame:
+    """What stands behind a value, as facts (cluster_id, day, name, field, label, value).
+
+    median_views: the 90th percentile (lower), channels that contribute, channels and videos that ballast takes out.
+    uploads_per_week: channels that publish in the window, and those, of all and of the former, whose first video lies in
+    it, so that their span is cut. geo_concentration: the countries with most channels. seasonality: an index for each month,
+    the highest and lowest month (the earlier of equals). A fact that doesn't exist has no row. series: term is the cluster."""
+    whole = Window.partitionBy(*KEY)
+    ranked = world.eligible_niche.withColumns({"nth": F.row_number().over(whole.orderBy("views")), "n": F.count("*").over(whole)})
+    p90 = F.max(F.when(F.col("nth") == F.floor(0.9 * (F.col("n") - 1)) + 1, F.col("views")))
+    views = _facts(ranked.groupBy(*KEY).agg(p90.alias("p"), F.countDistinct("channel_id").alias("c")), "median_views", p90_views="p", contributing_channels="c")
+    out_of = world.calendar.on(swept(world.ballast_spans, ["cluster_id"])).drop("start", "end")
+    lost = world.ballast_spans.select(*CHANNEL, F.col("start").alias("from"), F.col("end").alias("to"))
+    cut = world.video_spans.select(*CHANNEL, "start").join(lost, CHANNEL).select("cluster_id", F.greatest("start", "from").alias("start"), F.col("to").alias("end"))
+    rows = world.calendar.on(swept(cut.filter("end is null or start < end"), ["cluster_id"])).drop("start", "end")
+    ballast = _facts(out_of, "median_views", ballast_channels="total").unionByName(_facts(rows, "median_views", ballast_rows="total"))
+
+    since = world.video_spans.groupBy(*CHANNEL).agg(F.min("published").alias("oldest"))
+    ends = F.date_add("oldest", world.upload_days)
+    young = world.channel_spans.join(since, CHANNEL).withColumns({"start": F.greatest("start", "oldest"), "end": F.least("end", ends)})
+    young = world.calendar.on(swept(young.filter("start < end"), ["cluster_id"])).drop("start", "end")
+    active = world.recent_niche(world.upload_days).filter("not is_short").select(*KEY, "channel_id").distinct().join(since, CHANNEL)
+    cut_off = F.col("oldest") >= F.date_sub("day", world.upload_days - 1)
+    active = active.groupBy(*KEY).agg(F.count("*").alias("n"), F.count_if(cut_off).alias("cut"))
+    uploads = _facts(active, "uploads_per_week", channels_publishing="n", publishing_span_censored="cut").unionByName(_facts(young, "uploads_per_week", channels_span_censored="total"))
+
+    own = world.calendar.on(swept(world.channel_spans.filter("country is not null"), ["cluster_id", "country"]))
+    nth = F.row_number().over(whole.orderBy(F.desc("total"), "country"))
+    top = own.withColumn("nth", nth).filter(F.col("nth") <= countries)
+    geo = top.select(*KEY, F.lit("geo_concentration").alias("name"), F.concat(F.lit("country_"), "nth").alias("field"), F.col("country").alias("label"), F.col("total").cast("double").alias("value"))
+
+    sums = upto(series.withColumn("month", F.month("observed_date")), ["term", "month"])
+    months = world.calendar.on(sums, F.date_add("start", LAG), F.date_add("end", LAG)).withColumnRenamed("term", "cluster_id").withColumn("mean", F.col("total") / F.col("points"))
+    whole_year = F.sum("total").over(whole) / F.sum("points").over(whole)
+    months = months.withColumns({"year": whole_year, "months": F.count("*").over(whole)}).filter("months = 12 and year <> 0")
+    index = months.select(*KEY, F.lit("seasonality").alias("name"), F.concat(F.lit("month_"), F.lpad(F.col("month").cast("string"), 2, "0")).alias("field"), F.lit(None).cast("string").alias("label"), F.round(F.col("mean") / F.col("year"), 3).alias("value"))
+    ends = months.groupBy(*KEY).agg(F.min(F.struct(-F.col("mean"), "month")).getField("month").alias("high"), F.min(F.struct("mean", "month")).getField("month").alias("low"))
+    season = index.unionByName(_facts(ends, "seasonality", peak_month="high", trough_month="low"))
+    return views.unionByName(ballast).unionByName(uploads).unionByName(geo).unionByName(season)

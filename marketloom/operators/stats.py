@@ -169,6 +169,60 @@ def ladder(panel: DataFrame, instrument: DataFrame, primary: DataFrame, units: i
     return rows.withColumn("verdict", step)
 
 
+def free_of_effects(panel: DataFrame, controls: list[str], effects: tuple[str, ...] = ("block", "date"), y: str = "y") -> DataFrame:
+    """panel with residual: y less its least-squares fit on controls and a constant for each value of every effect.
+
+    Rows of any number are reduced to cells of the effects (counts and sums) and cross moments of the controls; the normal
+    equations have a line for each control and effect value, some thousands at most, and are solved in the least-norm
+    sense, so a control that the effects explain takes nothing. Rows that lack a value are left out; panels may be unbalanced."""
+    full = panel.dropna(subset=[y, *controls, *effects])
+    value = {c: F.col(c).cast("double") for c in (*controls, y)}
+    sums = {f"s{i}": F.sum(v) for i, v in enumerate(value.values())}
+    cells = full.groupBy(*effects).agg(F.count("*").alias("n"), *[v.alias(c) for c, v in sums.items()]).toPandas()
+    names = list(value)
+    cross = full.agg(*[F.sum(value[a] * value[b]).alias(f"{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]).first()
+    if cells.empty:
+        return full.withColumn("residual", F.lit(None).cast("double"))
+    k, codes, levels = len(controls), {}, {}
+    for e in effects:
+        codes[e], levels[e] = pd.factorize(cells[e])
+    begin = dict(zip(effects, np.cumsum([k, *(len(levels[e]) for e in effects)]), strict=False))
+    size = k + sum(map(len, levels.values()))
+    left, right = np.zeros((size, size)), np.zeros(size)
+    left[:k, :k] = [[cross[f"{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]
+    right[:k] = [cross[f"{i}_{k}"] for i in range(k)]
+    for e in effects:
+        at = begin[e] + codes[e]
+        np.add.at(right, at, cells[f"s{k}"])
+        for i in range(k):
+            np.add.at(left[i], at, cells[f"s{i}"])
+            np.add.at(left[:, i], at, cells[f"s{i}"])
+        for other in effects:
+            np.add.at(left, (at, begin[other] + codes[other]), cells["n"])
+    scale = np.sqrt(np.maximum(np.diag(left), 1e-300))
+    beta = np.linalg.lstsq(left / np.outer(scale, scale), right / scale, rcond=1e-10)[0] / scale
+    out, fit = full, sum((float(b) * value[c] for c, b in zip(controls, beta[:k], strict=True)), F.lit(0.0))
+    for e in effects:
+        of = pd.DataFrame({"__e": levels[e], f"__b_{e}": beta[begin[e] : begin[e] + len(levels[e])]})
+        small = panel.sparkSession.createDataFrame(of).withColumn("__e", F.col("__e").cast(dict(panel.dtypes)[e]))
+        out = out.join(F.broadcast(small.withColumnRenamed("__e", e)), e)  # a row for each value of the effect
+        fit = fit + F.col(f"__b_{e}")
+    return out.withColumn("residual", value[y] - fit).drop(*[f"__b_{e}" for e in effects])
+
+
+def lift_with_effects(panel: DataFrame, controls: list[str], least: int = 5) -> DataFrame:
+    """One row: lift = exp(mean residual over the top tenth of x, one at least, in each date and block; ties by unit), n, rows.
+
+    Residuals are of y on the controls and effects of block and date. lift is NULL below `least` rows."""
+    by = ["date", "block"]
+    rows = free_of_effects(panel.dropna(subset=["x"]), controls)
+    order = Window.partitionBy(*by).orderBy(F.desc("x"), "unit")
+    ranked = rows.withColumns({"nth": F.row_number().over(order), "n": F.count("*").over(Window.partitionBy(*by))})
+    top = F.col("nth") <= F.ceil(F.col("n") / 10)
+    lift = F.exp(F.avg(F.when(top, F.col("residual"))))
+    return ranked.agg(F.round(F.when(F.count("*") >= least, lift), 6).alias("lift"), F.count_if(top).alias("n"), F.count("*").alias("rows"))
+
+
 def top_decile_lift(panel: DataFrame) -> DataFrame:
     """One row: lift = exp(mean of y less its block-and-date mean over the top tenth of x in each block and date), n."""
     by = ["date", "block"]

@@ -22,6 +22,24 @@ def upsert(stored: DataFrame, new: DataFrame, key: list[str], update: list[str]
     return both.select(*[pick(c).alias(c) for c in stored.columns])
 
 
+def upsert_days(new: DataFrame, path: str, key: list[str], day: str, update: list[str] | None = None) -> None:
+    """Merges new into the table under path, which is partitioned by `day`, a part of its key.
+
+    Only partitions of days that new has are read and rewritten, all put in place when the last is written; files of other
+    days stay as they are. A second write of the same rows changes nothing. new is computed once."""
+    new = new.persist()
+    days = [r[0] for r in new.select(day).distinct().collect()]  # the days of one build
+    try:
+        stored = new.sparkSession.read.schema(new.schema).parquet(path).filter(F.col(day).isin(days))
+    except Exception as missing:  # nothing is stored yet
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        stored = new.limit(0)
+    merged = upsert(stored, new, key, update).hint("rebalance", day)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    new.unpersist()
+
+
 def first_writes(new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key: the first in the given order."""
     return new.withColumn("__k", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("__k = 1").drop("__k")

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import metrics, scoring
+from ..operators import metrics, scoring, tables
 from ..operators.world import KEY, Calendar
 from ..sources import star
+from ..streaming.jobs import folder
 from .further import _EVENT
 from .market import _DEMAND, _RANK, DAYS, ORACLES, PRE, REPLAY, _known, query, world
 
@@ -110,6 +111,42 @@ def daily(spark, sf_dir):
     return features(spark, sf_dir, DAYS)
 
 
+_FIRST = ["median_views", "on_niche_share"]
+
+
+@query("SCO_02_stored", f"select * from ({_FEATURES}) where day = date '{DAYS[1]}' or name in ('{_FIRST[0]}', '{_FIRST[1]}')")
+def stored(spark, sf_dir):
+    """A build of two metrics for both days, then the whole build of the second one, are stored by day; the second run merges
+    into its own day only."""
+    path = folder(spark)
+    for days, only in ((DAYS, _FIRST), (DAYS[1:], None)):
+        tables.upsert_days(features(spark, sf_dir, days, only), path, [*KEY, "name"], "day")
+    return spark.read.parquet(path)
+
+
+@query("SCO_02_detail", f"""{PRE} oldest as (select cluster_id, day, channel_id, min(published) as oldest from mv group by all),
+nw as (select distinct cluster_id, day, channel_id from nv where not is_short and published > day - 28),
+sd as (select c_mktsegment as cluster_id, o_orderdate::date as observed_date, count(*)::double as value from orders join customer on c_custkey = o_custkey group by all),
+mo as (select cluster_id, day, month(observed_date) as m, avg(value) as a, sum(value) as s, count(*) as c from sd, days where observed_date <= day - 2 group by all),
+ix as (select *, a / (sum(s) over w / sum(c) over w) as i, count(*) over w as n from mo window w as (partition by cluster_id, day)),
+f as (select cluster_id, day, 'median_views' as name, 'p90_views' as field, null::varchar as label, views::double as value from (
+  select *, row_number() over (partition by cluster_id, day order by views) as k, count(*) over (partition by cluster_id, day) as n from en) where k = floor(0.9::double * (n - 1)) + 1
+union all select cluster_id, day, 'median_views', 'contributing_channels', null, count(distinct channel_id) from en group by all
+union all select cluster_id, day, 'median_views', 'ballast_channels', null, count(*) from ballast group by all
+union all select cluster_id, day, 'median_views', 'ballast_rows', null, count(*) from mv join ballast using (cluster_id, day, channel_id) group by all
+union all select cluster_id, day, 'uploads_per_week', 'channels_publishing', null, count(*) from nw group by all
+union all select cluster_id, day, 'uploads_per_week', 'publishing_span_censored', null, count(*) filter (oldest > day - 28) from nw join oldest using (cluster_id, day, channel_id) group by all
+union all select cluster_id, day, 'uploads_per_week', 'channels_span_censored', null, count(*) from mc join oldest using (cluster_id, day, channel_id) where oldest > day - 28 group by all
+union all select cluster_id, day, 'geo_concentration', 'country_' || k, country, n from (
+  select *, row_number() over (partition by cluster_id, day order by n desc, country) as k from (select cluster_id, day, country, count(*) as n from mc where country is not null group by all)) where k <= 5
+union all select cluster_id, day, 'seasonality', 'month_' || lpad(m::varchar, 2, '0'), null, round(i, 3) from ix where n = 12
+union all select cluster_id, day, 'seasonality', 'peak_month', null, m from (select *, row_number() over (partition by cluster_id, day order by a desc, m) as k from ix where n = 12) where k = 1
+union all select cluster_id, day, 'seasonality', 'trough_month', null, m from (select *, row_number() over (partition by cluster_id, day order by a, m) as k from ix where n = 12) where k = 1)
+select * from f""")
+def details(spark, sf_dir):
+    return metrics.details(world(spark, sf_dir), star.cluster_demand(spark, sf_dir))
+
+
 _ONE = lambda name, column: f"max({column}) filter (name = '{name}')"
 _CARDS = f"""with f as ({_FEATURES}),
 w as (select cluster_id, day, {_ONE(CARD['openness'], 'value')} as openness, {_ONE('median_views', 'value')} as s, {_ONE(CARD['demand'], 'value')} as d,

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import tables
-from ..sources import payloads, star
+from ..sources import payloads, raw_store, star
+from ..streaming.jobs import folder
 from .market import query
 
 AT = "2000-06-30 03:00:00"
@@ -166,6 +167,36 @@ def mixed_shapes(spark, sf_dir):
     return tables.combine_supplied(rich.unionByName(sparse), ["o_orderkey"], "seq", "supplied")
 
 
+def _raw_events(spark, sf_dir) -> DataFrame:
+    """Events as raw payloads: JSON of what they hold; views come in another layout than VARIANT gives back."""
+    body = F.to_json(F.struct("event_id", "user_id", "value"))
+    payload = F.when(F.col("event_type") == "view", F.concat(F.lit(" "), body)).otherwise(body)
+    return star.read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("record"), F.col("event_type").alias("source"), F.lit("event").alias("kind"), F.col("user_id").cast("string").alias("key"), payload.alias("payload"),
+        F.lit("run-1").alias("run_id"), F.col("ts").cast("timestamp").alias("at"),
+    )
+
+
+@query("SRC_01_landed", """select event_type as source, ts::date as day, count(*) as records, sum(event_id)::bigint as ids, round(sum(value), 4) as value, true as verbatim from events group by all""")
+def landed_events(spark, sf_dir):
+    """Payloads are landed by source, kind and day and read from there: fields from the VARIANT, and the text as it came."""
+    path, raw = folder(spark), _raw_events(spark, sf_dir)
+    raw_store.land(raw, path)
+    rows = raw_store.read(spark, path)
+    verbatim = F.bool_and(F.sha2("payload", 256) == F.col("sha256"))
+    value = F.round(F.sum(raw_store.field("value", "double")), 4)
+    return rows.groupBy("source", "day").agg(F.count("*").alias("records"), F.sum(raw_store.field("event_id", "bigint")).alias("ids"), value.alias("value"), verbatim.alias("verbatim"))
+
+
+@query("SNK_07_store", """select event_id, event_type as source, ts::date as day from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events)
+where ts >= timestamp '2024-01-15' or (k = 1 and user_id % 2 = 0)""")
+def pruned_store(spark, sf_dir):
+    path, raw = folder(spark), _raw_events(spark, sf_dir)
+    raw_store.land(raw, path)
+    raw_store.prune(spark, path, ["event"], "2024-01-15", raw.filter(F.col("key").cast("bigint") % 2 == 0))
+    return raw_store.read(spark, path).select(F.col("record").alias("event_id"), "source", "day")
+
+
 @query("SNK_07", """select event_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k, max(ts) over () as m from events)
 where ts >= timestamp '2024-01-15' or (k = 1 and user_id % 2 = 0)""")
 def retained(spark, sf_dir):

@@ -342,6 +342,14 @@ select date, unit, round(y - i - s * z, 4) as residual from p join f using (date
 )
 query("STA_13", f"""{_PANEL} t as (select *, row_number() over (partition by date, block order by x desc, unit) as k, count(*) over (partition by date, block) as n, y - avg(y) over (partition by date, block) as r from p)
 select round(exp(avg(r)), 6) as lift, count(*) as n from t where k <= ceil(n / 10.0)""")(lambda spark, sf_dir: stats.top_decile_lift(panel(spark, sf_dir)))
+_SWEEPS = 30
+query("STA_13_effects", f"""{_PANEL.replace("with", "with recursive", 1)} l as materialized (select date, unit, block, x, ln(1 + y) as y, ln(1 + z) as z from p),
+s as (select 0 as i, * from l union all select i + 1, date, unit, block, x, y - avg(y) over (partition by date), z - avg(z) over (partition by date)
+  from (select i, date, unit, block, x, y - avg(y) over (partition by block) as y, z - avg(z) over (partition by block) as z from s where i < {_SWEEPS})),
+e as (select *, y - z * (sum(z * y) over () / sum(z * z) over ()) as r, row_number() over (partition by date, block order by x desc, unit) as k, count(*) over (partition by date, block) as c from s where i = {_SWEEPS})
+select round(exp(avg(r) filter (k <= ceil(c / 10.0))), 6) as lift, count(*) filter (k <= ceil(c / 10.0)) as n, count(*) as rows from e""")(
+    lambda spark, sf_dir: stats.lift_with_effects(panel(spark, sf_dir).withColumns({"y": F.ln(1 + F.col("y")), "z": F.ln(1 + F.col("z"))}), ["z"])
+)
 query("STA_14", f"{_PANEL} q as (select 1) select date, round(avg((y = 0)::int), 6) as tied from p group by date")(
     lambda spark, sf_dir: panel(spark, sf_dir).groupBy("date").agg(F.round(F.avg((F.col("y") == 0).cast("int")), 6).alias("tied"))
 )

@@ -71,7 +71,7 @@ def daily_first_writes(readings: DataFrame, key: list[str], day: str, at: str, l
         stored = open_days(spark, path, batch.schema, day, batch)
         if stored is not None:
             new = new.join(stored.select(*key), key, "left_anti").select(columns)
-        new.write.mode("append").partitionBy(day).parquet(path)
+        new.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
         batch.unpersist()
 
     once = readings.withWatermark(at, late).dropDuplicatesWithinWatermark(columns)
