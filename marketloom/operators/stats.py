@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .draws import drawn_means
 from .scoring import average_rank
 
 
@@ -63,26 +64,34 @@ def moved(panel: DataFrame, draws: int, seed: int, block: str | None = None) ->
 
 
 def _tested(real: DataFrame, null: DataFrame) -> DataFrame:
-    """One row: dates, rho (mean over dates), draws that have a value, two-sided p = (extreme + 1) / (draws + 1). real: date, rho; null: draw, date, rho."""
+    """One row: dates, rho (mean over dates), draws that have a value, two-sided p = (extreme + 1) / (draws + 1). real: date, rho;
+    null: draw, null_rho."""
     mean = real.filter("rho is not null").agg(F.avg("rho").alias("rho"), F.count("*").alias("dates"))
-    null = null.filter("rho is not null").groupBy("draw").agg(F.avg("rho").alias("null_rho"))
     out = null.crossJoin(F.broadcast(mean)).groupBy("rho", "dates").agg(F.count_if(F.abs("null_rho") >= F.abs("rho") - 1e-9).alias("extreme"), F.count("*").alias("draws"))
     return out.select("dates", F.round("rho", 6).alias("rho"), "draws", F.round((F.col("extreme") + 1) / (F.col("draws") + 1), 6).alias("p"))
 
 
+def _null(panel: DataFrame, draws: int, seed: int, controls: list[str], block: str | None, rho) -> DataFrame:
+    """(draw, null_rho): by matrix products where the panel can be laid out in tasks, else by a join a draw; both the same."""
+    by_matrix = drawn_means(panel, draws, seed, controls, block)
+    if by_matrix is not None:
+        return by_matrix
+    return rho(moved(panel, draws, seed, block)).filter("rho is not null").groupBy("draw").agg(F.avg("rho").alias("null_rho"))
+
+
 def permutation_test(panel: DataFrame, draws: int = 10_000, seed: int = 1) -> DataFrame:
-    """Test of the dates' mean Spearman rho; ranks are taken anew in every draw. panel: date, unit, x, y."""
-    return _tested(spearman(panel, ["date"]), spearman(moved(panel, draws, seed), ["draw", "date"]))
+    """Test of the dates' mean Spearman rho; ranks are those among the pairs of a draw. panel: date, unit, x, y."""
+    return _tested(spearman(panel, ["date"]), _null(panel, draws, seed, [], None, lambda m: spearman(m, ["draw", "date"])))
 
 
 def partial_test(panel: DataFrame, draws: int = 10_000, seed: int = 1, z: str = "z") -> DataFrame:
     """The same with z held fixed: outcomes move, score and control stay."""
-    return _tested(partial_spearman(panel, ["date"], z=z), partial_spearman(moved(panel, draws, seed), ["draw", "date"], z=z))
+    return _tested(partial_spearman(panel, ["date"], z=z), _null(panel, draws, seed, [z], None, lambda m: partial_spearman(m, ["draw", "date"], z=z)))
 
 
 def stratified_test(panel: DataFrame, controls: list[str], draws: int = 10_000, seed: int = 1) -> DataFrame:
     """Test of the mean over dates of stratified_partial: outcomes move within blocks."""
-    return _tested(stratified_partial(panel, controls), stratified_partial(moved(panel, draws, seed, "block"), controls, ["draw", "date"]))
+    return _tested(stratified_partial(panel, controls), _null(panel, draws, seed, controls, "block", lambda m: stratified_partial(m, controls, ["draw", "date"])))
 
 
 def bootstrap(panel: DataFrame, draws: int = 10_000, seed: int = 2, level: float = 0.95) -> DataFrame:
