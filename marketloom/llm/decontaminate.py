@@ -53,11 +53,10 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class Statistics:
-    """What BM25 needs of all items: their number, mean and largest number of words, and the items that hold each term."""
+    """What BM25 needs of all items: their number, mean number of words, and the items that hold each term."""
 
     n_items: int
     mean_words: float
-    longest: int
     items_with: Mapping[int, int]
 
     @classmethod
@@ -65,7 +64,12 @@ class Statistics:
         own = [h for h in _hashes(texts) if len(h)]
         lengths = [len(h) for h in own]
         held = Counter(t for h in own for t in np.unique(h).tolist())
-        return cls(len(own), sum(lengths) / max(1, len(own)), max(lengths, default=0), held)
+        return cls(len(own), sum(lengths) / max(1, len(own)), held)
+
+
+def stride_of(n_words: int) -> int:
+    """The stride of passages for an item: the power of two that its words fit in, 64 at least. It depends on no other item."""
+    return max(64, 1 << max(0, n_words - 1).bit_length())
 
 
 @dataclass
@@ -116,7 +120,7 @@ class Tops:
 
 @dataclass
 class Index:
-    """Postings of items in the order of their own scores, with each block's largest impact.
+    """Postings of items of one stride in the order of their own scores, with each block's largest impact.
 
     An impact is a term's BM25 weight in an item over the item's own score, so the score of a passage (its distinct
     terms) lies between 0 and 1 and one threshold fits all items.
@@ -127,14 +131,22 @@ class Index:
     postings: list[tuple[np.ndarray, np.ndarray]]
     blocks: Tops
     supers: Tops
-    longest: int
+    stride: int
     #: Shingles of question and answer, and the words of a shingle: SHINGLE, or all words of a shorter part.
     parts: list[list[np.ndarray]]
     sizes: list[list[int]]
 
+    @classmethod
+    def by_stride(cls, items: list[tuple[int, str]], every: Statistics) -> list[Index]:
+        """An index for the items of each stride."""
+        of: dict[int, list[tuple[int, str]]] = {}
+        for item, h in zip(items, _hashes([t for _, t in items]), strict=True):
+            of.setdefault(stride_of(len(h)), []).append(item)
+        return [cls.build(some, every) for _, some in sorted(of.items())]
+
     @classmethod
     def build(cls, items: list[tuple[int, str]], every: Statistics | None = None) -> Index:
-        """The index of some items with the statistics of all; without any, of these."""
+        """The index of some items with the statistics of all; without any, of these. Its stride is that of the longest."""
         every = Statistics.of([t for _, t in items]) if every is None else every
         own = _hashes([t for _, t in items])
         keep = [k for k in range(len(items)) if len(own[k])]
@@ -157,7 +169,7 @@ class Index:
         sizes = [[min(SHINGLE, max(1, len(h))) for h in pair] for pair in halves]
         parts = [[np.unique(shingles(h, n)) for h, n in zip(pair, size, strict=True)] for pair, size in zip(halves, sizes, strict=True)]
         ids = np.array([i for i, _ in items], np.int64)
-        return cls(ids, vocabulary, postings, Tops.of(postings, BLOCK), Tops.of(postings, BLOCK * SUPER), every.longest, parts, sizes)
+        return cls(ids, vocabulary, postings, Tops.of(postings, BLOCK), Tops.of(postings, BLOCK * SUPER), stride_of(max(map(len, own), default=0)), parts, sizes)
 
     def hopeful(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """(passage, block) that may hold items over the threshold, bounded by super-blocks first."""
@@ -223,9 +235,9 @@ class Index:
 def _search(index: Index, hashes: np.ndarray, at: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float, float, float]]:
     """(row, item place, score, overlaps) of verified hits in the word hashes of some rows.
 
-    A passage is two strides long, a stride as long as the longest item, so every stretch of an item's length lies in one.
+    A passage is two strides long, and an item no longer than its index's stride, so every stretch of an item's length lies in one.
     """
-    stride = max(64, index.longest)
+    stride = index.stride
     place = np.searchsorted(index.terms, hashes)
     place[place == len(index.terms)] = 0
     hit = np.flatnonzero(index.terms[place] == hashes) if len(index.terms) else np.zeros(0, np.int64)
@@ -289,8 +301,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     together; repeated documents give equal rows; a null doc_id stays null. Empty tables give no rows; columns besides
     the ids and texts are not read.
 
-    The benchmark is a bounded side: each index (INDEX_BYTES of item texts) is built on the driver and broadcast, and the
-    documents are read once per index. Scores, passages and hits are the same however items are dealt over indexes.
+    Passages are as long as an item's own stride asks for, so whether an item is found depends on its text and the text
+    searched; other items change its scores by BM25's statistics only, which all items share.
+
+    The benchmark is a bounded side: indexes of INDEX_BYTES of item texts are built on the driver and broadcast, one for
+    each stride, and the documents are read once for them. Scores, passages and hits are the same however items are dealt.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -299,7 +314,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     blocks = max(1, -(-size // INDEX_BYTES))
     items = saved(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "benchmark-items")
     terms = saved(items.mapInArrow(_terms_of, "block int, term long, n_words long"), "benchmark-terms")
-    texts = terms.filter("term is null").agg(F.count("*"), F.avg("n_words"), F.max("n_words")).first()
+    texts = terms.filter("term is null").agg(F.count("*"), F.avg("n_words")).first()
     held = terms.filter("term is not null").groupBy("block", "term").agg(F.count("*").alias("n"))
     held = saved(held.withColumn("n", F.expr("sum(n) over (partition by term)")), "benchmark-held")
     out = []
@@ -307,16 +322,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         some = [tuple(r) for r in items.filter(F.col("block") == k).select("item_id", "text").collect()]
         own = held.filter(F.col("block") == k).select("term", "n").toPandas()
         items_with = dict(zip(own.term.to_numpy(np.int64).view(np.uint64).tolist(), own.n.tolist(), strict=True))
-        every = Statistics(texts[0], texts[1] or 0.0, texts[2] or 0, items_with)
-        index = spark.sparkContext.broadcast(Index.build(some, every))
+        indexes = spark.sparkContext.broadcast(Index.by_stride(some, Statistics(texts[0], texts[1] or 0.0, items_with)))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 data, offsets = buffers(batch.column("text"))
                 ids = batch.column("doc_id").to_pylist()
                 rows = []
                 for i, _, hashes, at in words(PLAIN[data], offsets):
-                    rows += [(ids[i + r], int(index.value.ids[item]), *values) for r, item, *values in _search(index.value, hashes, at, threshold)]
+                    for index in indexes.value:
+                        rows += [(ids[i + r], int(index.ids[item]), *values) for r, item, *values in _search(index, hashes, at, threshold)]
                 names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 columns = list(zip(*rows, strict=True)) or [()] * 5

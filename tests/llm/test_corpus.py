@@ -485,3 +485,16 @@ def test_many_secrets_in_one_text(spark):
     hexes = [(m.start(), m.end()) for m in re.finditer(r"[0-9a-f]{24,}", text)]
     assigned = [(m.start(), m.end()) for m in re.finditer(r"token: [A-Za-z0-9+/_.=-]+", text)]
     assert [(s.start, s.end) for s in got if s.kind == "hex"] == hexes and [(s.start, s.end) for s in got if s.kind == "assign"] == assigned
+
+
+def test_an_item_is_found_whatever_other_items_are_there(spark):
+    """Passages depend on an item's own length: a question 400 words before its answer is no hit, with a long item beside it or not."""
+    rng = random.Random(18)
+    words = [f"term{i}" for i in range(3000)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, f"{say(20)}.\n{say(8)}.") for i in range(5)]
+    long = (99, f"{say(600)}.\n{say(30)}.")
+    texts = [f"{items[0][1].split(chr(10))[0]} {say(400)} {items[0][1].split(chr(10))[1]}", f"{say(50)} {items[1][1]} {say(50)}", f"{say(300)} {long[1]} {say(700)}"]
+    hits = lambda own: {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, texts), spark.createDataFrame(own, "item_id long, text string")).collect()}
+    assert hits(items) == {(1, 1)} and hits([*items, long]) == {(1, 1), (2, 99)}
+    assert [decontaminate.stride_of(n) for n in (0, 1, 64, 65, 630)] == [64, 64, 64, 128, 1024]
