@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -107,3 +109,17 @@ def drilldown(shapes: dict[str, DataFrame], rows: int = 200) -> DataFrame:
     for df in every[1:]:
         out = out.unionByName(df)
     return out.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
+
+
+def followed(rows: DataFrame, by: list[str], at: str, tie: str, bucket: Column) -> DataFrame:
+    """rows with `next`: the `at` of the row that follows in order of at and tie, within by.
+
+    Rows are ordered within buckets (a function of `at` that never falls), so a few keys make many tasks; a bucket's last row
+    is followed by the first one of the next bucket that has rows, which is looked up among one row a bucket."""
+    marked = rows.withColumn("__b", bucket)
+    firsts = marked.groupBy(*by, "__b").agg(F.min(at).alias("__first"))
+    after = firsts.select(*by, "__b", F.lead("__first").over(Window.partitionBy(*by).orderBy("__b")).alias("__after"))
+    inside = marked.withColumn("next", F.lead(at).over(Window.partitionBy(*by, "__b").orderBy(at, tie)))
+    same = reduce(lambda x, y: x & y, [F.col(f"i.{c}").eqNullSafe(F.col(f"a.{c}")) for c in (*by, "__b")])
+    ends = inside.alias("i").join(after.alias("a"), same & F.col("i.next").isNull(), "left")
+    return ends.select(*[F.col(f"i.{c}") for c in rows.columns], F.coalesce("i.next", "a.__after").alias("next"))

@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import metrics, scoring, tables
+from ..operators import gates, metrics, reads, scoring, tables
 from ..operators.world import KEY, Calendar
 from ..sources import star
 from ..streaming.jobs import folder
+from . import reads as _reads  # noqa: F401  registers QRY_07
 from .further import _EVENT
-from .market import _DEMAND, _RANK, DAYS, ORACLES, PRE, REPLAY, _known, query, world
+from .market import _DEMAND, _RANK, DAYS, ORACLES, PRE, QUERIES, REPLAY, _known, query, world
 
 #: The market whose keyword readings the daily build takes.
 GEO = "1"
@@ -193,3 +194,41 @@ def niche_view(spark, sf_dir):
     """The newest metrics of every cluster with its card."""
     newest = DAYS[1:]
     return features(spark, sf_dir, newest).join(cards(spark, sf_dir, newest).select(*KEY, "gap", "stage"), KEY)
+
+
+#: The axis that each cluster is scored on, and the bar that its rule has to reach against hand labels.
+AXES, BAR = {"AUTOMOBILE": "event", "BUILDING": "event", "FURNITURE": "exposition", "HOUSEHOLD": "exposition"}, 0.0
+_KAPPA = "(agree - pa * pb - (1 - pa) * (1 - pb)) / nullif(1 - pa * pb - (1 - pa) * (1 - pb), 0)"
+_GATE = f"""ax as (select * from (values {", ".join(f"('{c}', '{a}')" for c, a in AXES.items())}) t(cluster_id, axis)),
+sides as (select 'event' as axis, quality = 1 as a, toxic = 0 as b from labels union all select 'exposition', quality = 1, toxic = 1 from labels),
+kap as (select axis, {_KAPPA} as kappa from (select axis, avg((a = b)::int) as agree, avg(a::int) as pa, avg(b::int) as pb from sides group by axis)),
+gate as (select cluster_id, axis, not coalesce(kappa >= {BAR}, false) as withheld from ax left join kap using (axis)),"""
+_HELD = "coalesce(withheld, false) and {n} in ('" + "', '".join(gates.SCORER_DEPENDENT) + "')"
+_WHY = "'withheld: the ' || axis || ' rule is not validated'"
+
+
+def gate(spark, sf_dir):
+    """Clusters whose axis is withheld, from the agreement of each axis with hand labels."""
+    labels = star.read(spark, sf_dir, "labels")
+    quality = F.col("quality") == 1
+    results = [reads.agreement(labels.select(quality.alias("a"), (F.col("toxic") == t).alias("b"))).select(F.lit(axis).alias("axis"), "kappa") for axis, t in (("event", 0), ("exposition", 1))]
+    return gates.axes(spark.createDataFrame(list(AXES.items()), "cluster_id string, axis string"), results[0].unionByName(results[1]), BAR)
+
+
+@query("QRY_09_metrics", f"""with {_GATE} f as ({_FEATURES}) select f.cluster_id, day, name, case when not ({_HELD.format(n='name')}) then value end as value,
+  case when {_HELD.format(n='name')} then {_WHY} else reason end as reason, not ({_HELD.format(n='name')}) as cited from f left join gate using (cluster_id)""")
+def cited_metrics(spark, sf_dir):
+    return gates.metrics(features(spark, sf_dir, DAYS).select(*KEY, "name", "value", "reason"), gate(spark, sf_dir))
+
+
+@query("QRY_09_cards", f"""select cluster_id, day, momentum, evidence, null::double as gap, null::double as supply, null::double as demand, null::double as openness, null::double as gap_confidence,
+  null::varchar as stage, null::double as stage_confidence, '{gates.CARD_REASON}' as reason from ({_CARDS})""")
+def cited_cards(spark, sf_dir):
+    return gates.cards(daily_cards(spark, sf_dir))
+
+
+@query("QRY_09_drilldown", f"""with {_GATE} i as ({ORACLES['QRY_07']})
+select metric, i.cluster_id, day, input_id, case when not ({_HELD.format(n='metric')} and metric = 'on_niche_share') then value end as value,
+  case when not ({_HELD.format(n='metric')} and metric = 'on_niche_share') then place end as place, not ({_HELD.format(n='metric')}) as cited from i left join gate using (cluster_id)""")
+def cited_inputs(spark, sf_dir):
+    return gates.inputs(QUERIES["QRY_07"](spark, sf_dir), gate(spark, sf_dir))

@@ -147,11 +147,32 @@ def one_run_a_day(spark, sf_dir):
 @query("MTR_06", """with r as (select event_type as phase, "ts", lead("ts") over (partition by event_type order by "ts", event_id) as e from events)
 select phase, count(*) as runs, count(*) filter (date_diff('microsecond', "ts", e) > 900000000) as over_budget from r where e is not null group by 1""")
 def over_budget(spark, sf_dir):
-    rows = star.read(spark, sf_dir, "events").withColumn("e", F.lead("ts").over(Window.partitionBy("event_type").orderBy("ts", "event_id"))).filter("e is not null")
-    slow = F.col("e").cast("timestamp_ntz") > F.col("ts").cast("timestamp_ntz") + F.expr("interval 900 seconds")
+    """A phase lasts until the next one of its kind begins; five kinds are ordered hour by hour."""
+    runs = star.read(spark, sf_dir, "events").select("event_type", "ts", "event_id")
+    rows = reads.followed(runs, ["event_type"], "ts", "event_id", F.date_trunc("hour", "ts")).filter("next is not null")
+    slow = F.col("next").cast("timestamp_ntz") > F.col("ts").cast("timestamp_ntz") + F.expr("interval 900 seconds")
     return rows.groupBy(F.col("event_type").alias("phase")).agg(F.count("*").alias("runs"), F.count_if(slow).alias("over_budget"))
 
 
+@query("MTR_06_quota", """with u as (select event_type as source, timezone('America/Los_Angeles', "ts" at time zone 'UTC')::date as day, round(sum(value), 4) as units from events group by all)
+select source, day, units, round(units / sum(units) over (partition by day), 6) as share from u""")
+def quota(spark, sf_dir):
+    """Units used by each source on a day of the quota, which ends at midnight Pacific time, and its share of that day's."""
+    local = F.to_date(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "America/Los_Angeles"))
+    used = star.read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source"), local.alias("day")).agg(F.round(F.sum("value"), 4).alias("units"))
+    return used.withColumn("share", F.round(F.col("units") / F.sum("units").over(Window.partitionBy("day")), 6))
+
+
+@query("MTR_06_staleness", f"""{PRE} kw as (select ({star.CURATED})[(p_partkey % {len(star.CURATED)})::int + 1] as cluster_id, (date '1997-01-31' + to_months((p_partkey % 12)::int))::date as observed_date from part)
+select cluster_id, day, max(observed_date) as newest, day - max(observed_date) as age, day - max(observed_date) > 70 as stale from kw, days where observed_date <= day group by cluster_id, day""")
+def stale_keywords(spark, sf_dir):
+    dates = star.keyword_metrics(spark, sf_dir, clusters=True).select("cluster_id", "observed_date").distinct()
+    spans = dates.withColumn("until", F.lead("observed_date").over(Window.partitionBy("cluster_id").orderBy("observed_date")))
+    newest = world(spark, sf_dir).calendar.on(spans, "observed_date", "until")
+    age = F.datediff("day", "observed_date")
+    return newest.select("cluster_id", "day", F.col("observed_date").alias("newest"), age.alias("age"), (age > 70).alias("stale"))
+
+
 @query("MTR_09", f"""with {BASE} x as (select 1) select cluster_id, count(*) filter (date '2000-06-30' - published > 365) >= 0.2 * count(*) as old_enough,
   count(is_short) >= 0.8 * count(*) as known_format from video join channel using (channel_id) where relevance >= 0.55 and published <= date '2000-06-30' group by 1""")
 def triggers(spark, sf_dir):
