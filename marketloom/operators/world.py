@@ -165,6 +165,8 @@ class World:
     small_subs: int = 10_000
     upload_days: int = 28
     newest: int = 15
+    #: The definition of a member that is pinned: "ballast" leaves ballast out, "members" counts it.
+    definition: str = "ballast"
 
     @cached_property
     def calendar(self) -> Calendar:
@@ -196,7 +198,9 @@ class World:
 
     @cached_property
     def channel_spans(self) -> DataFrame:
-        """Members without their time as ballast."""
+        """Members without their time as ballast, or whole where the definition says so."""
+        if self.definition == "members":
+            return self.member_spans
         return _but(self.member_spans, self.ballast_spans, CHANNEL)
 
     @cached_property
@@ -255,8 +259,8 @@ class World:
 
     @cached_property
     def coverage(self) -> DataFrame:
-        """Per cluster and day, without ballast: on_niche, judgeable (not noise), decided, total videos."""
-        own = _but(self.video_spans, self.ballast_spans, CHANNEL)
+        """Per cluster and day, of member channels: on_niche, judgeable (not noise), decided, total videos."""
+        own = self.video_spans if self.definition == "members" else _but(self.video_spans, self.ballast_spans, CHANNEL)
         counts = swept(own, ["cluster_id"], on_niche=on_niche(), judgeable=~F.coalesce(noise(), F.lit(False)), decided=on_niche() | noise())
         return self.calendar.on(counts).drop("start", "end")
 

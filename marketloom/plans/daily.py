@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -35,10 +36,10 @@ def _curves(series: DataFrame, days: DataFrame) -> DataFrame:
     return seen.groupBy("term", F.col("day").alias("observed_date")).agg(F.array_sort(F.collect_list(F.struct(F.col("observed_date").alias("at"), "value"))).alias("points"))
 
 
-def features(spark, sf_dir: str, days: list[str], only: list[str] | None = None) -> DataFrame:
+def features(spark, sf_dir: str, days: list[str], only: list[str] | None = None, definition: str = "ballast") -> DataFrame:
     """Every metric of every cluster and day, NULL ones too, and those that need all clusters: one plan. `only` names the
     metrics that are wanted; others are not planned."""
-    w = world(spark, sf_dir, days)
+    w = world(spark, sf_dir, days, definition)
     at = w.spine
     series, events = star.cluster_demand(spark, sf_dir), star.cluster_demand(spark, sf_dir, event=True)
     words = star.keyword_metrics(spark, sf_dir, clusters=True).filter(F.col("geo") == GEO)
@@ -51,6 +52,8 @@ def features(spark, sf_dir: str, days: list[str], only: list[str] | None = None)
         "trends_momentum_13w": lambda: metrics.curve_momentum(_curves(series, at), w.spine),
     }
     every |= {name: m() for name, m in demand.items() if only is None or name in only}
+    if only and "views_per_new_video" in only:
+        every["views_per_new_video"] = metrics.views_per_new_video(w, star.channel_snapshots(spark, sf_dir).withColumnRenamed("subs", "reach"))
     if only is None:
         every["keywords"] = metrics.keyword_features(metrics.latest_keywords(words, at, "cluster_id"), curated, w.spine)
         every["pressure_index"] = metrics.pressure_index(every[PRESSURE[0]].unionByName(every[PRESSURE[1]]))
@@ -59,6 +62,27 @@ def features(spark, sf_dir: str, days: list[str], only: list[str] | None = None)
     return reduce(DataFrame.unionByName, every.values()).repartition("cluster_id")
 
 
+#: What a replay computes, and what it ranks supply by.
+BACKTEST = [
+    "weekly_views", "momentum_28d", "yoy", "volatility_365d", "uploads_per_week", "views_per_new_video", "on_niche_share", "top10_concentration", "winner_age_years",
+]
+SUPPLY_FROM = "views_per_new_video"
+#: Decision dates: every seventh day.
+WEEKS = [str(datetime.date(1995, 6, 4) + datetime.timedelta(7 * k)) for k in range(161)]
+
+
+def replay(spark, sf_dir: str, days: list[str], definition: str = "ballast") -> DataFrame:
+    """The metrics of a backtest at every decision date, under one pinned definition of a member, which each row names. The
+    functions are those of a daily build, on a longer spine, in one job."""
+    return features(spark, sf_dir, days, BACKTEST, definition).withColumn("definition", F.lit(definition))
+
+
+def replay_cards(spark, sf_dir: str, days: list[str], definition: str = "ballast") -> DataFrame:
+    """Cards of a replay: supply by SUPPLY_FROM, openness by the age of winners."""
+    made = replay(spark, sf_dir, days, definition)
+    return scoring.scorecards(made, SUPPLY_FROM, "weekly_views", "winner_age_years", "yoy", "momentum_28d").withColumn("definition", F.lit(definition))
+
+
 def cards(spark, sf_dir: str, days: list[str]) -> DataFrame:
     return scoring.scorecards(features(spark, sf_dir, days, ["median_views", *CARD.values()]), "median_views", **CARD)
 
@@ -100,11 +124,15 @@ _FEATURES = " union all ".join(
     f"(select cluster_id, day, metric_group, name, value, confidence, inputs_n, reason from ({sql}))"
     for sql in [*[ORACLES[k] for k in _DIRECT], *[_by_segment(ORACLES[k]) for k in ("DEM_01", "DEM_02", "DEM_03", "DEM_04", "DEM_05", "DEM_06", "DEM_07")], _KEYWORD_ROWS]
 )
-_REPLAYED = ", ".join(f"(date '{d}')" for d in REPLAY)
+
+
+def _on(sql: str, days: list[str]) -> str:
+    """SQL for other days."""
+    return sql.replace(", ".join(f"(date '{d}')" for d in DAYS), ", ".join(f"(date '{d}')" for d in days))
 
 
 def _on_replay(sql: str) -> str:
-    return sql.replace(", ".join(f"(date '{d}')" for d in DAYS), _REPLAYED)
+    return _on(sql, REPLAY)
 
 
 @query("SCO_02", _FEATURES)
@@ -188,6 +216,37 @@ def replayed_cards(spark, sf_dir):
     return cards(spark, sf_dir, REPLAY)
 
 
+_BACKTEST = _on(" union all ".join(
+    f"(select cluster_id, day, metric_group, name, value, confidence, inputs_n, reason from ({sql}))"
+    for sql in [*[ORACLES[k] for k in ("SUP_01", "SUP_09", "SUP_04", "SUP_07", "OPN_03")], *[_by_segment(ORACLES[k]) for k in ("DEM_01", "DEM_03", "DEM_04", "DEM_05")]]
+), WEEKS)
+
+
+@query("BTE_04_weekly", f"select *, 'ballast' as definition from ({_BACKTEST})")
+def weekly_replay(spark, sf_dir):
+    """Nine metrics on 161 decision dates a week apart."""
+    return replay(spark, sf_dir, WEEKS)
+
+
+_WITHOUT = _BACKTEST.replace("mc as (select * from members m where not exists (select 1 from ballast b where b.cluster_id = m.cluster_id and b.day = m.day and b.channel_id = m.channel_id))", "mc as (select * from members)").replace(
+    """from mv m
+  where not exists (select 1 from ballast b where b.cluster_id = m.cluster_id and b.day = m.day and b.channel_id = m.channel_id) group by all""", "from mv group by all")
+
+
+@query("BTE_04_pinned", f"select *, 'members' as definition from ({_WITHOUT})")
+def pinned_replay(spark, sf_dir):
+    """The same with the older definition pinned, under which ballast counts."""
+    return replay(spark, sf_dir, WEEKS, "members")
+
+
+_WEEKLY_CARDS = _CARDS.replace(_FEATURES, _BACKTEST).replace("'median_views'", "'views_per_new_video'").replace(f"'{CARD['openness']}'", "'winner_age_years'")
+
+
+@query("BTE_04_weekly_cards", f"select *, 'ballast' as definition from ({_WEEKLY_CARDS})")
+def weekly_cards(spark, sf_dir):
+    return replay_cards(spark, sf_dir, WEEKS)
+
+
 @query("QRY_10", f"""with c as ({_CARDS}), f as ({_FEATURES})
 select f.cluster_id, f.day, f.metric_group, f.name, f.value, f.confidence, f.inputs_n, f.reason, c.gap, c.stage from f join c using (cluster_id, day) where day = date '{DAYS[1]}'""")
 def niche_view(spark, sf_dir):

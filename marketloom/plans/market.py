@@ -54,11 +54,11 @@ top as (select * from (select nv.*, va.views, row_number() over (partition by cl
 )
 
 
-def world(spark: SparkSession, sf_dir: str, days: list[str] | None = None) -> World:
+def world(spark: SparkSession, sf_dir: str, days: list[str] | None = None, definition: str = "ballast") -> World:
     """The given tables hold few videos a channel, so ballast and cohort need three here."""
     channel = star.channels(spark, sf_dir)
     videos, snapshots = star.videos(spark, sf_dir), star.video_snapshots(spark, sf_dir)
-    return World(spine(channel, days or DAYS), channel, videos, snapshots, ballast_decided=3, cohort_videos=3)
+    return World(spine(channel, days or DAYS), channel, videos, snapshots, ballast_decided=3, cohort_videos=3, definition=definition)
 
 
 def query(name: str, sql: str | None = None):
