@@ -123,3 +123,47 @@ def followed(rows: DataFrame, by: list[str], at: str, tie: str, bucket: Column)
     same = reduce(lambda x, y: x & y, [F.col(f"i.{c}").eqNullSafe(F.col(f"a.{c}")) for c in (*by, "__b")])
     ends = inside.alias("i").join(after.alias("a"), same & F.col("i.next").isNull(), "left")
     return ends.select(*[F.col(f"i.{c}") for c in rows.columns], F.coalesce("i.next", "a.__after").alias("next"))
+
+
+def source_feed(videos: DataFrame, discoveries: DataFrame, lines: int) -> DataFrame:
+    """The newest lines of each cluster and day: its videos (KEY, video_id, channel_id, published) with every query that had
+    found them by the day, and those that no query found too. place counts lines; ties go by video, query and order.
+
+    Videos are cut before discoveries are joined, as one more video than there are lines can never show."""
+    newest = Window.partitionBy(*KEY).orderBy(F.desc("published"), "video_id")
+    some = videos.withColumn("__n", F.row_number().over(newest)).filter(F.col("__n") <= lines)
+    known = discoveries.select("video_id", "query", "order_by", "found")
+    seen = some.join(known, "video_id").filter("found <= day").select(*KEY, "video_id", "query", "order_by")
+    joined = some.join(seen, [*KEY, "video_id"], "left")
+    order = Window.partitionBy(*KEY).orderBy("__n", F.col("query").asc_nulls_first(), F.col("order_by").asc_nulls_first())
+    return joined.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= lines).select(*KEY, "place", "video_id", "channel_id", "published", "query", "order_by")
+
+
+def steps(history: DataFrame, by: list[str]) -> DataFrame:
+    """history (day, definition) with `was`: the definition of the stored day before where that is another one, and `step`."""
+    before = Window.partitionBy(*by).orderBy("day")
+    rows = history.withColumns({"__was": F.lag("definition").over(before), "__n": F.row_number().over(before)})
+    step = (F.col("__n") > 1) & ~F.col("definition").eqNullSafe(F.col("__was"))
+    return rows.withColumns({"step": step, "was": F.when(step, F.col("__was"))}).drop("__was", "__n")
+
+
+def newest_alerts(alerts: DataFrame, lines: int) -> DataFrame:
+    """By when, not by how alarming: newest day first, then cluster and rule."""
+    return alerts.orderBy(F.desc("day"), "cluster_id", "rule").limit(lines)
+
+
+def by_sha_prefix(rows: DataFrame, text: str, asked: DataFrame) -> DataFrame:
+    """The rows whose text's SHA-256 begins with one of the asked prefixes of twelve hex digits (column prefix)."""
+    own = rows.withColumn("prefix", F.left(F.sha2(F.coalesce(text, F.lit("")), 256), F.lit(12)))
+    return own.join(asked.select("prefix").distinct(), "prefix", "left_semi")
+
+
+def health(runs: DataFrame) -> DataFrame:
+    """(day, source, problem) of runs (day, source, status, snapshots): every source of the registry (all that ever ran) should run
+    on every night from the first to the last, finish ok in all its runs, and write something."""
+    per = runs.groupBy("day", "source").agg(F.bool_or(F.col("status") != "ok").alias("bad"), F.sum("snapshots").alias("written"))
+    ends = runs.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    nights = ends.select(F.explode(F.sequence("a", "b")).alias("day"))
+    expected = runs.select("source").distinct().crossJoin(F.broadcast(nights))  # nights are a calendar
+    problem = F.when(F.col("bad").isNull(), "did not run").when(F.col("bad"), "finished failed").when(F.coalesce("written", F.lit(0)) == 0, "no snapshots")
+    return expected.join(per, ["day", "source"], "left").select("day", "source", problem.alias("problem")).filter("problem is not null")

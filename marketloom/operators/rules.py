@@ -95,3 +95,16 @@ def verdict(rhos: DataFrame, units: int, least: float) -> DataFrame:
     out = rhos.filter("rho is not null").agg(F.count("*").alias("dates"), F.min("n").alias("units"), F.round(F.avg("rho"), 6).alias("mean_rho"))
     says = F.when(F.col("dates") == 0, "inconclusive").when(F.col("units") < units, "underpowered").when(F.col("mean_rho") >= least, "pass").otherwise("fail")
     return out.withColumn("verdict", says)
+
+
+def controlled_verdict(plain: DataFrame, held: DataFrame, units: int, rho: float) -> DataFrame:
+    """One row: dates, units, mean rho, mean rho with size held fixed, and the verdict. plain and held: (date, n, rho).
+
+    What passes must do so with size held fixed too: that big niches grow needs no score."""
+    known = plain.filter("rho is not null").agg(F.count("*").alias("dates"), F.min("n").alias("units"), F.round(F.avg("rho"), 6).alias("mean_rho"))
+    fixed = held.filter("rho is not null").agg(F.round(F.avg("rho"), 6).alias("held_rho"))
+    verdict = (
+        F.when(F.col("dates") == 0, "inconclusive").when(F.col("units") < units, "underpowered").when(F.col("mean_rho") < rho, "fail")
+        .when(F.coalesce(F.col("held_rho") >= rho, F.lit(False)), "pass").otherwise("fail: size")
+    )
+    return known.crossJoin(fixed).withColumn("verdict", verdict)  # one row each
