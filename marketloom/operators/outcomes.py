@@ -10,7 +10,8 @@ from .world import KEY, World
 
 
 def growth(members: DataFrame, readings: DataFrame, horizon: int, before: int, after: int) -> DataFrame:
-    """Per cluster and day: the median over members of ln(end / start), and how many contribute.
+    """Per cluster and day: the median over members of ln(end / start), how many contribute, and the mean lag: days of the end
+    readings after the first day that they might be of.
 
     start: the newest reading in [day - before, day]; end: the earliest in [day + horizon, day + horizon + after].
     readings: channel_id, observed_date, subs; of one date the larger counts; zero and NULL don't."""
@@ -19,10 +20,11 @@ def growth(members: DataFrame, readings: DataFrame, horizon: int, before: int, a
     gap = F.datediff("observed_date", "day")
     near = near.filter(gap.between(-before, 0) | gap.between(horizon, horizon + after)).withColumn("late", gap > 0)
     ends = near.groupBy(*KEY, "channel_id").agg(
-        F.max_by("subs", F.when(~F.col("late"), F.col("observed_date"))).alias("a"), F.min_by("subs", F.when(F.col("late"), F.col("observed_date"))).alias("b")
-    )
+        F.max_by("subs", F.when(~F.col("late"), F.col("observed_date"))).alias("a"), F.min_by("subs", F.when(F.col("late"), F.col("observed_date"))).alias("b"),
+        F.min(F.when(F.col("late"), F.datediff("observed_date", "day") - horizon)).alias("lag"),
+    )
     ends = ends.filter("a is not null and b is not null").withColumn("g", F.ln(F.col("b") / F.col("a")))
-    return ends.groupBy(*KEY).agg(F.round(F.median("g"), 6).alias("growth"), F.count("*").alias("contributing"))
+    return ends.groupBy(*KEY).agg(F.round(F.median("g"), 6).alias("growth"), F.count("*").alias("contributing"), F.round(F.avg("lag"), 6).alias("mean_lag"))
 
 
 def frozen_cohort(world: World) -> DataFrame:
@@ -33,6 +35,20 @@ def frozen_cohort(world: World) -> DataFrame:
     )
 
 
+def cohort_counts(world: World) -> DataFrame:
+    """Per cluster and day: channels of the cohort, and those absent from the frozen one as their median is zero."""
+    return world.cohort.groupBy(*KEY).agg(F.count("*").alias("cohort"), F.count_if(F.col("median_views") == 0).alias("zero_median"))
+
+
+def uploads_after(cohort: DataFrame, video: DataFrame, snapshot: DataFrame, upload_days: int, low: int, high: int) -> DataFrame:
+    """next_reach with the uploads that it is of: every channel with an upload in the days after, reach NULL and read 0 where
+    none was read in time."""
+    made = cohort.select(*KEY, "channel_id").join(video.filter("not is_short"), "channel_id")
+    made = made.filter("published > day and published <= date_add(day, {})".format(upload_days)).groupBy(*KEY, "channel_id").agg(F.count("*").alias("uploads"))
+    read = next_reach(cohort, video, snapshot, upload_days, low, high)
+    return made.join(read, [*KEY, "channel_id"], "left").withColumn("read", F.coalesce("read", F.lit(0)))
+
+
 def next_reach(cohort: DataFrame, video: DataFrame, snapshot: DataFrame, upload_days: int, low: int, high: int) -> DataFrame:
     """Mean ln(1 + views) of a channel's long-form uploads in the days after: each read at its smallest age in [low, high]."""
     made = cohort.select(*KEY, "channel_id").join(video.filter("not is_short"), "channel_id")
@@ -84,6 +100,16 @@ def channel_baseline(video: DataFrame, views: DataFrame, low: int, high: int) ->
     return out.withColumn("interval", F.round(F.try_divide("span", F.nullif(F.col("n") - 1, F.lit(0))), 6)).drop("span")
 
 
+def channel_profile(video: DataFrame, views: DataFrame, channel: DataFrame, low: int, high: int, times: int) -> DataFrame:
+    """channel_baseline with median views per subscriber and breakthroughs: videos of `times` the channel's median or more."""
+    base = channel_baseline(video, views, low, high)
+    own = video.filter("not is_short").join(views, "video_id").filter(F.datediff("day", "published").between(low, high)).select("channel_id", "day", "views")
+    hits = own.join(base.select("channel_id", "day", "median_views"), ["channel_id", "day"])
+    hits = hits.groupBy("channel_id", "day").agg(F.count_if((F.col("median_views") > 0) & (F.col("views") >= times * F.col("median_views"))).alias("breakthroughs"))
+    out = base.join(hits, ["channel_id", "day"]).join(channel.select("channel_id", "subs"), "channel_id", "left")
+    return out.withColumn("per_sub", F.round(F.try_divide("median_views", F.nullif("subs", F.lit(0))), 6)).drop("subs")
+
+
 def missing_days(days: DataFrame) -> DataFrame:
     """Days between the first and the last of `day` that aren't there."""
     ends = days.agg(F.min("day").alias("a"), F.max("day").alias("b"))

@@ -77,3 +77,13 @@ def calibration(scored: DataFrame) -> DataFrame:
         F.count_if(F.col("value").isNull()).alias("unscorable"), F.round(F.avg("label"), 6).alias("base_rate"),
     )
     return out.withColumns({"precision": F.round(F.try_divide("tp", F.col("tp") + F.col("fp")), 6), "recall": F.round(F.try_divide("tp", F.col("tp") + F.col("fn")), 6)})
+
+
+def bands(labelled: DataFrame, edges: list[float], z: float = 1.96) -> DataFrame:
+    """Per band of the score (the edges below or at it, counted; NULL: not scored): labels, share of ones, and the lower end of
+    the Wilson interval of that share."""
+    band = F.when(F.col("value").isNotNull(), sum((F.col("value") >= e).cast("int") for e in edges))
+    per = labelled.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.avg(F.col("label").cast("double")).alias("share"))
+    n, p = F.col("n"), F.col("share")
+    low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return per.select("band", "n", F.round("share", 6).alias("share"), F.round(low, 6).alias("wilson_low"))

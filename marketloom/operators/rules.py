@@ -108,3 +108,12 @@ def controlled_verdict(plain: DataFrame, held: DataFrame, units: int, rho: float
         .when(F.coalesce(F.col("held_rho") >= rho, F.lit(False)), "pass").otherwise("fail: size")
     )
     return known.crossJoin(fixed).withColumn("verdict", verdict)  # one row each
+
+
+def clusters_by_seed(seeds: DataFrame, niche_videos: DataFrame, day: str) -> DataFrame:
+    """Of every seed's cluster (cluster_id, seed_active): active while its seed is and a video is on the niche, retired on the day
+    otherwise; one that has both again is active again, as nothing of an earlier state is read."""
+    live = niche_videos.select("cluster_id", F.lit(True).alias("live")).distinct()
+    active = F.coalesce(F.col("seed_active"), F.lit(False)) & F.coalesce(F.col("live"), F.lit(False))
+    out = seeds.join(live, "cluster_id", "left")
+    return out.select("cluster_id", "seed_active", active.alias("active"), F.when(~active, F.lit(day).cast("date")).alias("retired_on"))

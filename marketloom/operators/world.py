@@ -289,9 +289,9 @@ class World:
     def cohort(self) -> DataFrame:
         """Small channels found by date that have enough eligible videos."""
         small = self.calendar.on(self.eligible_spans.filter((F.col("subs") > 0) & (F.col("subs") <= self.small_subs)))
-        enough = small.groupBy(*KEY, "channel_id", "subs").agg(F.count("*").alias("videos"), F.median("views").alias("median_views"), F.max("views").alias("max_views"))
+        enough = small.groupBy(*KEY, "channel_id", "subs").agg(F.count("*").alias("videos"), F.median("views").alias("median_views"), F.max("views").alias("max_views"), F.median(F.datediff("day", "published")).alias("median_age"))
         found = self.video_spans.filter("by_date").groupBy(*CHANNEL).agg(F.min("start").alias("found"))
-        return enough.filter(F.col("videos") >= self.cohort_videos).join(found, CHANNEL).filter("found <= day").select(*KEY, "channel_id", "subs", "videos", "median_views", "max_views")
+        return enough.filter(F.col("videos") >= self.cohort_videos).join(found, CHANNEL).filter("found <= day").select(*KEY, "channel_id", "subs", "videos", "median_views", "max_views", "median_age")
 
     @cached_property
     def top(self) -> DataFrame:

@@ -112,7 +112,7 @@ _population("POP_12", lambda w: w.views, "select * from va")
 _population("POP_13", lambda w: w.eligible.select(*KEY, "video_id", "views"), "select cluster_id, day, video_id, views from elig")
 _population("POP_14", lambda w: w.eligible_niche.select(*KEY, "video_id", "views"), "select cluster_id, day, video_id, views from en")
 _population("POP_16", lambda w: w.date_discovered, "select distinct cluster_id, day, channel_id from mv where by_date")
-_population("POP_17", lambda w: w.cohort, "select cluster_id, day, channel_id, subs, videos, median_views, max_views from cohort")
+_population("POP_17", lambda w: w.cohort.drop("median_age"), "select cluster_id, day, channel_id, subs, videos, median_views, max_views from cohort")
 _population("POP_20", lambda w: w.top.select(*KEY, "video_id", "views", "place"), "select cluster_id, day, video_id, views, place from top")
 
 CHANNEL_SNAP = """msnap as (select channel_id, last_day(published) as observed_date, count(*) as n from video group by all),

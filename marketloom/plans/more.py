@@ -159,7 +159,7 @@ n as (select m.cluster_id, m.day, m.channel_id, r.observed_date, r.subs, r.obser
 e as (select cluster_id, day, channel_id, max_by(subs, observed_date) filter (not late) as a, min_by(subs, observed_date) filter (late) as b from n group by all)
 select cluster_id, day, round(median(ln(b / a::double)), 6) as growth, count(*) as contributing from e where a is not null and b is not null group by all""")
 def growth(spark, sf_dir):
-    return outcomes.growth(world(spark, sf_dir).members, star.channel_snapshots(spark, sf_dir), 180, 60, 90)
+    return outcomes.growth(world(spark, sf_dir).members, star.channel_snapshots(spark, sf_dir), 180, 60, 90).drop("mean_lag")
 
 
 @query("PRO_01", f"{PRE} x as (select 1) select cluster_id, day, channel_id, round(ln(max_views / median_views), 6) as spike, round(median_views / subs, 6) as per_sub, round(ln(median_views), 6) as ln_median, round(ln(subs), 6) as ln_subs, videos from cohort where median_views > 0")

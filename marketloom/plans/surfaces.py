@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, reads, rules, stats
+from ..operators import metrics, outcomes, reads, relevance, rules, stats
 from ..operators.world import KEY
 from ..sources import star
 from .daily import _on_replay
 from .further import _ALERTS, _alerts
-from .market import ORACLES, PRE, REPLAY, panel, query, world
+from .market import BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, panel, query, world
+from .more import _SCORES, _relevance
 
 _FOUND = """disc as (select o_orderkey as video_id, o_orderpriority as query, case when o_orderstatus = 'F' then 'date' else 'viewCount' end as order_by, o_orderdate::date + (o_orderkey % 90)::int as found from orders where o_orderkey % 3 = 0
 union all select o_orderkey, 'all', 'date', o_orderdate::date + 30 from orders where o_orderkey % 4 = 0),"""
@@ -80,3 +81,71 @@ select *, case when dates = 0 then 'inconclusive' when units < 20 then 'underpow
 def controlled_verdict(spark, sf_dir):
     rows = panel(spark, sf_dir)
     return rules.controlled_verdict(stats.spearman(rows, ["date"]), stats.partial_spearman(rows, ["date"]), 20, 0.2)
+
+
+# counts beside the values of other queries
+
+
+@query("BTE_05_lag", ORACLES["BTE_05"].replace("min_by(subs, observed_date) filter (late) as b from", "min_by(subs, observed_date) filter (late) as b, min(observed_date) filter (late) as ended from")
+       .replace("count(*) as contributing from e", "count(*) as contributing, round(avg(ended - day - 180), 6) as mean_lag from e"))
+def growth_with_lag(spark, sf_dir):
+    return outcomes.growth(world(spark, sf_dir).members, star.channel_snapshots(spark, sf_dir), 180, 60, 90)
+
+
+@query("PRO_01_counts", f"{PRE} x as (select 1) select cluster_id, day, count(*) as cohort, count(*) filter (median_views = 0) as zero_median from cohort group by all")
+def cohort_counts(spark, sf_dir):
+    return outcomes.cohort_counts(world(spark, sf_dir))
+
+
+@query("PRO_01_age", f"""{PRE} a as (select cluster_id, day, channel_id, median(day - published)::double as median_age from elig group by all)
+select cluster_id, day, channel_id, videos, median_age from cohort join a using (cluster_id, day, channel_id)""")
+def cohort_age(spark, sf_dir):
+    return world(spark, sf_dir).cohort.select(*KEY, "channel_id", "videos", "median_age")
+
+
+@query("PRO_03_counts", f"""with r as ({ORACLES['PRO_03']}), u as ({PRE} x as (select 1) select m.cluster_id, m.day, m.channel_id, count(*) as uploads from members m join video v using (channel_id)
+  where not v.is_short and v.published > m.day and v.published <= m.day + 120 group by all)
+select u.*, r.reach, coalesce(r.read, 0) as read from u left join r using (cluster_id, day, channel_id)""")
+def reach_counts(spark, sf_dir):
+    w = world(spark, sf_dir)
+    return outcomes.uploads_after(w.members, w.video, w.snapshot, 120, 1, 400)
+
+
+@query("LEG_01_profile", f"""with b as ({ORACLES['LEG_01']}), o as ({PRE} x as (select 1) select v.channel_id, a.day, a.views from video v join va a using (video_id) where not is_short and date_diff('day', v.published, a.day) between 30 and 720),
+h as (select o.channel_id, o.day, count(*) filter (b.median_views > 0 and o.views >= 5 * b.median_views) as breakthroughs from o join b using (channel_id, day) group by all),
+c as (with {BASE} x as (select 1) select channel_id, subs from channel)
+select b.*, breakthroughs, round(median_views / nullif(subs, 0)::double, 6) as per_sub from b join h using (channel_id, day) left join c using (channel_id)""")
+def profile(spark, sf_dir):
+    w = world(spark, sf_dir)
+    return outcomes.channel_profile(w.video, w.views, w.channel, 30, 720, 5)
+
+
+_EDGES = [0.01, 0.3, 0.55]
+
+
+@query("CAL_01_bands", f"""{_SCORES}, b as (select l.quality as label, r.relevance as value from labels l left join r on r.item_id = l.doc_id and r.slug = 'en'),
+g as (select case when value is not null then {" + ".join(f"(value >= {e})::int" for e in _EDGES)} end as band, count(*) as n, avg(label)::double as p from b group by 1)
+select band, n, round(p, 6) as share, round((p + 3.8416::double / (2 * n) - 1.96::double * sqrt(p * (1 - p) / n + 3.8416::double / (4 * n * n))) / (1 + 3.8416::double / n), 6) as wilson_low from g""")
+def calibration_bands(spark, sf_dir):
+    mine = _relevance(spark, sf_dir).filter("slug = 'en'").select(F.col("item_id").alias("doc_id"), F.col("relevance").alias("value"))
+    labels = star.read(spark, sf_dir, "labels").join(mine, "doc_id", "left")
+    return relevance.bands(labels.select("value", F.col("quality").alias("label")), _EDGES)
+
+
+@query("MTR_04_channels", f"""with {BASE} {CHANNEL_SNAP} p as (select c.channel_id, exists (select 1 from csnap r where r.channel_id = c.channel_id and r.observed_date >= date '{DAYS[0]}') as held from channel c where subs between 1 and 10000 and first_seen <= date '{DAYS[0]}')
+select count(*) as population, count(*) filter (held) as held, round(count(*) filter (held) / nullif(count(*), 0)::double, 6) as share, count(*) >= 50 and count(*) filter (held) < 0.9 * count(*) as warn from p""")
+def channel_coverage(spark, sf_dir):
+    """Of small channels that were known by the day, those with a reading since."""
+    day = F.lit(DAYS[0]).cast("date")
+    due = star.channels(spark, sf_dir).filter(F.col("subs").between(1, 10_000) & (F.col("first_seen") <= day)).select("channel_id")
+    held = star.channel_snapshots(spark, sf_dir).filter(F.col("observed_date") >= day).select("channel_id", F.lit(True).alias("held")).distinct()
+    return reads.coverage(due.join(held, "channel_id", "left"), 50, 0.9)
+
+
+@query("POP_04_seeds", f"""with {BASE} s as (select cluster_id, sum(channel_id) % 3 <> 0 as seed_active from channel group by 1), n as (select distinct cluster_id, true as live from video join channel using (channel_id) where relevance >= 0.55)
+select cluster_id, seed_active, seed_active and coalesce(live, false) as active, case when not (seed_active and coalesce(live, false)) then date '{DAYS[1]}' end as retired_on from s left join n using (cluster_id)""")
+def clusters_by_seed(spark, sf_dir):
+    channel = star.channels(spark, sf_dir)
+    seeds = channel.groupBy("cluster_id").agg((F.sum("channel_id") % 3 != 0).alias("seed_active"))
+    on = star.videos(spark, sf_dir).filter("relevance >= 0.55").join(channel.select("channel_id", "cluster_id"), "channel_id")
+    return rules.clusters_by_seed(seeds, on, DAYS[1])
