@@ -110,11 +110,11 @@ def channel_profile(video: DataFrame, views: DataFrame, channel: DataFrame, low:
     return out.withColumn("per_sub", F.round(F.try_divide("median_views", F.nullif("subs", F.lit(0))), 6)).drop("subs")
 
 
-def missing_days(days: DataFrame) -> DataFrame:
-    """Days between the first and the last of `day` that aren't there."""
-    ends = days.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    span = ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("day"))
-    return span.join(days.distinct(), "day", "left_anti")
+def missing_days(days: DataFrame, *by: str) -> DataFrame:
+    """Days between the first and the last of `day`, within `by`, that aren't there."""
+    ends = days.groupBy(*by).agg(F.min("day").alias("a"), F.max("day").alias("b")).filter("a is not null")
+    span = ends.select(*by, F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("day"))
+    return span.join(days.distinct(), [*by, "day"], "left_anti")
 
 
 def ok_streaks(days: DataFrame) -> DataFrame:

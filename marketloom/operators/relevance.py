@@ -68,22 +68,22 @@ def best(relevances: DataFrame) -> DataFrame:
     return relevances.withColumn("k", F.row_number().over(order)).filter("k = 1").drop("k")
 
 
-def calibration(scored: DataFrame) -> DataFrame:
-    """Per half (sha256 of the id modulo 2): tp, fp, fn, precision, recall, base_rate, unscorable. scored: id, value, label."""
+def calibration(scored: DataFrame, *by: str) -> DataFrame:
+    """Per half (sha256 of the id modulo 2) and columns `by`: tp, fp, fn, precision, recall, base_rate, unscorable. scored: id, value, label."""
     half = F.conv(F.substring(F.sha2(F.col("id").cast("string"), 256), 64, 1), 16, 10).cast("int") % 2
     hit, yes = F.col("value") >= 0.55, F.col("label") == 1
-    out = scored.groupBy(half.alias("half")).agg(
+    out = scored.groupBy(*by, half.alias("half")).agg(
         F.count("*").alias("n"), F.count_if(hit & yes).alias("tp"), F.count_if(hit & ~yes).alias("fp"), F.count_if(yes & ~F.coalesce(hit, F.lit(False))).alias("fn"),
         F.count_if(F.col("value").isNull()).alias("unscorable"), F.round(F.avg("label"), 6).alias("base_rate"),
     )
     return out.withColumns({"precision": F.round(F.try_divide("tp", F.col("tp") + F.col("fp")), 6), "recall": F.round(F.try_divide("tp", F.col("tp") + F.col("fn")), 6)})
 
 
-def bands(labelled: DataFrame, edges: list[float], z: float = 1.96) -> DataFrame:
-    """Per band of the score (the edges below or at it, counted; NULL: not scored): labels, share of ones, and the lower end of
+def bands(labelled: DataFrame, edges: list[float], *by: str, z: float = 1.96) -> DataFrame:
+    """Per band of the score and columns `by` (the edges below or at it, counted; NULL: not scored): labels, share of ones, and the lower end of
     the Wilson interval of that share."""
     band = F.when(F.col("value").isNotNull(), sum((F.col("value") >= e).cast("int") for e in edges))
-    per = labelled.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.avg(F.col("label").cast("double")).alias("share"))
+    per = labelled.groupBy(*by, band.alias("band")).agg(F.count("*").alias("n"), F.avg(F.col("label").cast("double")).alias("share"))
     n, p = F.col("n"), F.col("share")
     low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    return per.select("band", "n", F.round("share", 6).alias("share"), F.round(low, 6).alias("wilson_low"))
+    return per.select(*by, "band", "n", F.round("share", 6).alias("share"), F.round(low, 6).alias("wilson_low"))

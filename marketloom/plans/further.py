@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, outcomes, prototypes, rules, scoring, stats, tables
+from ..operators import metrics, outcomes, prototypes, relevance, rules, scoring, stats, tables
 from ..operators.world import KEY
 from ..sources import star
 from .market import _BREAK, _CORR, _DEMAND, _PANEL, _RANK, _REPLAY, BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, _breakouts, _ranks, _rows, panel, query, world
-from .more import _LEX, _SCORES, _SING, _TOK, LEXICON, _items, _relevance, _weights
+from .more import _SCORES, _SING, _TOK, LEXICON, _items, _relevance, _weights
 
 # relevance
 
 
-@query("REL_01", f"with {_LEX} select slug, axis, term, weight from lex")
+@query("REL_01", """with t as (select distinct p_brand as slug, 'domain' as axis, lower(p_name || ' ' || p_size) as term from part), k as (select axis, term, count(distinct slug) as k from t group by all)
+select slug, axis, term, case when k = (select count(distinct slug) from t) then 0.0::double else 1.0::double / k end as weight from t join k using (axis, term)""")
 def weights(spark, sf_dir):
-    return _weights(spark)
+    """A brand's lexicon are the names and sizes of its parts."""
+    terms = star.read(spark, sf_dir, "part").select(F.col("p_brand").alias("slug"), F.lit("domain").alias("axis"), F.concat_ws(" ", "p_name", "p_size").alias("term"))
+    return relevance.lexicon_weights(terms)
 
 
 @query("REL_02", f"select doc_id, unnest(list_distinct({_TOK.format(c='text')})) as word from documents")
@@ -366,12 +369,12 @@ def pool_sample(spark, sf_dir):
     return outcomes.sample(star.read(spark, sf_dir, "part").select("p_type", "p_partkey"), "p_type", "p_partkey", 3, 11)
 
 
-@query("LEG_08", f"""with a as (select distinct p_name as title, unnest({_TOK.format(c='p_name')}) as word from part where p_size > 25),
-b as (select distinct p_type as niche, unnest({_TOK.format(c='p_name')}) as word from part where p_size < 5) select niche, title, count(distinct word) as shared from a join b using (word) group by all""")
+@query("LEG_08", f"""with a as (select distinct p_name as title, unnest({_TOK.format(c='p_name')}) as word from part where p_size >= 15),
+b as (select distinct p_type as niche, unnest({_TOK.format(c='p_name')}) as word from part where p_size < 15) select niche, title, count(distinct word) as shared from a join b using (word) group by all""")
 def trending(spark, sf_dir):
     part = star.read(spark, sf_dir, "part")
-    titles = part.filter("p_size > 25").select(F.col("p_name").alias("title")).distinct()
-    return prototypes.trending_matches(titles, part.filter("p_size < 5").select(F.col("p_type").alias("niche"), F.col("p_name").alias("term")).distinct())
+    titles = part.filter("p_size >= 15").select(F.col("p_name").alias("title")).distinct()
+    return prototypes.trending_matches(titles, part.filter("p_size < 15").select(F.col("p_type").alias("niche"), F.col("p_name").alias("term")).distinct())
 
 
 def _stream(spark, sf_dir, name):

@@ -79,14 +79,20 @@ def corpus_scan(spark, sf_dir):
     return base.join(hits, ["source", "slug"], "left").na.fill(0, ["scorable", "on_niche"])
 
 
-@query("CAL_01", f"""{_SCORES}, b as (select l.doc_id, l.quality as label, r.relevance as value from labels l left join r on r.item_id = l.doc_id and r.slug = 'en'),
-c as (select ((instr('0123456789abcdef', right(sha256(doc_id::varchar), 1)) - 1) % 2)::int as half, count(*) as n, count(*) filter (value >= 0.55 and label = 1) as tp,
-  count(*) filter (value >= 0.55 and label <> 1) as fp, count(*) filter (label = 1 and not coalesce(value >= 0.55, false)) as fn, count(*) filter (value is null) as unscorable, round(avg(label), 6) as base_rate from b group by 1)
+def scored_labels(spark, sf_dir):
+    """Every label beside the score of its text by each lexicon, NULL where it has none."""
+    mine = _relevance(spark, sf_dir).select("slug", F.col("item_id").alias("doc_id"), F.col("relevance").alias("value"))
+    slugs = _weights(spark).select("slug").distinct()  # a few lexicons
+    labels = star.read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).crossJoin(F.broadcast(slugs))
+    return labels.join(mine, ["slug", "doc_id"], "left")
+
+
+@query("CAL_01", f"""{_SCORES}, g as (select distinct slug from lex), b as (select g.slug, l.doc_id, l.quality as label, r.relevance as value from labels l cross join g left join r on r.item_id = l.doc_id and r.slug = g.slug),
+c as (select slug, ((instr('0123456789abcdef', right(sha256(doc_id::varchar), 1)) - 1) % 2)::int as half, count(*) as n, count(*) filter (value >= 0.55 and label = 1) as tp,
+  count(*) filter (value >= 0.55 and label <> 1) as fp, count(*) filter (label = 1 and not coalesce(value >= 0.55, false)) as fn, count(*) filter (value is null) as unscorable, round(avg(label), 6) as base_rate from b group by 1, 2)
 select *, round(tp / nullif(tp + fp, 0)::double, 6) as precision, round(tp / nullif(tp + fn, 0)::double, 6) as recall from c""")
 def calibration(spark, sf_dir):
-    mine = _relevance(spark, sf_dir).filter("slug = 'en'").select(F.col("item_id").alias("doc_id"), F.col("relevance").alias("value"))
-    labels = star.read(spark, sf_dir, "labels").join(mine, "doc_id", "left")
-    return relevance.calibration(labels.select(F.col("doc_id").alias("id"), "value", F.col("quality").alias("label")))
+    return relevance.calibration(scored_labels(spark, sf_dir).withColumnRenamed("doc_id", "id"), "slug")
 
 
 @query("SAM_01", """select doc_id, source, nth from (select doc_id, source, row_number() over (partition by source order by md5('5:' || doc_id), doc_id) as nth from documents) where nth <= 5""")
@@ -206,9 +212,9 @@ def feed_breakthroughs(spark, sf_dir):
 # monitoring and reads
 
 
-@query("MTR_02", f"with {BASE} d as (select distinct observed_date as day from series where term = '1-URGENT') select unnest(generate_series(min(day)::timestamp, max(day)::timestamp, interval 1 day))::date as day from d except select day from d")
+@query("MTR_02", f"with {BASE} d as (select distinct term, observed_date as day from series) select term, unnest(generate_series(min(day)::timestamp, max(day)::timestamp, interval 1 day))::date as day from d group by term except select term, day from d")
 def missing(spark, sf_dir):
-    return outcomes.missing_days(star.demand_snapshots(spark, sf_dir).filter("term = '1-URGENT'").select(F.col("observed_date").alias("day")))
+    return outcomes.missing_days(star.demand_snapshots(spark, sf_dir).select("term", F.col("observed_date").alias("day")), "term")
 
 
 @query("MTR_07", f"""with {BASE} d as (select observed_date as day, min(value) >= 1 and count(*) = 5 as ok from series group by 1),

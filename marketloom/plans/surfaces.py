@@ -10,7 +10,7 @@ from ..sources import star
 from .daily import _on_replay
 from .further import _ALERTS, _alerts
 from .market import BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, panel, query, world
-from .more import _SCORES, _relevance
+from .more import _SCORES, scored_labels
 
 _FOUND = """disc as (select o_orderkey as video_id, o_orderpriority as query, case when o_orderstatus = 'F' then 'date' else 'viewCount' end as order_by, o_orderdate::date + (o_orderkey % 90)::int as found from orders where o_orderkey % 3 = 0
 union all select o_orderkey, 'all', 'date', o_orderdate::date + 30 from orders where o_orderkey % 4 = 0),"""
@@ -123,13 +123,11 @@ def profile(spark, sf_dir):
 _EDGES = [0.01, 0.3, 0.55]
 
 
-@query("CAL_01_bands", f"""{_SCORES}, b as (select l.quality as label, r.relevance as value from labels l left join r on r.item_id = l.doc_id and r.slug = 'en'),
-g as (select case when value is not null then {" + ".join(f"(value >= {e})::int" for e in _EDGES)} end as band, count(*) as n, avg(label)::double as p from b group by 1)
-select band, n, round(p, 6) as share, round((p + 3.8416::double / (2 * n) - 1.96::double * sqrt(p * (1 - p) / n + 3.8416::double / (4 * n * n))) / (1 + 3.8416::double / n), 6) as wilson_low from g""")
+@query("CAL_01_bands", f"""{_SCORES}, l as (select distinct slug from lex), b as (select l.slug, t.quality as label, r.relevance as value from labels t cross join l left join r on r.item_id = t.doc_id and r.slug = l.slug),
+g as (select slug, case when value is not null then {" + ".join(f"(value >= {e})::int" for e in _EDGES)} end as band, count(*) as n, avg(label)::double as p from b group by 1, 2)
+select slug, band, n, round(p, 6) as share, round((p + 3.8416::double / (2 * n) - 1.96::double * sqrt(p * (1 - p) / n + 3.8416::double / (4 * n * n))) / (1 + 3.8416::double / n), 6) as wilson_low from g""")
 def calibration_bands(spark, sf_dir):
-    mine = _relevance(spark, sf_dir).filter("slug = 'en'").select(F.col("item_id").alias("doc_id"), F.col("relevance").alias("value"))
-    labels = star.read(spark, sf_dir, "labels").join(mine, "doc_id", "left")
-    return relevance.bands(labels.select("value", F.col("quality").alias("label")), _EDGES)
+    return relevance.bands(scored_labels(spark, sf_dir), _EDGES, "slug")
 
 
 @query("MTR_04_channels", f"""with {BASE} {CHANNEL_SNAP} p as (select c.channel_id, exists (select 1 from csnap r where r.channel_id = c.channel_id and r.observed_date >= date '{DAYS[0]}') as held from channel c where subs between 1 and 10000 and first_seen <= date '{DAYS[0]}')
