@@ -117,3 +117,36 @@ def clusters_by_seed(seeds: DataFrame, niche_videos: DataFrame, day: str) -> Dat
     active = F.coalesce(F.col("seed_active"), F.lit(False)) & F.coalesce(F.col("live"), F.lit(False))
     out = seeds.join(live, "cluster_id", "left")
     return out.select("cluster_id", "seed_active", active.alias("active"), F.when(~active, F.lit(day).cast("date")).alias("retired_on"))
+
+
+def by_definition(counts: dict[str, DataFrame], switch: str) -> DataFrame:
+    """(cluster_id, day, ..., definition): each day's row under the definition that held: "members" before the switch, "ballast" from
+    it on."""
+    parts = {"members": F.col("day") < F.lit(switch).cast("date"), "ballast": F.col("day") >= F.lit(switch).cast("date")}
+    old, new = (counts[name].filter(when).withColumn("definition", F.lit(name)) for name, when in parts.items())
+    return old.unionByName(new)
+
+
+def drift_within(counts: DataFrame, step: float, ramp: float, days: int, least: int) -> DataFrame:
+    """counts (cluster_id, day, members, ballast, definition), ballast NULL where the row lacks its stamp: `drift` since the stored day
+    before, `ramp` over the last `days` stored ones if there are `least`, both among days of one definition only, and `dropped`:
+    the stamp is missing though the day before had it."""
+    order = Window.partitionBy("cluster_id", "definition").orderBy("day")
+    last = order.rowsBetween(-(days - 1), 0)
+    before = F.lag("ballast").over(Window.partitionBy("cluster_id").orderBy("day"))
+    rows = counts.withColumns({"was": F.lag("ballast").over(order), "first": F.first("ballast").over(last), "held": F.count("*").over(last), "prior": before})
+    far = lambda c, share: F.coalesce(F.abs(F.col("ballast") - F.col(c)) > share * F.col("members"), F.lit(False))
+    return rows.select(
+        "cluster_id", "day", "definition", far("was", step).alias("drift"), ((F.col("held") >= least) & far("first", ramp)).alias("ramp"),
+        (F.col("ballast").isNull() & F.col("prior").isNotNull()).alias("dropped"),
+    )
+
+
+def conditions(parts: dict[str, DataFrame]) -> DataFrame:
+    """(condition, fires) from frames of one boolean column and one row each."""
+    out = None
+    for name, one in parts.items():
+        row = one.select(F.lit(name).alias("condition"), F.coalesce(F.col(one.columns[0]), F.lit(False)).alias("fires"))
+        out = row if out is None else out.unionByName(row)
+    return out
+

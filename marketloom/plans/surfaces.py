@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, outcomes, reads, relevance, rules, stats
+from ..operators import gates, metrics, outcomes, reads, relevance, rules, stats
 from ..operators.world import KEY
 from ..sources import star
-from .daily import _on_replay
-from .further import _ALERTS, _alerts
+from .daily import _CARDS, _FEATURES, _GATE, _HELD, _WHY, _on_replay, cited_cards, features, gate
+from .further import _ALERTS, _COUNTS, _alerts
 from .market import BASE, CHANNEL_SNAP, DAYS, ORACLES, PRE, REPLAY, panel, query, world
 from .more import _SCORES, scored_labels
 
@@ -147,3 +147,57 @@ def clusters_by_seed(spark, sf_dir):
     seeds = channel.groupBy("cluster_id").agg((F.sum("channel_id") % 3 != 0).alias("seed_active"))
     on = star.videos(spark, sf_dir).filter("relevance >= 0.55").join(channel.select("channel_id", "cluster_id"), "channel_id")
     return rules.clusters_by_seed(seeds, on, DAYS[1])
+
+
+# definitions, conditions and the gated view
+
+
+@query("POP_07_switch", f"""{_on_replay(PRE)} x as (select 1) select cluster_id, day, count(*) as channels, 'members' as definition from members where day < date '{_SWITCH}' group by all
+union all select cluster_id, day, count(*), 'ballast' from mc where day >= date '{_SWITCH}' group by all""")
+def members_by_definition(spark, sf_dir):
+    """Members of a cluster as each day defined them."""
+    counts = {name: world(spark, sf_dir, REPLAY, name).channel_counts().withColumnRenamed("total", "channels") for name in ("members", "ballast")}
+    return rules.by_definition(counts, _SWITCH)
+
+
+@query("MTR_05_definitions", f"""{_COUNTS}, k as (select cluster_id, day, members, case when month(day) <> 5 then ballast end as ballast, case when day < date '{_SWITCH}' then 'members' else 'ballast' end as definition from c),
+l as (select *, lag(ballast) over o as was, first(ballast) over w as first, count(*) over w as held, lag(ballast) over (partition by cluster_id order by day) as prior
+  from k window o as (partition by cluster_id, definition order by day), w as (partition by cluster_id, definition order by day rows between 6 preceding and current row))
+select cluster_id, day, definition, coalesce(abs(ballast - was) > 0.01 * members, false) as drift, held >= 3 and coalesce(abs(ballast - first) > 0.02 * members, false) as ramp,
+  ballast is null and prior is not null as dropped from l""")
+def drift_by_definition(spark, sf_dir):
+    """Counts of May lack their stamp."""
+    counts = rules.ballast_counts(world(spark, sf_dir, REPLAY))
+    stamped = counts.withColumn("ballast", F.when(F.month("day") != 5, F.col("ballast")))
+    named = stamped.withColumn("definition", F.when(F.col("day") < F.lit(_SWITCH).cast("date"), "members").otherwise("ballast"))
+    return rules.drift_within(named, 0.01, 0.02, 7, 3)
+
+
+_TIER = ["1", "2"]
+
+
+@query("MTR_09_all", f"""with {BASE} o as (select avg((date '{DAYS[1]}' - published > 365)::int) >= 0.2 as f from video where relevance >= 0.55), k as (select avg((is_short is not null)::int) >= 0.8 as f from video),
+t as (select bool_or(right(p_brand, 1) in ('1', '2')) and bool_or(right(p_brand, 1) not in ('1', '2')) as f from part), c as (select count(gap) > 0 as f from ({_CARDS}))
+select 'older than a year' as condition, coalesce(f, false) as fires from o union all select 'known format', coalesce(f, false) from k union all select 'both tiers', coalesce(f, false) from t union all select 'cited score', coalesce(f, false) from (select f and false as f from c)""")
+def data_conditions(spark, sf_dir):
+    """Four conditions that reopen deferred work; the last holds once a card shows a score, which the gate does not let it."""
+    video = star.videos(spark, sf_dir)
+    share = lambda df, c, least: df.agg((F.avg(c.cast("int")) >= least).alias("f"))
+    first = F.substring("p_brand", -1, 1).isin(_TIER)
+    return rules.conditions({
+        "older than a year": share(video.filter("relevance >= 0.55"), F.datediff(F.lit(DAYS[1]).cast("date"), "published") > 365, 0.2),
+        "known format": share(video, F.col("is_short").isNotNull(), 0.8),
+        "both tiers": star.read(spark, sf_dir, "part").agg((F.bool_or(first) & F.bool_or(~first)).alias("f")),
+        "cited score": cited_cards(spark, sf_dir).agg((F.count("gap") > 0).alias("f")),
+    })
+
+
+@query("QRY_10_gated", f"""with {_GATE} f as ({_FEATURES}), c as ({_CARDS}) select f.cluster_id, f.day, f.metric_group, f.name, case when not ({_HELD.format(n='f.name')}) then f.value end as value, f.confidence, f.inputs_n,
+  case when {_HELD.format(n='f.name')} then {_WHY} else f.reason end as reason, not ({_HELD.format(n='f.name')}) as cited, null::double as gap, null::varchar as stage, c.momentum, '{gates.CARD_REASON}' as card_reason
+from f join c using (cluster_id, day) left join gate using (cluster_id) where f.day = date '{DAYS[1]}'""")
+def gated_view(spark, sf_dir):
+    """The newest metrics of every cluster with its card, both behind the gate."""
+    shown = gates.metrics(features(spark, sf_dir, DAYS[1:]), gate(spark, sf_dir))
+    card = cited_cards(spark, sf_dir).select(*KEY, "gap", "stage", "momentum", F.col("reason").alias("card_reason"))
+    return shown.join(card, KEY)
+
