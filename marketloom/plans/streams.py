@@ -44,14 +44,15 @@ def velocities(spark, sf_dir):
 b as (select * from r union all select video_id, observed_date, source, t + interval 1 hour, views + 1 from r)
 select video_id, observed_date, source, arg_min(views, {'t': t, 'views': views}) as views from b group by all""")
 def daily_first_writes(spark, sf_dir):
-    """Every reading comes, and comes again an hour later with another number."""
+    """Every reading comes, and comes again an hour later with another number. The store is cut by month, as a day has few rows."""
     at = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(hours=(F.col("l_partkey") % 24).cast("int"))
     first = _stream(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("video_id"), F.to_date("l_shipdate").alias("observed_date"), F.col("l_linenumber").alias("source"), at.alias("at"), F.floor("l_extendedprice").alias("views")
-    )
+        F.col("l_orderkey").alias("video_id"), F.to_date("l_shipdate").alias("observed_date"), F.col("l_linenumber").alias("source"), at.alias("at"), F.floor("l_extendedprice").alias("views"),
+        F.trunc(F.to_date("l_shipdate"), "month").alias("month"),
+    )
     again = first.withColumns({"at": F.col("at") + F.expr("interval 1 hour"), "views": F.col("views") + 1})
     key = ["video_id", "observed_date", "source"]
-    return jobs.run(spark, jobs.daily_first_writes, first.unionByName(again), key, "observed_date", "at", "3650 days").select(*key, "views")
+    return jobs.run(spark, jobs.daily_first_writes, first.unionByName(again), [*key, "month"], "month", "at", "3650 days").select(*key, "views")
 
 
 @query("STR_07", ORACLES["REL_06"])
