@@ -18,13 +18,16 @@ def _plain(text: str) -> Column:
 def term_matches(items: DataFrame, terms: DataFrame) -> DataFrame:
     """(item_id, term): single words by singular form among an item's words, phrases as whole words in a row; each once.
 
-    items: item_id, text; terms: term, a list of curated words. A phrase is looked for only where its first word occurs."""
-    plain = items.select("item_id", _plain("text").alias("plain"))
+    items: item_id, text; terms: term, a list of curated words, which is broadcast. A phrase is looked for only where its first
+    word occurs. No text is shuffled, and it is repeated only for the first words that it has."""
+    first = F.split_part("term", F.lit(" "), F.lit(1))
     kind = F.instr("term", " ") > 0
     words = terms.filter(~kind).select("term", singular(F.col("term")).alias("word"))
-    single = items.select("item_id", F.explode(tokens(F.col("text"))).alias("word")).join(words, "word").select("item_id", "term")
-    phrases = terms.filter(kind).select("term", F.split_part("term", F.lit(" "), F.lit(1)).alias("word"))
-    begun = plain.select("item_id", "plain", F.explode(F.array_distinct(F.split("plain", " "))).alias("word")).join(phrases, "word")
+    single = items.select("item_id", F.explode(tokens(F.col("text"))).alias("word")).join(F.broadcast(words), "word").select("item_id", "term")
+    phrases = terms.filter(kind).select("term", first.alias("word"))
+    firsts = phrases.agg(F.collect_set("word").alias("firsts"))
+    plain = items.select("item_id", _plain("text").alias("plain")).crossJoin(F.broadcast(firsts))
+    begun = plain.select("item_id", "plain", F.explode(F.array_intersect(F.split("plain", " "), F.col("firsts"))).alias("word")).join(F.broadcast(phrases), "word")
     spaced = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
     return single.unionByName(begun.filter(spaced("plain").contains(spaced("term"))).select("item_id", "term")).distinct()
 
@@ -59,7 +62,7 @@ def gates(items: DataFrame, words: dict[str, list[str]], home: str) -> DataFrame
 
 def _hits(items: DataFrame, weights: DataFrame) -> DataFrame:
     words = items.select("item_id", F.explode(F.array_union(tokens(F.col("title")), tokens(F.col("description")))).alias("word"))
-    return words.join(weights.filter("weight > 0").withColumn("word", singular(F.col("term"))), "word")
+    return words.join(F.broadcast(weights.filter("weight > 0").withColumn("word", singular(F.col("term")))), "word")
 
 
 def prefilter(items: DataFrame, weights: DataFrame, axes: int = 2) -> DataFrame:

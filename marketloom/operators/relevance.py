@@ -32,7 +32,7 @@ def tokens(text: Column) -> Column:
 def axis_scores(items: DataFrame, weights: DataFrame) -> DataFrame:
     """(item_id, slug, axis, score): raw = 2 * min(title, 3) + min(description only, 3), score = raw / (raw + 2).
 
-    items: item_id, title, description. Words are exploded once and joined to the terms; what matches nothing has no row.
+    items: item_id, title, description. Words are exploded once and joined to the terms, which are broadcast; what matches nothing has no row.
     """
     words = items.select(
         "item_id", F.explode(F.concat(
@@ -41,7 +41,7 @@ def axis_scores(items: DataFrame, weights: DataFrame) -> DataFrame:
         )).alias("w"),
     ).select("item_id", "w.word", "w.titled")
     terms = weights.filter("weight > 0").select("slug", "axis", singular(F.col("term")).alias("word"), "weight")
-    hits = words.join(terms, "word").groupBy("item_id", "slug", "axis").agg(
+    hits = words.join(F.broadcast(terms), "word").groupBy("item_id", "slug", "axis").agg(
         F.sum(F.when(F.col("titled"), F.col("weight")).otherwise(0.0)).alias("t"), F.sum(F.when(~F.col("titled"), F.col("weight")).otherwise(0.0)).alias("d")
     )
     raw = 2 * F.least("t", F.lit(3.0)) + F.least("d", F.lit(3.0))
