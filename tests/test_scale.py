@@ -1,6 +1,9 @@
-"""What has to hold so that queries stand larger tables: no texts in shuffles."""
+"""What has to hold so that queries stand larger tables: no texts in shuffles, tables of one or many files."""
+
+import pytest
 
 from marketloom.operators import prototypes, relevance
+from marketloom.plans.further import _stream
 
 
 def test_terms_go_to_the_texts(spark):
@@ -14,3 +17,16 @@ def test_terms_go_to_the_texts(spark):
     titled = items.selectExpr("item_id", "text as title", "'' as description")
     for scored in (relevance.axis_scores(titled, weights), prototypes.prefilter(titled, weights), prototypes.evidence(titled, weights)):
         assert "SortMergeJoin" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_tables_of_one_file_or_many_are_streams(spark, tmp_path, files):
+    rows = spark.range(6).withColumnRenamed("id", "doc_id")
+    if files == 1:
+        rows.toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    else:
+        rows.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(9).write.parquet(f"{tmp_path}/other.parquet")
+    job = _stream(spark, str(tmp_path), "documents").writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True)
+    job.start(f"{tmp_path}/out").awaitTermination()
+    assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(6))
