@@ -56,26 +56,38 @@ def open_days(spark: SparkSession, path: str, schema, day: str, batch: DataFrame
         return None
 
 
+def newest_before(spark: SparkSession, checkpoint: str, number: int) -> datetime.datetime | None:
+    """The newest time that the batches before a batch had, as its forerunner left it in the checkpoint."""
+    try:
+        return spark.read.schema("newest timestamp").parquet(f"{checkpoint}/newest/{number - 1}").first()[0]
+    except Exception as missing:  # the first batch
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+
+
 def daily_first_writes(readings: DataFrame, key: list[str], day: str, at: str, late: str, path: str, checkpoint: str):
     """Appends readings whose key, day included, is new to a store partitioned by day.
 
-    A copy that is sent again within the watermark is dropped by the stream's own state, which ends with the watermark. Of
-    different readings of a key in one batch the first by `at` is taken; across batches, restarts and lost checkpoints the
-    stored one stays, and for that only the days that the batch holds are read. A batch that is run again adds nothing.
-    Readings more than `late` behind the newest one are refused, as their day is closed."""
+    Of the readings of a key in one batch the first by `at` is taken; across batches, restarts and lost checkpoints the stored
+    one stays, and for that only the days that the batch holds are read. So copies need no state of their own. A batch that is
+    run again adds nothing. Readings `late` or more behind the newest one of the batches before are refused, as their day is
+    closed; all that is kept for that is one time a batch, in the checkpoint."""
     spark, columns = readings.sparkSession, readings.columns
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.persist()
+    def write(batch: DataFrame, number: int) -> None:
+        before = newest_before(spark, checkpoint, number)
+        if before is not None:
+            batch = batch.filter(F.col(at).isNull() | (F.col(at) > F.lit(before) - F.expr(f"interval {late}")))
+        newest = batch.agg(F.greatest(F.max(F.col(at).cast("timestamp")), F.lit(before).cast("timestamp")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{checkpoint}/newest/{number}")
         new = first_writes(batch, key, [at, *[c for c in columns if c not in (*key, at)]])
         stored = open_days(spark, path, batch.schema, day, batch)
         if stored is not None:
             new = new.join(stored.select(*key), key, "left_anti").select(columns)
         new.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
-        batch.unpersist()
 
-    once = readings.withWatermark(at, late).dropDuplicatesWithinWatermark(columns)
-    return once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_sums(readings: DataFrame, at: str, key: str, value: str, length: str, slide: str, late: str) -> DataFrame:

@@ -1,9 +1,13 @@
-"""What has to hold so that queries stand larger tables: no texts in shuffles, tables of one or many files."""
+"""What has to hold so that queries stand larger tables: no texts in shuffles, tables of one or many files, small states."""
+
+import datetime
+import os
 
 import pytest
 
 from marketloom.operators import prototypes, relevance
 from marketloom.plans.further import _stream
+from marketloom.streaming import jobs
 
 
 def test_terms_go_to_the_texts(spark):
@@ -30,3 +34,16 @@ def test_tables_of_one_file_or_many_are_streams(spark, tmp_path, files):
     job = _stream(spark, str(tmp_path), "documents").writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True)
     job.start(f"{tmp_path}/out").awaitTermination()
     assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(6))
+
+
+def test_daily_store_needs_no_state_for_copies(spark, tmp_path):
+    schema = "video_id int, day date, at timestamp, views int"
+    at = lambda day, hour: datetime.datetime(2024, 1, 1) + datetime.timedelta(day, hours=hour)
+    batches = [[(1, 0, 5, 10), (1, 0, 5, 10), (2, 20, 0, 20)], [(1, 0, 5, 10), (3, 9, 0, 30), (3, 11, 0, 31)], [(4, 1, 0, 40), (4, 15, 0, 41)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame([(v, at(d, 0).date(), at(d, h), x) for v, d, h, x in rows], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        jobs.daily_first_writes(source, ["video_id", "day"], "day", "at", "10 days", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    held = {(r.video_id, r.day.day): r.views for r in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()}
+    assert held == {(1, 1): 10, (2, 21): 20, (3, 12): 31, (4, 16): 41}  # days 1, 10 and 2 were closed by day 21
+    assert not os.path.exists(f"{tmp_path}/ck/state")
