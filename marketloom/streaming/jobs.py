@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -223,41 +224,73 @@ def cooled_alerts(fires: DataFrame, days: int, path: str, checkpoint: str, late:
     return stored(_stateful(timed, Cooldown(days), "cluster_id string, rule string, day date"), path, checkpoint)
 
 
-def velocities(readings: DataFrame, path: str, checkpoint: str, keep: int = 3650, late: str = "3650 days"):
+_DAY = 86_400_000  # milliseconds
+
+
+def velocities(readings: DataFrame, path: str, checkpoint: str, keep: int = 3650, late: str = "3650 days", groups: int = 4096):
     """Per video and batch: views a day between the first reading and the last, over the last day, and their ratio.
 
     readings: video_id, observed_date, views. State holds the first reading, the last and the one of the day before the last;
     of one date the largest counts. A reading that comes after a later one can move the first only, or stand for the day before.
     A video that was silent for more than `keep` days begins anew, and its state goes meanwhile; a reading over `late` behind the
-    newest is left out."""
+    newest is left out. Videos share a state by the hash of their id, in `groups` of them, so that Python is called once a group
+    and works on arrays; the number has to stay as it is while a checkpoint lives."""
+    nothing = np.empty((0, 3), "int64")
+
+    def kept(rows: np.ndarray) -> np.ndarray:
+        """Of readings (id, day, views), by id and day: the first of each id, the last, and that of the day before the last; of one
+        day the largest."""
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        rows = rows[np.r_[(rows[1:, :2] != rows[:-1, :2]).any(axis=1), True]]
+        fresh = np.r_[True, rows[1:, 0] != rows[:-1, 0]]
+        last = np.r_[fresh[1:], True]
+        before = np.r_[last[1:] & ~fresh[1:] & (rows[1:, 1] - rows[:-1, 1] == 1), False]
+        return rows[fresh | last | before]
+
+    def ends(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the rows of each id begin and end, of what kept gives."""
+        fresh = np.r_[True, rows[1:, 0] != rows[:-1, 0]]
+        return np.flatnonzero(fresh), np.flatnonzero(np.r_[fresh[1:], True])
 
     def rate(key, frames, state: GroupState):
-        if state.hasTimedOut:
+        held = np.frombuffer(bytes(state.getOption[0]), "int64").reshape(-1, 3) if state.exists else nothing
+        if len(held):  # without those that are silent by the watermark
+            first, last = ends(held)
+            held = held[np.repeat((held[last, 1] + keep) * _DAY >= state.getCurrentWatermarkMs(), last - first + 1)]
+        if not state.hasTimedOut:
+            new = nothing
+            for rows in frames:
+                own = np.column_stack([rows[c].fillna(0).to_numpy("int64") for c in ("video_id", "day", "views")])
+                new = kept(np.concatenate([new, own]))
+            ids, begun = new[ends(new)[0], 0], new[ends(new)[0], 1]
+            touched = np.isin(held[:, 0], ids)
+            old = held[touched]
+            if len(old):
+                first, last = ends(old)
+                silent = begun[np.searchsorted(ids, old[last, 0])] - old[last, 1] > keep
+                old = old[np.repeat(~silent, last - first + 1)]
+            new = kept(np.concatenate([old, new]))
+            held = np.concatenate([held[~touched], new])
+            first, last = ends(new)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                per_day = (new[last, 2] - new[first, 2]) / np.where(last > first, new[last, 1] - new[first, 1], np.nan)
+                newest = np.where((last > first) & (new[last, 1] - new[last - 1, 1] == 1), new[last, 2] - new[last - 1, 2], np.nan)
+                speed = np.where((newest != 0) & (per_day > 0), newest / per_day, np.nan)
+            ids = pd.array([None] * len(last) if key[1] else new[last, 0], "Int64")
+            yield pd.DataFrame({"video_id": ids, "day": new[last, 1].astype("int32"), "per_day": per_day, "last_day": newest, "acceleration": speed})
+        if not len(held):
             state.remove()
             return
-        days = {}
-        rows = pd.concat(list(frames))
-        if state.exists:
-            kept = state.getOption
-            if (min(rows["observed_date"]) - kept[2]).days <= keep:
-                days = {d: v for d, v in zip(kept[::2], kept[1::2]) if d is not None}
-        for day, views in zip(rows["observed_date"], rows["views"], strict=True):
-            days[day] = max(int(views), days.get(day, int(views)))
-        first, last = min(days), max(days)
-        before = last - datetime.timedelta(days=1)
-        state.update((first, days[first], last, days[last], before if before in days else None, days.get(before)))
-        until = datetime.datetime.combine(last, datetime.time(), datetime.UTC) + datetime.timedelta(keep)
-        state.setTimeoutTimestamp(max(int(until.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
-        span = (last - first).days
-        per_day = (days[last] - days[first]) / span if span else None
-        newest = float(days[last] - days[before]) if before in days else None
-        speed = newest / per_day if newest and per_day and per_day > 0 else None
-        yield pd.DataFrame({"video_id": [key[0]], "observed_date": [last], "per_day": [per_day], "last_day": [newest], "acceleration": [speed]})
+        held = held[np.argsort(held[:, 0], kind="stable")]
+        state.update((held.tobytes(),))
+        state.setTimeoutTimestamp(max((int(held[ends(held)[1], 1].min()) + keep) * _DAY, state.getCurrentWatermarkMs() + 1))
 
     timed = readings.withColumn("at", F.col("observed_date").cast("timestamp")).withWatermark("at", late)
-    rated = timed.groupBy("video_id").applyInPandasWithState(
-        rate, "video_id long, observed_date date, per_day double, last_day double, acceleration double", "d0 date, v0 long, d1 date, v1 long, d2 date, v2 long", "update", GroupStateTimeout.EventTimeTimeout
-    )
+    group = [F.pmod(F.hash("video_id"), F.lit(groups)).alias("share"), F.col("video_id").isNull().alias("unknown")]
+    timed = timed.dropna(subset=["observed_date", "views"]).select(*group, "video_id", F.unix_date("observed_date").alias("day"), "views", "at")
+    rated = timed.groupBy("share", "unknown").applyInPandasWithState(
+        rate, "video_id long, day int, per_day double, last_day double, acceleration double", "held binary", "update", GroupStateTimeout.EventTimeTimeout
+    ).select("video_id", F.date_from_unix_date("day").alias("observed_date"), "per_day", "last_day", "acceleration")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

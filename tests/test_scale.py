@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import random
 
 import pytest
 
@@ -47,3 +48,28 @@ def test_daily_store_needs_no_state_for_copies(spark, tmp_path):
     held = {(r.video_id, r.day.day): r.views for r in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()}
     assert held == {(1, 1): 10, (2, 21): 20, (3, 12): 31, (4, 16): 41}  # days 1, 10 and 2 were closed by day 21
     assert not os.path.exists(f"{tmp_path}/ck/state")
+
+
+def test_videos_share_a_state(spark, tmp_path):
+    """Against a fold of each video's readings; the state holds groups of videos, and goes when all are silent."""
+    draw = random.Random(3)
+    schema = "video_id long, observed_date date, views long"
+    day = lambda k: datetime.date(2024, 1, 1) + datetime.timedelta(k)
+    seen, expected = {}, {}
+    for n in range(3):
+        rows = [(draw.choice([None, *range(1, 40)]), 4 * n + draw.randrange(6), draw.randrange(50)) for _ in range(200)]
+        for v, d, x in rows:
+            seen.setdefault(v, {})[d] = max(x, seen.get(v, {}).get(d, x))
+        for v in {r[0] for r in rows}:
+            days = seen[v]
+            first, last = min(days), max(days)
+            rate = (days[last] - days[first]) / (last - first) if last > first else None
+            newest = float(days[last] - days[last - 1]) if last - 1 in days else None
+            expected[v, n] = (day(last), rate, newest, newest / rate if newest and rate and rate > 0 else None)
+        spark.createDataFrame([(v, day(d), x) for v, d, x in rows], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        jobs.velocities(source, f"{tmp_path}/out", f"{tmp_path}/ck", groups=4).awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out").orderBy("batch").collect()
+    number = {b: n for n, b in enumerate(sorted({r.batch for r in out if r.video_id is not None}))}
+    assert len(out) == len(expected) and {(r.video_id, number[r.batch]): tuple(r)[1:5] for r in out} == expected
+    assert spark.read.format("statestore").load(f"{tmp_path}/ck").count() <= 5
