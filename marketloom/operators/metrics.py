@@ -20,8 +20,7 @@ def _decided() -> Column:
 
 def _supply(world: World, values: DataFrame, name: str) -> DataFrame:
     """values: cluster, day, value, inputs_n, contributing. Confidence: sample size, share of channels, share decided."""
-    universe = world.channel_counts().withColumnRenamed("total", "universe")
-    joined = values.join(universe, KEY, "left").join(world.coverage, KEY, "left")
+    joined = values.join(world.universe, KEY, "left").join(world.coverage, KEY, "left")
     share = F.coalesce(F.least(F.try_divide("contributing", "universe"), F.lit(1.0)), F.lit(0.0))
     return metric_rows(world.spine, joined.select(*KEY, "value", "inputs_n", (_capped(F.col("inputs_n"), 30) * share * _decided()).alias("confidence")), name)
 
@@ -32,7 +31,7 @@ def uploads_per_week(world: World) -> DataFrame:
     per = world.recent_niche(world.upload_days).groupBy(*KEY, "channel_id").agg(F.count_if(~F.col("is_short")).alias("n")).join(since, ["cluster_id", "channel_id"])
     weeks = (F.datediff("day", F.greatest(F.date_sub("day", world.upload_days - 1), F.col("oldest"))) + 1) / 7
     per = per.groupBy(*KEY).agg(F.sum(F.col("n") / weeks).alias("rate"), F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("some"))
-    out = world.channel_counts().select(*KEY).join(per, KEY, "left")
+    out = world.universe.select(*KEY).join(per, KEY, "left")
     out = out.select(*KEY, F.coalesce("rate", F.lit(0.0)).alias("value"), F.coalesce("n", F.lit(0)).alias("inputs_n"), F.coalesce("some", F.lit(0)).alias("contributing"))
     return _supply(world, out, "uploads_per_week")
 

@@ -6,8 +6,9 @@ import random
 
 import pytest
 
-from marketloom.operators import prototypes, relevance
+from marketloom.operators import metrics, prototypes, relevance
 from marketloom.plans.further import _stream
+from marketloom.plans.market import world
 from marketloom.streaming import jobs
 
 
@@ -73,3 +74,10 @@ def test_videos_share_a_state(spark, tmp_path):
     number = {b: n for n, b in enumerate(sorted({r.batch for r in out if r.video_id is not None}))}
     assert len(out) == len(expected) and {(r.video_id, number[r.batch]): tuple(r)[1:5] for r in out} == expected
     assert spark.read.format("statestore").load(f"{tmp_path}/ck").count() <= 5
+
+
+def test_populations_of_many_metrics_are_computed_once(spark):
+    w = world(spark, "/root/testdata/sf0.001")
+    assert all(frame.is_cached for frame in (w.eligible_spans, w.coverage, w.universe))
+    for made in (metrics.median_views(w), metrics.midroll_share(w)):
+        assert "InMemoryTableScan" in made._jdf.queryExecution().executedPlan().toString()
