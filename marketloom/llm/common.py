@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 #: Bits of a sieve: eight for each key, within these bounds (half a megabyte and 64 MB).
 LEAST_BITS, MOST_BITS = 1 << 22, 1 << 29
+#: With this setting Spark deletes a query's shuffle files when the query ends. Without it they stay until the driver's
+#: garbage happens to be collected, so a job of many queries may hold the shuffles of all of them on disk.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Scratch tables that this process has written.
 _written: list[str] = []
 
@@ -34,6 +37,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files; afterwards the session's own setting holds again."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
@@ -41,7 +58,8 @@ def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_deleted(spark):
+        writer.parquet(path)
     _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
@@ -50,9 +68,10 @@ def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
-    """Tables saved inside are deleted at the end, but for those that are put in the list."""
+    """Tables saved inside are deleted at the end, but for those that are put in the list; shuffles with their query."""
     before, kept = len(_written), []
-    yield kept
+    with shuffles_deleted(spark):
+        yield kept
     for path in _written[before:]:
         if path not in {df._scratch for df in kept}:
             _written.remove(path)

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,8 @@ import pyarrow as pa
 
 import corpus_pipeline
 from marketloom.llm import mixing, toxicity
-from marketloom.llm.common import saved
+from marketloom.llm.common import CLEANUP, saved
+from marketloom.llm.jaccard_join import near_duplicates
 from marketloom.llm.queries import MIX
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -111,3 +113,16 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     for shard in {r.shard for r in made}:
         own = sorted(r.slot for r in made if r.shard == shard)
         assert own == list(range(len(own)))
+
+
+def test_a_job_of_many_queries_leaves_no_shuffle_files(spark):
+    """All that near_duplicates runs is done when it returns, so its shuffles must not wait for the driver's garbage."""
+    blocks = lambda: {b for b in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    setting, before = spark.conf.get(CLEANUP, None), blocks()
+    docs = spark.createDataFrame([(i, f"one two three four five six seven eight nine {i // 2}") for i in range(40)], "doc_id long, text string")
+    assert near_duplicates(docs).count() == 40
+    assert spark.conf.get(CLEANUP, None) == setting
+    until = time.time() + 20
+    while (left := len(blocks() - before)) > 8 and time.time() < until:
+        time.sleep(0.2)
+    assert left <= 8, left  # those of the count here
