@@ -18,11 +18,13 @@ import os
 import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import compress
 from operator import not_
+from string import ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +37,13 @@ from .textops import buffers, pieces
 PART_BYTES, MOST_PARTS, ROW = 32 << 20, 50_000, 64
 #: Sampled keys to a part. They only balance the parts.
 SAMPLES = 20
-#: Words whose ids one task remembers.
-WORDS = 400_000
+#: Words whose ids one task remembers, words that are encoded in one call, and in one where those can't be told apart.
+WORDS, TOGETHER, FEW = 500_000, 4096, 64
 #: Bytes of ids that one batch hands on.
 FLUSH = 8 << 20
 #: ASCII marks at a word's end that are split off it; neither those of contractions nor those of special tokens.
-MARKS = b".,;:!?()[]{}\"%&$*+-/=@#^_~"
+MARKS = ".,;:!?()[]{}\"%&$*+-/=@#^_~"
+LAST = pa.array([m.encode() for m in MARKS], pa.large_binary())
 
 PARTS_SQL = "part long, ids string, docs string, n_docs long, n_null long, n_tokens long, lengths binary"
 INDEX_SQL = "part long, ids string, docs string, offsets string, n_docs long, n_null long, n_tokens long, first_doc long, first_token long, width int"
@@ -51,7 +54,9 @@ class Encoder:
 
     For tokenizers whose pre-tokens never cross ASCII white space and which drop it. Marks behind a letter or digit are
     pre-tokens of their own. Words of letters only are one pre-token each, whose last id is one that ends words, so many
-    are encoded in one call and told apart by these ids; where the count doesn't agree, each is encoded alone.
+    are encoded in one call and told apart by these ids; where the count doesn't agree, fewer are, then each alone. Where the
+    tokenizer lower-cases, words of ASCII are told apart in lower case only; others are left as they are, as a letter may be
+    composed with its mark in one case alone, and so are words that might become an added token.
     """
 
     def __init__(self, file: str, end: int | None) -> None:
@@ -63,70 +68,74 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.dtype = np.dtype("<u2" if max(len(self.closes) - 1, end or 0) < 1 << 16 else "<u4")
-        self.place: dict[bytes, int] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        """Forgets all words."""
-        self.place.clear()
-        self.cores: dict[bytes, bytes] = {}
-        self.flat, self.ends = bytearray(), np.zeros(1, np.int64)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        normal = self.tokenizer.normalizer
+        self.lowers = len(self.added) <= 64 and normal is not None and normal.normalize_str(ascii_uppercase) == ascii_uppercase.lower()
+        self.ids: dict[str, bytes] = {}
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
+        return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def _learn(self, words: list[str]) -> None:
         """Ids of words and marks that are not known yet."""
-        texts = list(map(bytes.decode, words))
-        letters = list(map(str.isalpha, texts)) if self.closes.any() else [False] * len(texts)
-        plain, said = list(compress(words, letters)), list(compress(texts, letters))
-        rest = list(compress(words, map(not_, letters)))
-        for s in range(0, len(plain), 512):
-            some = plain[s : s + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(said[s : s + 512]), add_special_tokens=False).ids, self.dtype)
+        letters = list(map(str.isalpha, map(str.lower, words))) if self.closes.any() else [False] * len(words)
+        plain, rest = list(compress(words, letters)), list(compress(words, map(not_, letters)))
+        runs = [plain[s : s + TOGETHER] for s in range(0, len(plain), TOGETHER)]
+        for some in runs:  # grows
+            ids = np.array(next(self._encoded([" ".join(some)])), self.dtype)
             last = np.flatnonzero(self.closes[ids]) + 1
             if len(last) == len(some) and last[-1] == len(ids):
                 flat, cut = ids.tobytes(), [0, *(last * ids.itemsize).tolist()]
-                self.cores.update(zip(some, map(flat.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
+                self.ids.update(zip(some, map(flat.__getitem__, map(slice, cut[:-1], cut[1:])), strict=True))
+            elif len(some) > FEW:
+                runs += [some[s : s + FEW] for s in range(0, len(some), FEW)]
             else:
                 rest += some
-        for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            self.cores[w] = self._bytes(e.ids)
-
-    def remember(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.place))
-        cores = list(map(_without_marks, new))
-        marks = [w[len(c) :] for w, c in zip(new, cores, strict=True)]
-        self._learn(list({*cores, *marks, b""}.difference(self.cores)))
-        known = self.cores.__getitem__
-        ids = [a + b for a, b in zip(map(known, cores), map(known, marks), strict=True)]
-        self.place.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new)), strict=True))
-        self.flat += b"".join(ids)
-        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)), dtype=np.int64))
+        self.ids.update(zip(rest, map(self._bytes, self._encoded(rest)), strict=True))
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of each word, as binary."""
+        if self.lowers:
+            lower, same = pc.ascii_lower(words), pc.string_is_ascii(words)
+            for token in self.added:
+                same = pc.and_not(same, pc.match_substring(lower, token))
+            words = pc.if_else(same, lower, words)
+        cores = words.to_numpy(zero_copy_only=False).tolist()
+        marks: dict[int, str] = {}
+        for k in np.flatnonzero(pc.is_in(pc.binary_slice(words.cast(pa.large_binary()), -1), LAST)).tolist():
+            word = cores[k]
+            cores[k] = core = _without_marks(word)
+            marks[k] = word[len(core) :]
+        own = {*cores, *marks.values()}
+        new = own.difference(self.ids)
+        if len(self.ids) + len(new) > WORDS:
+            self.ids.clear()
+            new = own
+        self._learn(list(new))
+        out = list(map(self.ids.__getitem__, cores))
+        for k, mark in marks.items():
+            out[k] += self.ids[mark]
+        return pa.array(out, pa.large_binary())
 
     def documents(self, column: pa.Array) -> Iterator[tuple[int, bytes]]:
         """(row, ids) of whole texts with the end id behind each; null counts as empty. A long text comes in pieces."""
         data, offsets = buffers(column)
         held, row = [], 0
         for first, own, at in pieces(data, offsets):
-            raw = own.tobytes()
-            words = [raw[s:e].split() for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            if len(self.place) > WORDS:
-                self.reset()
-            self.remember(set(chain.from_iterable(words)))
-            flat = np.frombuffer(bytes(self.flat), self.dtype)
-            ends = self.ends // self.dtype.itemsize
-            upto = np.append(0, np.cumsum(list(map(len, words))))
-            index = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, upto[-1])
-            length = np.diff(ends)[index]
-            before = np.append(0, np.cumsum(length))
-            ids = flat[np.repeat(ends[:-1][index] - before[:-1], length) + np.arange(before[-1])]
-            cut = before[upto].tolist()
-            for k in range(len(words)):
+            texts = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(own))
+            words = pc.ascii_split_whitespace(texts)
+            coded = words.values.dictionary_encode()
+            made = self._of_words(coded.dictionary).take(coded.indices)
+            _, ends, ids = made.buffers()
+            cut = np.frombuffer(ends, np.int64)[made.offset + words.offsets.to_numpy()].tolist()
+            for k in range(len(texts)):
                 if first + k != row:
                     yield row, self._closed(held)
                     held, row = [], first + k
-                held.append(ids[cut[k] : cut[k + 1]].tobytes())
+                held.append(ids[cut[k] : cut[k + 1]].to_pybytes() if cut[k] < cut[k + 1] else b"")
         if held:
             yield row, self._closed(held)
 
@@ -134,13 +143,10 @@ class Encoder:
         return b"".join(held) + (b"" if self.end is None else self._bytes([self.end]))
 
 
-def _without_marks(word: bytes) -> bytes:
+def _without_marks(word: str) -> str:
     """A word without the marks behind its last letter or digit, where that one also ends in a letter or digit in lower case."""
     core = word.rstrip(MARKS)
-    if len(core) == len(word) or core[-1:].isalnum():
-        return core
-    last = core.decode()[-1:].lower()[-1:]
-    return core if last.isalnum() else word
+    return core if len(core) == len(word) or core[-1:].lower()[-1:].isalnum() else word
 
 
 _encoders: dict[tuple[str, int | None], Encoder] = {}

@@ -1,6 +1,7 @@
 """Whitening, vector codes and token files against brute force, with awkward rows."""
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -180,6 +181,31 @@ def test_words_give_the_ids_of_whole_texts(monkeypatch):
                 assert np.frombuffer(ids, "<u2").tolist() == whole(tokenizer, texts[s + i]), texts[s + i]
 
 
+def test_words_that_differ_in_case_or_marks_are_encoded_once():
+    import pyarrow as pa
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls, self.read = tokenizer, 0, 0
+
+        def __getattr__(self, name):
+            def call(texts, *args, **more):
+                self.calls, self.read = self.calls + 1, self.read + sum(map(len, [texts] if isinstance(texts, str) else texts))
+                return getattr(self.tokenizer, name)(texts, *args, **more)
+
+            return call
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    words = ["".join(p) for p in itertools.product(["an", "the", "tion", "ing"], repeat=5)]
+    texts = [" ".join(words), " ".join(f"{w.upper()}," for w in words), " ".join(f"({w.title()}!" for w in words[:50])]
+    texts += ["<|ENDOFTEXT|> X<|endoftext|>Y, <|EndOfText|>. <|endoftext|>", "J\u030c j\u030c H\u0331A T\u0308, ΑΣ. İX", *texts]
+    encoder = token_files.Encoder(WORDS, 2)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    for i, ids in encoder.documents(pa.array(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == whole(tokenizer, texts[i]), texts[i]
+    assert counted.read < 1.2 * len(texts[0]) and counted.calls <= 4
+
+
 def test_files_against_whole_texts(spark, monkeypatch):
     tokenizer = Tokenizer.from_file(WORDS)
     long = " ".join(f"word{i % 977}, of" for i in range(400_000))  # over two pieces
