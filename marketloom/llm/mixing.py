@@ -40,11 +40,12 @@ def _weight(column: str, weights: Mapping[str, int]) -> Column:
     return out.cast("long").alias("weight")
 
 
-def _fill(nodes: DataFrame, parent: list[str], weights: Mapping[str, int]) -> DataFrame:
+def _fill(nodes: DataFrame, parent: list[str], weights: Mapping[str, int], carried: list[str] = ()) -> DataFrame:
     """Splits each parent's budget over its children by weight, none above its cap; what a child cannot take goes to siblings.
 
     nodes: one row per child with parent columns, child, cap, parent_budget. Children are taken by cap over weight; each
-    is full as long as its share of what is left covers its cap; the others share the rest by weight.
+    is full as long as its share of what is left covers its cap; the others share the rest by weight. carried: other columns
+    to keep.
     """
     order = [F.try_divide(F.col("cap").cast("double"), F.col("weight")).asc_nulls_last(), F.col("child")]
     w = Window.partitionBy(*parent).orderBy(*order) if parent else Window.orderBy(*order)
@@ -59,22 +60,23 @@ def _fill(nodes: DataFrame, parent: list[str], weights: Mapping[str, int]) -> Da
     )
     share = F.expr("(rest * weight) div nullif(rest_weight, 0)")
     return out.withColumn("budget", F.when(F.col("full"), F.col("cap")).otherwise(F.greatest(F.coalesce(share, F.lit(0)), F.lit(0)))).select(
-        *parent, "child", "budget"
+        *parent, "child", *carried, "budget"
     )
 
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """leaves (domain, lang, source, have) with budget. Shortages go to sources of the same language first, then to
     languages of the domain, then to domains: a node takes no more than its whole subtree can give."""
+    own = [c for c in leaves.columns if c not in LEAF]
     leaves = leaves.withColumn("cap", F.col("have") * mix.epochs)
-    total = leaves.agg(F.expr(f"coalesce(sum(have) * {mix.share} div 1000, 0)").alias("parent_budget"))
-    top = leaves.groupBy(F.col("domain").alias("child")).agg(F.sum("cap").alias("cap")).crossJoin(F.broadcast(total))
+    top = leaves.groupBy(F.col("domain").alias("child")).agg(F.sum("cap").alias("cap"), F.sum("have").alias("have"))
+    total = F.sum("have").over(Window.partitionBy()) * mix.share  # a row a domain, which _fill orders in one window too
+    top = top.withColumn("total", total).withColumn("parent_budget", F.expr("coalesce(total div 1000, 0)"))
     top = _fill(top, [], mix.domains).select(F.col("child").alias("domain"), F.col("budget").alias("parent_budget"))
     mid = leaves.groupBy("domain", F.col("lang").alias("child")).agg(F.sum("cap").alias("cap")).join(F.broadcast(top), "domain")
     mid = _fill(mid, ["domain"], mix.langs).select("domain", F.col("child").alias("lang"), F.col("budget").alias("parent_budget"))
     low = leaves.withColumnRenamed("source", "child").join(F.broadcast(mid), ["domain", "lang"])
-    low = _fill(low, ["domain", "lang"], mix.sources).select("domain", "lang", F.col("child").alias("source"), "budget")
-    return leaves.drop("cap").join(F.broadcast(low), LEAF)
+    return _fill(low, ["domain", "lang"], mix.sources, own).select("domain", "lang", F.col("child").alias("source"), *own, "budget")
 
 
 def domain_of(source: Column) -> Column:
@@ -110,20 +112,19 @@ def mixture(docs: DataFrame, mix: Mix, domain: Column | None = None, carried: st
     )
     plan = saved(plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("have")), "mix-plan")
     # the plan has a row per leaf; domains, languages and sources are few beside documents, and Spark chooses the join by size
-    rows = rows.join(plan.drop("have", "n", "budget"), LEAF)
-    full = rows.filter("whole > 0").select("*", F.explode(F.expr("sequence(0L, whole - 1)")).alias("epoch"))
-    full = full.select(*own, *LEAF, "epoch", "n_tokens")
-
     key = F.md5(F.concat(F.lit(f"{mix.seed}:"), F.col("whole").cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    last = rows.filter("rest > 0").withColumn("key", key)
+    rows = rows.join(plan.drop("have", "n", "budget"), LEAF).withColumn("key", F.when(F.col("rest") > 0, key))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    last = last.withColumn("range", F.shiftright(place * F.col("ranges"), 32))
-    sums = last.groupBy(*LEAF, "range").agg(F.sum("n_tokens").alias("sum"))
+    rows = saved(rows.withColumn("range", F.shiftright(place * F.col("ranges"), 32)).drop("ranges"), "mix-dealt")
+    sums = rows.filter("rest > 0").groupBy(*LEAF, "rest", "range").agg(F.sum("n_tokens").alias("sum"))
     upto = Window.partitionBy(*LEAF).orderBy("range")
     sums = sums.withColumn("end", F.sum("sum").over(upto)).withColumn("start", F.col("end") - F.col("sum"))
-    last = last.join(sums.drop("sum"), [*LEAF, "range"]).filter("start <= rest")
-    inside = last.filter("end <= rest").select(*own, *LEAF, F.col("whole").alias("epoch"), "n_tokens")
+    # a leaf's rest is less than what it has, so it ends in one range
+    ends = saved(sums.filter("start <= rest and end > rest").select(*LEAF, F.col("range").alias("last"), (F.col("rest") - F.col("start")).alias("left")), "mix-ends")
+    rows = rows.drop("rest").join(ends, LEAF, "left")
+    read = F.explode(F.expr("sequence(0L, whole - if(range < last, 0, 1))"))
+    full = rows.filter("whole > 0 or range < last").select(*own, *LEAF, read.alias("epoch"), "n_tokens")
     order = Window.partitionBy(*LEAF, "range").orderBy("key", "n_tokens", *own[1:]).rowsBetween(Window.unboundedPreceding, 0)
-    edge = last.filter("end > rest").withColumn("through", F.col("start") + F.sum("n_tokens").over(order)).filter("through <= rest")
+    edge = rows.filter("range = last").withColumn("through", F.sum("n_tokens").over(order)).filter("through <= left")
     edge = edge.select(*own, *LEAF, F.col("whole").alias("epoch"), "n_tokens")
-    return full.unionByName(inside).unionByName(edge).select(*own, *LEAF, F.col("epoch").cast("int").alias("epoch"), "n_tokens")
+    return full.unionByName(edge).select(*own, *LEAF, F.col("epoch").cast("int").alias("epoch"), "n_tokens")

@@ -22,8 +22,8 @@ LOWER[0x41:0x5B] += 32
 #: Lower case, and white space for ASCII marks: words are runs of ASCII letters and digits and of other letters' bytes.
 PLAIN = LOWER.copy()
 PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
-#: Bytes of text whose arrays are held at once.
-PIECE = 2 << 20
+#: Bytes of text whose arrays are held at once, and of few texts, such as the driver's benchmark items.
+PIECE, SHORT = 2 << 20, 1 << 16
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -31,7 +31,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i below n."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, PIECE + 4096)
+        size = max(n, PIECE + 4096 if n > SHORT else SHORT)
         for name, b in (("up", BASE), ("down", INVERSE)):
             a = np.full(size, b, np.uint64)
             a[0] = 1

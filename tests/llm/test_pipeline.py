@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 
 import corpus_pipeline
-from marketloom.llm import mixing, toxicity
+from marketloom.llm import mixing, textops, toxicity
 from marketloom.llm.common import CLEANUP, saved
 from marketloom.llm.jaccard_join import near_duplicates
 from marketloom.llm.queries import MIX
@@ -126,3 +126,20 @@ def test_a_job_of_many_queries_leaves_no_shuffle_files(spark):
     while (left := len(blocks() - before)) > 8 and time.time() < until:
         time.sleep(0.2)
     assert left <= 8, left  # those of the count here
+
+
+def test_the_driver_plans_few_joins_for_a_mixture(spark):
+    """Joins of small tables become broadcasts, which the driver builds and holds."""
+    docs = spark.createDataFrame([(i, "some words " * (i % 7), "en", f"src{i % 5}", 0) for i in range(60)], SCHEMA)
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    leaves = spark.createDataFrame([("d0", "en", "src0", 9)], "domain string, lang string, source string, have long")
+    assert (joins(mixing.mixture(docs, MIX)), joins(mixing.budgets(leaves, MIX))) == (2, 2)
+
+
+def test_few_texts_need_no_large_tables(monkeypatch):
+    """The driver hashes the benchmark's items."""
+    monkeypatch.setattr(textops, "_powers", {})
+    up, down = textops.powers(100)
+    assert up.nbytes + down.nbytes <= 2 << 20
+    more, _ = textops.powers(textops.SHORT + 1)
+    assert len(more) > textops.PIECE and (more[: len(up)] == up).all() and set((up * down).tolist()) == {1}
