@@ -74,9 +74,18 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
         yield kept
     for path in _written[before:]:
         if path not in {df._scratch for df in kept}:
-            _written.remove(path)
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
+
+
+def deleted(df: DataFrame) -> None:
+    """The files of a saved table go before its scratch ends; nothing may read it afterwards."""
+    _delete(df.sparkSession, df._scratch)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    _written.remove(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:

@@ -310,12 +310,14 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
     )
     classes = saved(classes.withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
 
-    keyed = rows.filter("doc_id is not null and size(keys) > 0")
-    single = keyed.select("doc_id", F.explode("keys").alias("key"))
-    often = single.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("key")
-    shared = saved(sieve(single, F.col("key"), saved(often, "jaccard-keys"), "key"), "jaccard-shared")
-    node = keyed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", F.col("c").alias("x"))
-    members = _centres(saved(shared.join(node, "doc_id").select("key", "x").distinct(), "jaccard-rows"))
+    with scratch(spark) as kept:
+        keyed = rows.filter("doc_id is not null and size(keys) > 0")
+        single = keyed.select("doc_id", F.explode("keys").alias("key"))
+        often = single.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("key")
+        shared = saved(sieve(single, F.col("key"), saved(often, "jaccard-keys"), "key"), "jaccard-shared")
+        node = keyed.select("doc_id", "fingerprint").join(classes, "fingerprint").select("doc_id", F.col("c").alias("x"))
+        members = _centres(saved(shared.join(node, "doc_id").select("key", "x").distinct(), "jaccard-rows"))
+        kept.append(members)
 
     known = members.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
     known = saved(known.select("c", F.col("first").alias("doc_id"), "fingerprint", "n", "sketch"), "jaccard-nodes")
@@ -337,30 +339,36 @@ def _near_duplicates(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     total, links = classes.count(), spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
-        stars = _verified(saved(likely(members.select("a", "b", "parts")), "jaccard-stars"), texts, n, percent)
-        links = links.unionByName(saved(stars, "jaccard-links"))
-        found = saved(components(links), "jaccard-found")
-        placed = saved(_connected(members, found, "b"), "jaccard-placed")
-        several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low < high")
-        apart = saved(join_groups(placed, saved(several.select("a", "rows"), "jaccard-sizes"), "a", "rows"), "jaccard-apart")
-        more, large = across(apart.filter(f"size <= {SMALL}").select("a", F.col("b").alias("x"), "component"), "a", "true"), apart.filter(f"size > {SMALL}")
-        many = None
-        if not large.isEmpty():
-            several = "min(if(kind = 1, component, null)) < max(if(kind = 1, component, null)) or min(kind) = 0 and max(kind) > 0 and min(component) < max(component)"
-            tokens = _repeated(saved(_centred(large, texts, n, percent), "jaccard-tokens"), several)
-            left = tokens.filter(f"rows > {LARGE}").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-            last = turn == ROUNDS - 1 or left <= PAIRS * total  # pairs in proportion to the input
-            few = tokens if last else tokens.filter(f"rows <= {LARGE}")
-            more = more.unionByName(across(few.drop("rows"), "key", "a_kind * b_kind < 2 and a_kind + b_kind > 0")).distinct()
-            many = None if last else tokens.filter(f"rows > {LARGE}").select("key", "x")
-        more = saved(more.withColumn("parts", F.lit(1).cast("long")), "jaccard-pairs")
-        new = saved(_verified(more, texts, n, percent), "jaccard-links")
-        links = links.unionByName(new)
-        if many is None or many.isEmpty():
-            break
-        members = _centres(many)
+        with scratch(spark) as kept:  # of a turn, links, components and the next members stay
+            stars = _verified(saved(likely(members.select("a", "b", "parts")), "jaccard-stars"), texts, n, percent)
+            links = links.unionByName(saved(stars, "jaccard-links"))
+            found = saved(components(links), "jaccard-found")
+            links = found.select(F.col("component").alias("a"), F.col("node").alias("b"))  # connects what links did
+            placed = saved(_connected(members, found, "b"), "jaccard-placed")
+            several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).filter("low < high")
+            apart = saved(join_groups(placed, saved(several.select("a", "rows"), "jaccard-sizes"), "a", "rows"), "jaccard-apart")
+            more, large = across(apart.filter(f"size <= {SMALL}").select("a", F.col("b").alias("x"), "component"), "a", "true"), apart.filter(f"size > {SMALL}")
+            many = None
+            if not large.isEmpty():
+                several = "min(if(kind = 1, component, null)) < max(if(kind = 1, component, null)) or min(kind) = 0 and max(kind) > 0 and min(component) < max(component)"
+                tokens = _repeated(saved(_centred(large, texts, n, percent), "jaccard-tokens"), several)
+                left = tokens.filter(f"rows > {LARGE}").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+                last = turn == ROUNDS - 1 or left <= PAIRS * total  # pairs in proportion to the input
+                few = tokens if last else tokens.filter(f"rows <= {LARGE}")
+                more = more.unionByName(across(few.drop("rows"), "key", "a_kind * b_kind < 2 and a_kind + b_kind > 0")).distinct()
+                many = None if last else tokens.filter(f"rows > {LARGE}").select("key", "x")
+            more = saved(more.withColumn("parts", F.lit(1).cast("long")), "jaccard-pairs")
+            new = saved(_verified(more, texts, n, percent), "jaccard-links")
+            links = links.unionByName(new)
+            kept += [found, new]
+            if many is None or many.isEmpty():
+                break
+            members = _centres(many)
+            kept.append(members)
     if not new.isEmpty():
-        found = saved(components(links), "jaccard-found")
+        with scratch(spark) as kept:
+            found = saved(components(links), "jaccard-found")
+            kept.append(found)
 
     of_class = saved(_connected(classes.select("c", "fingerprint", "first", "members"), found, "c"), "jaccard-components")
     lowest = of_class.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("size"))

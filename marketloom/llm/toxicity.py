@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shuffles_deleted
 from .textops import ODD, PLAIN, U, buffers, groups, mix, pieces, prefix_hash, span_hash, word_spans
 
 #: Words of a window and the step from one to the next.
@@ -425,5 +426,6 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         rows = sorted((r for pdf in batches for r in pdf.itertuples(index=False)), key=lambda r: (r.doc_id, r.text))
         yield pd.DataFrame({"model": [pickle.dumps(fit([(r.text, int(r.toxic), int(r.part)) for r in rows]))]})
 
-    made = examples(docs, labels).repartition(1).mapInPandas(run, "model binary").first()
+    with shuffles_deleted(docs.sparkSession):
+        made = examples(docs, labels).repartition(1).mapInPandas(run, "model binary").first()
     return pickle.loads(made[0]) if made else fit([])

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 
 import corpus_pipeline
-from marketloom.llm import mixing, textops, toxicity
+from marketloom.llm import common, graph, jaccard_join, mixing, textops, toxicity
 from marketloom.llm.common import CLEANUP, saved
 from marketloom.llm.jaccard_join import near_duplicates
 from marketloom.llm.queries import MIX
@@ -128,6 +128,48 @@ def test_a_job_of_many_queries_leaves_no_shuffle_files(spark):
     assert left <= 8, left  # those of the count here
 
 
+def test_training_leaves_no_shuffle_files(spark):
+    blocks = lambda: {b for b in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    before = blocks()
+    docs = spark.createDataFrame([(i, f"text {BAD[i % 3] if i % 2 else 'fine'} {i}") for i in range(60)], "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    until = time.time() + 20
+    while (left := blocks() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_the_join_deletes_tables_that_nothing_reads_any_more(spark, monkeypatch):
+    """Each has as many files as there are partitions, whatever its rows, so they must not pile up until the end."""
+    before, most = list(common._written), []
+
+    def watched(*args):
+        out = saved(*args)
+        most.append(len(set(common._written) - set(before)))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", watched)
+    monkeypatch.setattr(graph, "saved", watched)
+    chain = lambda k: " ".join(f"w{i}" for i in range(k, k + 60))
+    docs = spark.createDataFrame([(i, chain(i)) for i in range(30)] + [(100 + i, chain(500 + 200 * (i // 2))) for i in range(20)], "doc_id long, text string")
+    made = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert made == {i: 0 for i in range(30)} | {100 + i: 100 + i // 2 * 2 for i in range(20)}
+    assert len(most) > 20 and max(most) <= 18, (len(most), max(most))
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """The chain takes steps, the stars none; a step's edges are gone when the next ones are there."""
+    names = []
+    monkeypatch.setattr(graph, "saved", lambda df, name: names.append(df := saved(df, name)) or df)
+    stars = spark.createDataFrame([(1, 2), (1, 3), (4, 9), (7, 7)], "a long, b long")
+    assert {r.node: r.component for r in graph.components(stars).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 9: 4}
+    assert len(names) == 1
+    chain = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long")
+    assert {r.node: r.component for r in graph.components(chain).collect()} == dict.fromkeys(range(41), 0)
+    assert len(names) > 2 and sum(df._scratch in common._written for df in names) == 2
+    assert {*graph.components(stars.limit(0)).collect()} == set()
+
+
 def test_the_driver_plans_few_joins_for_a_mixture(spark):
     """Joins of small tables become broadcasts, which the driver builds and holds."""
     docs = spark.createDataFrame([(i, "some words " * (i % 7), "en", f"src{i % 5}", 0) for i in range(60)], SCHEMA)
